@@ -111,8 +111,8 @@ def _transaction_balance_in_parts(t: Tables) -> DataFrame:
 def _positions(t: Tables, group_rows: int) -> DataFrame:
     base = t.bybit_base()
     order = [F.col("trade_at").asc_nulls_last(), F.col("fk_bybit_trade").asc_nulls_last()]
-    laid = arrange(base, ["symbol"], order, parts_needed(t["bybit_trades"], ["symbol"], group_rows))
-    return position.position_before(laid, ["symbol"], order)
+    parts = parts_needed(t["bybit_trades"], ["symbol"], group_rows)
+    return position.position_before(arrange(base, ["symbol"], order, parts), ["symbol"], order, parts)
 
 
 def _signed_position(group_rows: int) -> Callable[[Tables], DataFrame]:
@@ -238,7 +238,7 @@ def _check_not_null(t: Tables) -> DataFrame:
 
 def _sat_transactions_in_parts(t: Tables) -> DataFrame:
     return binance.sat_binance_transaction(
-        t["binance_transactions_spot"], t["binance_transactions_futures"], "run", group_rows=3
+        t["binance_transactions_spot"], t["binance_transactions_futures"], "run", group_rows=5
     )
 
 

@@ -22,5 +22,5 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties:
     of the shuffle (``WindowGroupLimit``): a key with very many copies reaches
     the final task as one row per input task.
     """
-    window = Window.partitionBy(*keys).orderBy(*order, *rest_of(df, ties))
+    window = Window.partitionBy(*keys).orderBy(*order, *rest_of(df.drop(*keys), ties))
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions import decimals
-from tallybook.operators.ordered import GROUP_ROWS, arrange, last_seen, parts_needed, sums_before
+from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, last_seen, parts_needed, sums_before
 from tallybook.operators.position import QUANTITY, book_changes, position_before
+from tallybook.session import cut_lineage
 
 # Per result column: the price it is computed from, that price's type, and the
 # scale of price times quantity.  With four digits of quantity every product
@@ -37,7 +38,9 @@ def _worth(result: str, quantity: Column, prefix: str = "") -> Column:
     return product.cast(f"decimal(38,{scale})")
 
 
-def with_book_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def with_book_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: Parts | None = None
+) -> DataFrame:
     """Add the legs of each trade and what its books opened ahead of it."""
     df = df.withColumns(book_changes())
     sums = {}
@@ -46,7 +49,7 @@ def with_book_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
         sums[f"{book}_ahead"] = (opened, QUANTITY)
         for result, (_, _, scale) in PNL_COLUMNS.items():
             sums[f"{book}_{result}_ahead"] = (_worth(result, opened), f"decimal(37,{scale})")
-    return sums_before(df, keys, order, sums)
+    return sums_before(df, keys, order, sums, parts)
 
 
 def on_axis(df: DataFrame, carry: Sequence[str]) -> DataFrame:
@@ -92,7 +95,7 @@ def on_axis(df: DataFrame, carry: Sequence[str]) -> DataFrame:
     return df.select(*carry, F.inline(rows))
 
 
-def realise(axis: DataFrame, keys: Sequence[str], unique: str) -> DataFrame:
+def realise(axis: DataFrame, keys: Sequence[str], unique: str, parts: Parts | None = None) -> DataFrame:
     """Realised profit of every row on the axis, 0 unless it closes."""
     order = ["_place", "_kind", unique]
     is_open, is_close = F.col("_kind") == OPEN, F.col("_kind") == CLOSE
@@ -102,7 +105,7 @@ def realise(axis: DataFrame, keys: Sequence[str], unique: str) -> DataFrame:
         *[F.col(f"_{r}_ahead").alias(f"{r}_ahead") for r in PNL_COLUMNS],
     )
     # At one place closes come ahead of opens, so the lot starts before it.
-    served = last_seen(axis, keys, order, {"_lot": F.when(is_open, lot)})
+    served = last_seen(axis, keys, order, {"_lot": F.when(is_open, lot)}, parts)
     into_lot = F.col("_place") - F.col("_lot.start")
     served = served.withColumns(
         {
@@ -110,9 +113,8 @@ def realise(axis: DataFrame, keys: Sequence[str], unique: str) -> DataFrame:
             for r, (_, _, s) in PNL_COLUMNS.items()
         }
     )
-    served = last_seen(
-        served, keys, order, {f"_{r}_cost_ahead": F.col(f"_{r}_cost") for r in PNL_COLUMNS}, own_row=False
-    )
+    costs = {f"_{r}_cost_ahead": F.col(f"_{r}_cost") for r in PNL_COLUMNS}
+    served = last_seen(served, keys, order, costs, parts, own_row=False)
 
     def profit(result: str, scale: int) -> Column:
         zero = F.lit(0).cast(f"decimal(38,{scale})")
@@ -145,12 +147,15 @@ def fifo_profit(
     carry = trades.columns
     order = [F.col(at).asc_nulls_last(), F.col(unique).asc_nulls_last()]
     parts = parts_needed(trades if sizes_from is None else sizes_from, [symbol], group_rows)
-    laid = arrange(trades, [symbol], order, parts)
-    placed = [c for c in laid.columns if c not in carry]
-    totals = with_book_totals(position_before(laid, [symbol], order), [symbol], order).drop(*placed)
+    if parts:
+        # Range boundaries take a sample, which would run all this twice.
+        trades = cut_into_parts(cut_lineage(trades), [symbol], order, parts)
+    positioned = position_before(trades, [symbol], order, parts)
+    axis = on_axis(with_book_totals(positioned, [symbol], order, parts), carry)
 
-    axis = on_axis(totals, carry)
     book = [symbol, "_book"]
-    # A flip adds a row, so there are at most twice as many rows as trades.
-    axis = arrange(axis, book, [F.col(c).asc() for c in ("_place", "_kind", unique)], 2 * parts)
-    return realise(axis, book, unique).filter("_reported").select(*carry, *PNL_COLUMNS)
+    if parts:
+        # A flip adds a row, so there are at most twice as many rows.
+        parts = parts.times(rows=2, keys=3)
+        axis = cut_into_parts(axis, book, [F.col(c).asc() for c in ("_place", "_kind", unique)], parts)
+    return realise(axis, book, unique, parts).filter("_reported").select(*carry, *PNL_COLUMNS)

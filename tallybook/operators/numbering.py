@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.operators.dedup import rest_of
-from tallybook.operators.ordered import GROUP_ROWS, cut_into_parts, large_groups, match, sums_before
+from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, large_groups, match, sums_before
 
 CHUNK_ROWS = 100_000
 
@@ -59,16 +59,17 @@ def number_occurrences(
         return rows.withColumn(out, F.row_number().over(window).cast("bigint"))
 
     large = large_groups(df, keys, group_rows)
-    rows_in_large = large.agg(F.sum("_size")).first()[0]
-    if not rows_in_large:
+    rows_in_large, groups = large.agg(F.sum("_size"), F.count(F.lit(1))).first()
+    if not groups:
         return ranked(df)
 
     large = large.drop("_size")
     # Identical rows are interchangeable: number one of them with its weight.
-    distinct = match(df, large, keys, "left_semi").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
-    parts = math.ceil(rows_in_large / group_rows) + 1
+    copied = match(df, large, keys, "left_semi", groups)
+    distinct = copied.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
+    parts = Parts(math.ceil(rows_in_large / group_rows) + 1, groups)
     laid = cut_into_parts(distinct, keys, ranking, parts)
-    placed = sums_before(laid, keys, ranking, {"_ahead": (F.col("_times"), "bigint")})
+    placed = sums_before(laid, keys, ranking, {"_ahead": (F.col("_times"), "bigint")}, parts)
     spread = repeat_rows(placed.select(*df.columns, "_ahead", "_times"), "_times", "_index")
     numbered = spread.withColumn(out, F.col("_ahead") + F.col("_index")).select(*df.columns, out)
-    return ranked(match(df, large, keys, "left_anti")).unionByName(numbered)
+    return ranked(match(df, large, keys, "left_anti", groups)).unionByName(numbered)

@@ -13,23 +13,52 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.session import cut_lineage
+from tallybook.session import cut_lineage_in_place
 
 GROUP_ROWS = 2_000_000
 PART = "_part"
 
+# Largest table of keys or parts to broadcast: below 100 MB.
+BROADCAST_ROWS = 500_000
 
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on keys in which NULL equals NULL; keeps the left keys only."""
+
+@dataclass(frozen=True)
+class Parts:
+    """Into how many parts rows are cut, and how many keys they have.
+
+    A part may end within one key and go on with the next, so there are at
+    most ``entries`` pairs of key and part.
+    """
+
+    count: int
+    keys: int
+
+    @property
+    def entries(self) -> int:
+        return self.count + self.keys
+
+    def times(self, rows: int, keys: int) -> Parts:
+        return Parts(self.count * rows, self.keys * keys)
+
+
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, right_rows: int | None = None) -> DataFrame:
+    """Equi-join on keys in which NULL equals NULL; keeps the left keys only.
+
+    ``right_rows`` is an upper bound of the right side, if one is known; a
+    small right side is broadcast.
+    """
     renamed = right.select(
         *[F.col(k).alias(f"_right_{k}") for k in keys],
         *[c for c in right.columns if c not in keys],
     )
+    if right_rows is not None and right_rows <= BROADCAST_ROWS:
+        renamed = F.broadcast(renamed)
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
     joined = left.join(renamed, on, how)
     return joined.drop(*[f"_right_{k}" for k in keys])
@@ -44,95 +73,102 @@ def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROW
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > group_rows)
 
 
-def parts_needed(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> int:
-    """How many parts to cut the rows into; 0 if each group fits a task."""
+def parts_needed(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> Parts | None:
+    """How to cut the rows into parts; None if each group fits a task."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    largest, total = sizes.agg(F.max("_size"), F.sum("_size")).first()
+    largest, total, groups = sizes.agg(F.max("_size"), F.sum("_size"), F.count(F.lit(1))).first()
     if largest is None or largest <= group_rows:
-        return 0
-    return math.ceil(total / group_rows) + 1
+        return None
+    return Parts(math.ceil(total / group_rows) + 1, groups)
 
 
-def cut_into_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int) -> DataFrame:
+def cut_into_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: Parts) -> DataFrame:
     """Number stretches of consecutive rows in a column ``_part``.
 
     ``order`` must end in something unique, so that the range boundaries can
     fall anywhere.  The boundaries come from a sample and would differ if the
-    plan ran twice, hence the rows are written out together with their number.
+    plan ran twice, hence the rows are written out together with their number,
+    all rows of a part next to each other.
     """
-    ranged = df.repartitionByRange(parts, *[F.col(k).asc_nulls_last() for k in keys], *order)
+    ranged = df.repartitionByRange(parts.count, *[F.col(k).asc_nulls_last() for k in keys], *order)
     numbered = ranged.withColumn(PART, F.spark_partition_id())
-    placed = numbered.repartition(parts, PART).sortWithinPartitions(*keys, PART, *order)
-    return cut_lineage(placed)
+    placed = numbered.repartition(parts.count, PART).sortWithinPartitions(*keys, PART, *order)
+    return cut_lineage_in_place(placed)
 
 
-def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int) -> DataFrame:
+def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: Parts | None) -> DataFrame:
     return cut_into_parts(df, keys, order, parts) if parts else df
 
 
-def _groups(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [*keys, PART] if PART in df.columns else list(keys)
-
-
 def _before(groups: Sequence[str], order: Sequence[Column]) -> Window:
     return Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def sums_before(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: dict[str, tuple[Column, str]]
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    values: dict[str, tuple[Column, str]],
+    parts: Parts | None = None,
 ) -> DataFrame:
     """Sum of each value over the rows ahead of the row, 0 for the first one.
 
     ``values`` maps the new column to (value, type of the sum).  Give decimal
     types a precision of at most 37, as adding two of 38 digits costs scale.
-    ``order`` must be unique within the keys.
+    ``order`` must be unique within the keys.  With ``parts``, ``df`` comes
+    from :func:`cut_into_parts` for the same keys and order.
     """
-    groups = _groups(df, keys)
+    groups = [*keys, PART] if parts else list(keys)
     ahead = _before(groups, order)
 
     def total(x: Column, dtype: str) -> Column:
         return F.coalesce(x.cast(dtype), F.lit(0).cast(dtype))
 
     local = df.withColumns({n: total(F.sum(v).over(ahead), t) for n, (v, t) in values.items()})
-    if PART not in df.columns:
+    if not parts:
         return local
 
-    parts = df.groupBy(*groups).agg(*[F.sum(v).alias(f"_all_{n}") for n, (v, _) in values.items()])
+    ends = df.groupBy(*groups).agg(*[F.sum(v).alias(f"_all_{n}") for n, (v, _) in values.items()])
     earlier = _before(keys, [F.col(PART)])
-    carried = parts.select(
+    carried = ends.select(
         *groups, *[total(F.sum(f"_all_{n}").over(earlier), t).alias(f"_carried_{n}") for n, (_, t) in values.items()]
     )
-    joined = match(local, carried, groups, "left")
+    joined = match(local, carried, groups, "left", parts.entries)
     return joined.withColumns(
         {n: (F.col(n) + F.col(f"_carried_{n}")).cast(t) for n, (_, t) in values.items()}
     ).drop(*[f"_carried_{n}" for n in values])
 
 
 def last_seen(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], own_row: bool = True
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: dict[str, Column],
+    parts: Parts | None = None,
+    own_row: bool = True,
 ) -> DataFrame:
     """Last non-NULL value up to the row, or ahead of it if not ``own_row``.
 
     ``order`` names columns without NULLs, ascending and unique within the
-    keys.
+    keys.  ``parts`` as for :func:`sums_before`.
     """
-    groups = _groups(df, keys)
+    groups = [*keys, PART] if parts else list(keys)
     by = [F.col(c) for c in order]
     window = Window.partitionBy(*groups).orderBy(*by)
     window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow if own_row else -1)
     local = df.withColumns({n: F.last(v, ignorenulls=True).over(window) for n, v in values.items()})
-    if PART not in df.columns:
+    if not parts:
         return local
 
     place = F.struct(*by)
-    parts = df.groupBy(*groups).agg(
+    ends = df.groupBy(*groups).agg(
         *[F.max_by(v, F.when(v.isNotNull(), place)).alias(f"_end_{n}") for n, v in values.items()]
     )
     earlier = _before(keys, [F.col(PART)])
-    carried = parts.select(
+    carried = ends.select(
         *groups, *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carried_{n}") for n in values]
     )
-    joined = match(local, carried, groups, "left")
+    joined = match(local, carried, groups, "left", parts.entries)
     return joined.withColumns({n: F.coalesce(F.col(n), F.col(f"_carried_{n}")) for n in values}).drop(
         *[f"_carried_{n}" for n in values]
     )

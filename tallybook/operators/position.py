@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.operators.ordered import sums_before
+from tallybook.operators.ordered import Parts, sums_before
 
 QUANTITY = "decimal(28,4)"
 
@@ -19,10 +19,15 @@ def signed_quantity(side: Column, execution_type: Column, quantity: Column) -> C
 
 
 def position_before(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], quantity: str = "quantity", out: str = "net_before"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    parts: Parts | None = None,
+    quantity: str = "quantity",
+    out: str = "net_before",
 ) -> DataFrame:
     """Position held ahead of each trade."""
-    return sums_before(df, keys, order, {out: (F.col(quantity), QUANTITY)})
+    return sums_before(df, keys, order, {out: (F.col(quantity), QUANTITY)}, parts)
 
 
 def book_changes(net_before: str = "net_before", quantity: str = "quantity") -> dict[str, Column]:

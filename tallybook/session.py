@@ -41,3 +41,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def cut_lineage_in_place(df: DataFrame) -> DataFrame:
+    """The same, but Spark remembers how the rows are partitioned and sorted.
+
+    An adaptive plan does not tell, so this one is fixed in advance.  Later
+    windows and aggregations over the same columns then need no shuffle.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut_lineage(df)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
