@@ -6,11 +6,20 @@ fixed values: the exchanges choose them.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DecimalType, LongType, StringType, StructField, StructType, TimestampType
+
+TYPES = {
+    "string": StringType(),
+    "bigint": LongType(),
+    "boolean": BooleanType(),
+    "timestamp": TimestampType(),
+    "decimal(18,4)": DecimalType(18, 4),
+    "decimal(18,8)": DecimalType(18, 8),
+}
 
 
 def _columns(*groups: tuple[str, str]) -> StructType:
-    return StructType.fromDDL(", ".join(f"`{name}` {dtype}" for names, dtype in groups for name in names.split()))
+    return StructType([StructField(name, TYPES[dtype]) for names, dtype in groups for name in names.split()])
 
 
 SCHEMAS: dict[str, StructType] = {
