@@ -77,9 +77,9 @@ def _natural_key(group_rows: int) -> Callable[[Tables], DataFrame]:
             ["change"],
             group_rows=group_rows,
         )
-        named = keys.key_text("binance", F.lower("account"), F.lower("coin"), F.lower("operation"), F.col("r"))
-        return numbered.select(
-            keys.hashed(named).alias("hashed_key"), named.alias("key_text"), F.col("change").alias("change_text")
+        named = keys.key_text("'binance'", "lower(account)", "lower(coin)", "lower(operation)", "r")
+        return numbered.selectExpr(
+            f"{keys.hashed(named)} as hashed_key", f"{named} as key_text", "change as change_text"
         )
 
     return build
@@ -92,10 +92,10 @@ def _occurrence_counts(t: Tables) -> DataFrame:
 
 def _running_balance(group_rows: int) -> Callable[[Tables], DataFrame]:
     def build(t: Tables) -> DataFrame:
-        changes = t["binance_transactions_futures"].select(
+        changes = t["binance_transactions_futures"].selectExpr(
             "asset",
-            times.minute(F.col("transaction_utc_at")).alias("booked_at"),
-            decimals.money(F.col("amount")).alias("change_amount"),
+            f"{times.minute('transaction_utc_at')} as booked_at",
+            f"{decimals.money('amount')} as change_amount",
         )
         return balance.running_balance(changes, ["asset"], "booked_at", "change_amount", group_rows=group_rows)
 
@@ -133,12 +133,12 @@ def _fifo_match(group_rows: int) -> Callable[[Tables], DataFrame]:
 
 def _fx_at_minute(t: Tables) -> DataFrame:
     rated = rates.fx_at_minute(t["sat_bybit_trade"], t.bybit_rates(), "trade_at")
-    return rated.select(
+    return rated.selectExpr(
         "fk_bybit_trade",
         "trade_at",
         "fx_rate",
-        rates.multiplied(F.col("price"), F.col("fx_rate")).cast("decimal(28,12)").alias("price_eur"),
-        rates.divided(F.col("price"), F.col("fx_rate")).alias("price_per_rate"),
+        f"cast({rates.multiplied('price')} as decimal(28,12)) as price_eur",
+        f"{rates.divided('price')} as price_per_rate",
     )
 
 
@@ -163,44 +163,46 @@ def _keep_one(t: Tables) -> DataFrame:
 
 
 def _split_amount(t: Tables) -> DataFrame:
-    executed = F.col("executed")
-    return t["binance_trades_spot"].select(
+    grouped = "concat('1,', executed)"
+    return t["binance_trades_spot"].selectExpr(
         "executed",
-        text.amount_text(executed).alias("amount_text"),
-        text.amount_text(F.concat(F.lit("1,"), executed)).alias("grouped_text"),
-        text.amount_text(F.concat(F.lit("1,"), executed), strict=True).alias("strict_text"),
-        text.coin_text(executed).alias("coin"),
-        decimals.money(text.amount_text(executed)).alias("amount"),
+        f"{text.amount_text('executed')} as amount_text",
+        f"{text.amount_text(grouped)} as grouped_text",
+        f"{text.amount_text(grouped, strict=True)} as strict_text",
+        f"{text.coin_text('executed')} as coin",
+        f"{decimals.money(text.amount_text('executed'))} as amount",
     )
 
 
 def _scalar_functions(t: Tables) -> DataFrame:
-    change, at = F.col("amount"), F.col("transaction_utc_at")
-    longer = F.concat(change, F.lit("9876543219"))
-    iso = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return t["binance_transactions_futures"].select(
-        "transaction_id",
-        "amount",
-        decimals.from_text(longer, 9, 2).alias("two_digits"),
-        decimals.from_text(longer, 18, 4).alias("four_digits"),
-        decimals.money(longer).alias("eight_digits"),
-        decimals.from_text(longer, 38, 8).alias("wide"),
-        decimals.money(F.concat(change, F.lit("e-3"))).alias("with_exponent"),
-        decimals.cut(longer.cast("decimal(38,12)"), 9, 4).alias("cut_number"),
-        decimals.from_text(F.concat(change, F.lit("x")), 18, 8, on_error="null").alias("malformed"),
-        decimals.quotient(decimals.money(change), F.lit("1.1234").cast("decimal(9,4)")).alias("quotient"),
-        times.epoch_seconds(at).alias("epoch"),
-        times.second(at).alias("to_second"),
-        times.minute(at).alias("to_minute"),
-        times.from_iso(iso).alias("parsed_millis"),
-        times.from_iso_or_null(F.when(F.col("type") == "TRANSFER", iso).otherwise("n/a")).alias("parsed_or_null"),
-        times.berlin(at).alias("berlin_time"),
-        F.least(decimals.money(change), F.lit(5).cast("decimal(18,8)")).alias("at_most_five"),
-        F.greatest(decimals.money(change), F.lit(5).cast("decimal(18,8)")).alias("at_least_five"),
-        text.snake(F.concat(F.col("type"), F.lit(" x"))).alias("snake"),
-        keys.hashed(keys.key_text("a", F.col("transaction_id"), F.col("asset"))).alias("hashed_key"),
-        keys.key_text("a", F.when(F.col("type") == "TRANSFER", F.col("asset"))).alias("null_with_null"),
-    )
+    at, transfer = "transaction_utc_at", "type = 'TRANSFER'"
+    longer = "concat(amount, '9876543219')"
+    iso = f"date_format({at}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
+    five = "cast(5 as decimal(18,8))"
+    expressions = {
+        "transaction_id": "transaction_id",
+        "amount": "amount",
+        "two_digits": decimals.from_text(longer, 9, 2),
+        "four_digits": decimals.from_text(longer, 18, 4),
+        "eight_digits": decimals.money(longer),
+        "wide": decimals.from_text(longer, 38, 8),
+        "with_exponent": decimals.money("concat(amount, 'e-3')"),
+        "cut_number": decimals.cut(f"cast({longer} as decimal(38,12))", 9, 4),
+        "malformed": decimals.money("concat(amount, 'x')", on_error="null"),
+        "quotient": decimals.quotient(decimals.money("amount"), "1.1234"),
+        "epoch": times.epoch_seconds(at),
+        "to_second": times.second(at),
+        "to_minute": times.minute(at),
+        "parsed_millis": times.from_iso(iso),
+        "parsed_or_null": times.from_iso_or_null(f"if({transfer}, {iso}, 'n/a')"),
+        "berlin_time": times.berlin(at),
+        "at_most_five": f"least({decimals.money('amount')}, {five})",
+        "at_least_five": f"greatest({decimals.money('amount')}, {five})",
+        "snake": text.snake("concat(type, ' x')"),
+        "hashed_key": keys.hashed(keys.key_text("'a'", "transaction_id", "asset")),
+        "null_with_null": keys.key_text("'a'", f"if({transfer}, asset, null)"),
+    }
+    return t["binance_transactions_futures"].selectExpr(*[f"{sql} as {name}" for name, sql in expressions.items()])
 
 
 def _keys_normalised(t: Tables) -> DataFrame:

@@ -6,26 +6,18 @@ so every conversion here removes the surplus digits before the cast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+CASTS = {"raise": "cast", "null": "try_cast"}
 
 
-def _cast(x: Column, dtype: str, on_error: str) -> Column:
-    if on_error == "raise":
-        return x.cast(dtype)
-    if on_error == "null":
-        return x.try_cast(dtype)
-    raise ValueError(f"on_error must be 'raise' or 'null', not {on_error!r}")
-
-
-def cut(x: Column, precision: int, scale: int, on_error: str = "raise") -> Column:
+def cut(x: str, precision: int, scale: int, on_error: str = "raise") -> str:
     """Number (or text with an exponent) to decimal, surplus digits dropped."""
-    wide = _cast(x, "decimal(38,18)", on_error)
-    unit = F.lit(1) if scale == 0 else F.lit("0." + "0" * (scale - 1) + "1")
-    return _cast(wide - wide % unit.cast(f"decimal({scale + 1},{scale})"), f"decimal({precision},{scale})", on_error)
+    cast = CASTS[on_error]
+    wide = f"{cast}({x} as decimal(38,18))"
+    unit = f"cast('1e-{scale}' as decimal({scale + 1},{scale}))"
+    return f"{cast}({wide} - {wide} % {unit} as decimal({precision},{scale}))"
 
 
-def from_text(x: Column, precision: int, scale: int, on_error: str = "raise") -> Column:
+def from_text(x: str, precision: int, scale: int, on_error: str = "raise") -> str:
     """Decimal from text, surplus digits dropped.
 
     Plain notation is shortened as text, which is exact for any number of
@@ -33,38 +25,37 @@ def from_text(x: Column, precision: int, scale: int, on_error: str = "raise") ->
     takes the arithmetic route.  Malformed text raises, or gives NULL with
     ``on_error='null'``.
     """
-    dot = F.instr(x, ".")
-    plain = F.when(dot > 0, F.substring(x, F.lit(1), dot + F.lit(scale))).otherwise(x)
-    return F.when(F.contains(F.lower(x), F.lit("e")), cut(x, precision, scale, on_error)).otherwise(
-        _cast(plain, f"decimal({precision},{scale})", on_error)
-    )
+    plain = f"if(instr({x}, '.') > 0, substring({x}, 1, instr({x}, '.') + {scale}), {x})"
+    short = f"{CASTS[on_error]}({plain} as decimal({precision},{scale}))"
+    return f"if(contains(lower({x}), 'e'), {cut(x, precision, scale, on_error)}, {short})"
 
 
-def money(x: Column, on_error: str = "raise") -> Column:
+def money(x: str, on_error: str = "raise") -> str:
     """The usual measure type: 18 digits, 8 of them after the point."""
     return from_text(x, 18, 8, on_error)
 
 
-def rate(x: Column) -> Column:
+def rate(x: str) -> str:
     """Exchange rate as used in conversions: cut to four digits."""
     return cut(x, 9, 4)
 
 
-def quotient(amount: Column, divisor: Column) -> Column:
+def quotient(amount: str, divisor: str) -> str:
     """Decimal division that keeps eight digits and drops the rest.
 
     Spark rounds the 18th digit of ``decimal(18,8) / decimal(9,4)``; a divisor
     below 10^9 units cannot produce ten nines there, so the cut is exact.
     """
-    return cut(amount.cast("decimal(18,8)") / divisor.cast("decimal(9,4)"), 18, 8)
+    return cut(f"(cast({amount} as decimal(18,8)) / cast({divisor} as decimal(9,4)))", 18, 8)
 
 
-def add(a: Column, b: Column, scale: int) -> Column:
+def add(a: str, b: str, scale: int) -> str:
     """Sum of two wide decimals without losing a digit of scale."""
-    dtype = f"decimal(37,{scale})"
-    return (a.cast(dtype) + b.cast(dtype)).cast(f"decimal(38,{scale})")
+    kind = f"decimal(37,{scale})"
+    return f"cast(cast({a} as {kind}) + cast({b} as {kind}) as decimal(38,{scale}))"
 
 
-def subtract(a: Column, b: Column, scale: int) -> Column:
-    dtype = f"decimal(37,{scale})"
-    return (a.cast(dtype) - b.cast(dtype)).cast(f"decimal(38,{scale})")
+def subtract(a: str, b: str, scale: int) -> str:
+    """Difference of two wide decimals without losing a digit of scale."""
+    kind = f"decimal(37,{scale})"
+    return f"cast(cast({a} as {kind}) - cast({b} as {kind}) as decimal(38,{scale}))"

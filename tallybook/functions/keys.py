@@ -4,42 +4,31 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def key_text(*parts: Column | str) -> Column:
+def key_text(*parts: str) -> str:
     """Join parts with ``_``; NULL as soon as one part is NULL.
 
-    Plain strings are literal text.  ``concat_ws`` is no substitute, because
-    it skips NULL parts and would give different records the same key.
+    ``concat_ws`` is no substitute, because it skips NULL parts and would give
+    different records the same key.
     """
-    pieces: list[Column] = []
-    for part in parts:
-        if pieces:
-            pieces.append(F.lit("_"))
-        pieces.append(F.lit(part) if isinstance(part, str) else part.cast("string"))
-    return F.concat(*pieces)
+    joined = ", '_', ".join(parts)
+    return f"concat({joined})"
 
 
-def hashed(text: Column) -> Column:
+def hashed(text: str) -> str:
     """Lower-case hexadecimal MD5 of a key text."""
-    return F.md5(text)
+    return f"md5({text})"
 
 
 def new_run_id() -> str:
     return str(uuid.uuid4())
 
 
-def audit_columns(run_id: str) -> list[Column]:
-    """Which run wrote the row and when."""
-    return [
-        F.lit(run_id).alias("record_source"),
-        F.date_trunc("second", F.current_timestamp()).alias("load_dts"),
-    ]
-
-
 def with_audit(df: DataFrame, run_id: str, after: int = 1) -> DataFrame:
-    """Put the audit columns behind the first ``after`` (key) columns."""
-    names = df.columns
-    return df.select(*names[:after], *audit_columns(run_id), *names[after:])
+    """Say which run wrote a row and when, behind the first ``after`` columns."""
+    names = [f"`{name}`" for name in df.columns]
+    quoted = run_id.replace("'", "\\'")
+    audit = [f"'{quoted}' as record_source", "date_trunc('second', current_timestamp()) as load_dts"]
+    return df.selectExpr(*names[:after], *audit, *names[after:])

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The patterns that decide which part of an amount text counts.
 AMOUNT_PATTERN = r"(\d+).(\d+)"
 COIN_PATTERN = r"[A-Z]+"
@@ -14,15 +11,15 @@ COIN_PATTERN = r"[A-Z]+"
 STRICT_AMOUNT_PATTERN = r"\d+(?:\.\d+)?"
 
 
-def amount_text(x: Column, strict: bool = False) -> Column:
+def amount_text(x: str, strict: bool = False) -> str:
     """Digits of an amount text; empty if there are none, NULL for NULL."""
-    return F.regexp_extract(x, STRICT_AMOUNT_PATTERN if strict else AMOUNT_PATTERN, 0)
+    return f"regexp_extract({x}, r'{STRICT_AMOUNT_PATTERN if strict else AMOUNT_PATTERN}', 0)"
 
 
-def coin_text(x: Column) -> Column:
+def coin_text(x: str) -> str:
     """First run of capitals of an amount text; empty if there is none."""
-    return F.regexp_extract(x, COIN_PATTERN, 0)
+    return f"regexp_extract({x}, r'{COIN_PATTERN}', 0)"
 
 
-def snake(x: Column) -> Column:
-    return F.lower(F.replace(x, F.lit(" "), F.lit("_")))
+def snake(x: str) -> str:
+    return f"lower(replace({x}, ' ', '_'))"

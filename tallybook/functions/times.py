@@ -2,42 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def second(x: Column) -> Column:
+def second(x: str) -> str:
     """Instant with second precision."""
-    return F.date_trunc("second", x.cast("timestamp"))
+    return f"date_trunc('second', cast({x} as timestamp))"
 
 
-def epoch_seconds(x: Column) -> Column:
-    return F.unix_seconds(x.cast("timestamp"))
+def epoch_seconds(x: str) -> str:
+    return f"unix_seconds(cast({x} as timestamp))"
 
 
-def from_millis(x: Column) -> Column:
+def from_millis(x: str) -> str:
     """Epoch milliseconds, as number or text, to an instant."""
-    return F.timestamp_millis(x.cast("bigint"))
+    return f"timestamp_millis(cast({x} as bigint))"
 
 
-def second_from_millis(x: Column) -> Column:
-    return F.date_trunc("second", from_millis(x))
+def second_from_millis(x: str) -> str:
+    return f"date_trunc('second', {from_millis(x)})"
 
 
-def from_iso(x: Column) -> Column:
+def from_iso(x: str) -> str:
     """ISO-8601 text with millisecond precision; malformed text raises."""
-    return F.date_trunc("millisecond", F.to_timestamp(x))
+    return f"date_trunc('millisecond', to_timestamp({x}))"
 
 
-def from_iso_or_null(x: Column) -> Column:
+def from_iso_or_null(x: str) -> str:
     """ISO-8601 text with microsecond precision; malformed text gives NULL."""
-    return F.try_to_timestamp(x)
+    return f"try_to_timestamp({x})"
 
 
-def minute(x: Column) -> Column:
-    return F.date_trunc("minute", x)
+def minute(x: str) -> str:
+    return f"date_trunc('minute', {x})"
 
 
-def berlin(x: Column) -> Column:
+def berlin(x: str) -> str:
     """Wall time in Berlin, for display only."""
-    return F.convert_timezone(F.lit("UTC"), F.lit("Europe/Berlin"), x.cast("timestamp_ntz"))
+    return f"convert_timezone('UTC', 'Europe/Berlin', cast({x} as timestamp_ntz))"

@@ -38,8 +38,8 @@ def running_balance(
         F.sum(amount).cast("decimal(37,8)").alias("_step"), F.count(amount).alias("_known")
     )
     laid = cut_into_parts(steps, keys, order, parts)
-    sums = {"_ahead": (F.col("_step"), "decimal(37,8)"), "_known_ahead": (F.col("_known"), "bigint")}
+    sums = {"_ahead": ("_step", "decimal(37,8)"), "_known_ahead": ("_known", "bigint")}
     ahead = sums_before(laid, keys, order, sums, parts)
-    total = decimals.add(F.col("_ahead"), F.coalesce("_step", F.lit(0)), 8)
-    totals = ahead.select(*same, F.when(F.col("_known_ahead") + F.col("_known") > 0, total).alias(out))
+    total = decimals.add("_ahead", "coalesce(_step, 0)", 8)
+    totals = ahead.selectExpr(*same, f"if(_known_ahead + _known > 0, {total}, null) as {out}")
     return match(df, totals, same, "left")

@@ -2,130 +2,115 @@
 
 Opened quantities of a book, laid end to end, form an axis; so do the closed
 ones, and a close is served by the lots that lie at the same place.  Let
-``V(x)`` be what the first ``x`` units opened have cost.  A close that takes
+``V(x)`` be what the first ``x`` units opened are worth.  A close that takes
 the units from ``a`` to ``b`` has the cost ``V(b) - V(a)``, whatever number of
-lots it touches.  ``V(b)`` needs one lot only: the last one starting ahead of
-``b``.  So each close looks up one row on the axis and compares itself with the
-close before it; no lot is paired with every close.
+lots it touches.  ``V(b)`` is the worth of all lots that start ahead of ``b``
+less the part of the last one behind ``b``.  So a close needs a running sum, one
+lot, and the close before it; no lot is paired with every close.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions import decimals
+from tallybook.functions.decimals import subtract
 from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, last_seen, parts_needed, sums_before
-from tallybook.operators.position import QUANTITY, book_changes, position_before
+from tallybook.operators.position import QUANTITY, position_before, with_legs
 from tallybook.session import cut_lineage
 
-# Per result column: the price it is computed from, that price's type, and the
-# scale of price times quantity.  With four digits of quantity every product
-# fits into 38 digits without rounding.
-PNL_COLUMNS = {
-    "realized_pnl": ("price", "decimal(18,8)", 12),
-    "realized_pnl_eur": ("price_eur", "decimal(19,12)", 16),
-}
 
-CLOSE, OPEN, NEITHER = 0, 1, 2
+@dataclass(frozen=True)
+class Valuation:
+    """A profit column and the price it is computed from.
 
+    ``scale`` is that of price times quantity.  With four digits of quantity
+    the product fits into 38 digits without rounding.
+    """
 
-def _worth(result: str, quantity: Column, prefix: str = "") -> Column:
-    price, dtype, scale = PNL_COLUMNS[result]
-    product = F.col(f"{prefix}{price}").cast(dtype) * quantity.cast("decimal(18,4)")
-    return product.cast(f"decimal(38,{scale})")
+    result: str
+    price: str
+    price_type: str
+    scale: int
 
+    def worth(self, price: str, quantity: str) -> str:
+        product = f"cast({price} as {self.price_type}) * cast({quantity} as decimal(18,4))"
+        return f"cast({product} as decimal(38,{self.scale}))"
 
-def with_book_totals(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: Parts | None = None
-) -> DataFrame:
-    """Add the legs of each trade and what its books opened ahead of it."""
-    df = df.withColumns(book_changes())
-    sums = {}
-    for book in ("long", "short"):
-        opened = F.col(f"{book}_open")
-        sums[f"{book}_ahead"] = (opened, QUANTITY)
-        for result, (_, _, scale) in PNL_COLUMNS.items():
-            sums[f"{book}_{result}_ahead"] = (_worth(result, opened), f"decimal(37,{scale})")
-    return sums_before(df, keys, order, sums, parts)
+
+VALUATIONS = [
+    Valuation("realized_pnl", "price", "decimal(18,8)", 12),
+    Valuation("realized_pnl_eur", "price_eur", "decimal(19,12)", 16),
+]
+PNL_COLUMNS = [v.result for v in VALUATIONS]
+
+CLOSE, OPEN, NEITHER = 0, 1, 2
 
 
-def on_axis(df: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """Place each trade on the axis of the book it changes.
+def on_axis(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: Parts | None = None) -> DataFrame:
+    """Place trades with ``net_before`` on the axis of the book they change.
 
     A trade that closes lies where its closed quantity ends, one that opens
     where its lot begins.  A flip gives a second row for its lot; exactly one
     row per trade has ``_reported``.
     """
-    net_after = (F.col("net_before") + F.col("quantity")).cast(QUANTITY)
-    left = {"long": F.greatest(net_after, F.lit(0)), "short": F.greatest(-net_after, F.lit(0))}
-
-    def row(book: str | None, kind: int, place: Column, quantity: Column, reported: bool) -> Column:
-        worth = [
-            (F.col(f"{book}_{r}_ahead") if book and kind == OPEN else F.lit(0)).cast(f"decimal(37,{s})").alias(f"_{r}_ahead")
-            for r, (_, _, s) in PNL_COLUMNS.items()
-        ]
-        return F.struct(
-            F.lit(book or "none").alias("_book"),
-            F.lit(kind).alias("_kind"),
-            place.cast(QUANTITY).alias("_place"),
-            quantity.cast(QUANTITY).alias("_qty"),
-            *worth,
-            F.lit(reported).alias("_reported"),
-        )
-
-    def opens(book: str, reported: bool) -> Column:
-        return row(book, OPEN, F.col(f"{book}_ahead"), F.col(f"{book}_open"), reported)
-
-    def closes(book: str) -> Column:
-        # Closed so far = opened so far less what is still held.
-        return row(book, CLOSE, F.col(f"{book}_ahead") - left[book], F.col(f"{book}_close"), True)
-
-    rows = (
-        F.when((F.col("long_close") > 0) & (F.col("short_open") > 0), F.array(closes("long"), opens("short", False)))
-        .when((F.col("short_close") > 0) & (F.col("long_open") > 0), F.array(closes("short"), opens("long", False)))
-        .when(F.col("long_close") > 0, F.array(closes("long")))
-        .when(F.col("short_close") > 0, F.array(closes("short")))
-        .when(F.col("long_open") > 0, F.array(opens("long", True)))
-        .when(F.col("short_open") > 0, F.array(opens("short", True)))
-        .otherwise(F.array(row(None, NEITHER, F.lit(0), F.lit(0), True)))
-    )
-    return df.select(*carry, F.inline(rows))
+    carry = [c for c in df.columns if c not in ("net_before", "_part")]
+    opened = {
+        f"_{book}_ahead": (f"if(_opened_book = '{book}', _opened, 0)", QUANTITY) for book in ("long", "short")
+    }
+    placed = sums_before(with_legs(df), keys, order, opened, parts)
+
+    def row(book: str, kind: int, place: str, quantity: str, reported: str) -> str:
+        return f"""struct({book} as _book, {kind} as _kind, cast({place} as {QUANTITY}) as _place,
+            cast({quantity} as {QUANTITY}) as _qty, {reported} as _reported)"""
+
+    def ahead(book: str) -> str:
+        return f"if({book} = 'long', _long_ahead, _short_ahead)"
+
+    # Closed so far = opened so far less what is still held.
+    closes = row("_closed_book", CLOSE, f"{ahead('_closed_book')} - (abs(net_before) - _closed)", "_closed", "true")
+    opens = row("_opened_book", OPEN, ahead("_opened_book"), "_opened", "_closed = 0")
+    neither = row("'none'", NEITHER, "0", "0", "true")
+    rows = f"""inline(case
+        when _closed > 0 and _opened > 0 then array({closes}, {opens})
+        when _closed > 0 then array({closes})
+        when _opened > 0 then array({opens})
+        else array({neither}) end)"""
+    return placed.selectExpr(*carry, rows)
 
 
 def realise(axis: DataFrame, keys: Sequence[str], unique: str, parts: Parts | None = None) -> DataFrame:
     """Realised profit of every row on the axis, 0 unless it closes."""
     order = ["_place", "_kind", unique]
-    is_open, is_close = F.col("_kind") == OPEN, F.col("_kind") == CLOSE
-    lot = F.struct(
-        F.col("_place").alias("start"),
-        *[F.col(price) for price, _, _ in PNL_COLUMNS.values()],
-        *[F.col(f"_{r}_ahead").alias(f"{r}_ahead") for r in PNL_COLUMNS],
-    )
-    # At one place closes come ahead of opens, so the lot starts before it.
-    served = last_seen(axis, keys, order, {"_lot": F.when(is_open, lot)}, parts)
-    into_lot = F.col("_place") - F.col("_lot.start")
-    served = served.withColumns(
-        {
-            f"_{r}_cost": F.when(is_close, decimals.add(F.col(f"_lot.{r}_ahead"), _worth(r, into_lot, "_lot."), s))
-            for r, (_, _, s) in PNL_COLUMNS.items()
-        }
-    )
-    costs = {f"_{r}_cost_ahead": F.col(f"_{r}_cost") for r in PNL_COLUMNS}
-    served = last_seen(served, keys, order, costs, parts, own_row=False)
-
-    def profit(result: str, scale: int) -> Column:
-        zero = F.lit(0).cast(f"decimal(38,{scale})")
-        cost = decimals.subtract(F.col(f"_{result}_cost"), F.coalesce(F.col(f"_{result}_cost_ahead"), zero), scale)
-        taken = _worth(result, F.col("_qty"))
-        gain = F.when(
-            F.col("_book") == "long", decimals.subtract(taken, cost, scale)
-        ).otherwise(decimals.subtract(cost, taken, scale))
-        return F.when(is_close, gain).otherwise(zero)
-
-    return served.withColumns({r: profit(r, s) for r, (_, _, s) in PNL_COLUMNS.items()})
+    by = [F.col(c).asc() for c in order]
+    is_open, is_close = f"_kind = {OPEN}", f"_kind = {CLOSE}"
+
+    # At one place closes come ahead of opens: the lots summed up, and the last
+    # of them, all start ahead of the place where a close ends.
+    worth = {
+        f"_{v.result}_ahead": (f"if({is_open}, {v.worth(v.price, '_qty')}, null)", f"decimal(37,{v.scale})")
+        for v in VALUATIONS
+    }
+    prices = ", ".join(f"{v.price} as {v.price}" for v in VALUATIONS)
+    lot = f"if({is_open}, struct(cast(_place + _qty as {QUANTITY}) as stop, {prices}), null)"
+    served = last_seen(sums_before(axis, keys, by, worth, parts), keys, order, {"_lot": lot}, parts)
+
+    behind = {v: v.worth(f"_lot.{v.price}", "_lot.stop - _place") for v in VALUATIONS}
+    costs = ", ".join(f"{subtract(f'_{v.result}_ahead', behind[v], v.scale)} as {v.result}" for v in VALUATIONS)
+    served = served.selectExpr("*", f"if({is_close}, struct({costs}), null) as _cost")
+    served = last_seen(served, keys, order, {"_cost_ahead": "_cost"}, parts, own_row=False)
+
+    def profit(v: Valuation) -> str:
+        zero = f"cast(0 as decimal(38,{v.scale}))"
+        taken = v.worth(v.price, "_qty")
+        cost = subtract(f"_cost.{v.result}", f"coalesce(_cost_ahead.{v.result}, {zero})", v.scale)
+        gain = f"if(_book = 'long', {subtract(taken, cost, v.scale)}, {subtract(cost, taken, v.scale)})"
+        return f"if({is_close}, {gain}, {zero}) as {v.result}"
+
+    return served.selectExpr("*", *[profit(v) for v in VALUATIONS])
 
 
 def fifo_profit(
@@ -150,8 +135,7 @@ def fifo_profit(
     if parts:
         # Range boundaries take a sample, which would run all this twice.
         trades = cut_into_parts(cut_lineage(trades), [symbol], order, parts)
-    positioned = position_before(trades, [symbol], order, parts)
-    axis = on_axis(with_book_totals(positioned, [symbol], order, parts), carry)
+    axis = on_axis(position_before(trades, [symbol], order, parts), [symbol], order, parts)
 
     book = [symbol, "_book"]
     if parts:

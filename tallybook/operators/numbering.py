@@ -58,6 +58,9 @@ def number_occurrences(
     def ranked(rows: DataFrame) -> DataFrame:
         return rows.withColumn(out, F.row_number().over(window).cast("bigint"))
 
+    # A bare count reads no columns; a small table needs no look at its keys.
+    if df.count() <= group_rows:
+        return ranked(df)
     large = large_groups(df, keys, group_rows)
     rows_in_large, groups = large.agg(F.sum("_size"), F.count(F.lit(1))).first()
     if not groups:
@@ -69,7 +72,7 @@ def number_occurrences(
     distinct = copied.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
     parts = Parts(math.ceil(rows_in_large / group_rows) + 1, groups)
     laid = cut_into_parts(distinct, keys, ranking, parts)
-    placed = sums_before(laid, keys, ranking, {"_ahead": (F.col("_times"), "bigint")}, parts)
+    placed = sums_before(laid, keys, ranking, {"_ahead": ("_times", "bigint")}, parts)
     spread = repeat_rows(placed.select(*df.columns, "_ahead", "_times"), "_times", "_index")
     numbered = spread.withColumn(out, F.col("_ahead") + F.col("_index")).select(*df.columns, out)
     return ranked(match(df, large, keys, "left_anti", groups)).unionByName(numbered)

@@ -75,6 +75,8 @@ def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROW
 
 def parts_needed(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> Parts | None:
     """How to cut the rows into parts; None if each group fits a task."""
+    if df.count() <= group_rows:
+        return None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     largest, total, groups = sizes.agg(F.max("_size"), F.sum("_size"), F.count(F.lit(1))).first()
     if largest is None or largest <= group_rows:
@@ -108,12 +110,12 @@ def sums_before(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    values: dict[str, tuple[Column, str]],
+    values: dict[str, tuple[str, str]],
     parts: Parts | None = None,
 ) -> DataFrame:
     """Sum of each value over the rows ahead of the row, 0 for the first one.
 
-    ``values`` maps the new column to (value, type of the sum).  Give decimal
+    ``values`` maps the new column to (expression, type of the sum).  Give decimal
     types a precision of at most 37, as adding two of 38 digits costs scale.
     ``order`` must be unique within the keys.  With ``parts``, ``df`` comes
     from :func:`cut_into_parts` for the same keys and order.
@@ -124,11 +126,11 @@ def sums_before(
     def total(x: Column, dtype: str) -> Column:
         return F.coalesce(x.cast(dtype), F.lit(0).cast(dtype))
 
-    local = df.withColumns({n: total(F.sum(v).over(ahead), t) for n, (v, t) in values.items()})
+    local = df.withColumns({n: total(F.sum(F.expr(v)).over(ahead), t) for n, (v, t) in values.items()})
     if not parts:
         return local
 
-    ends = df.groupBy(*groups).agg(*[F.sum(v).alias(f"_all_{n}") for n, (v, _) in values.items()])
+    ends = df.groupBy(*groups).agg(*[F.sum(F.expr(v)).alias(f"_all_{n}") for n, (v, _) in values.items()])
     earlier = _before(keys, [F.col(PART)])
     carried = ends.select(
         *groups, *[total(F.sum(f"_all_{n}").over(earlier), t).alias(f"_carried_{n}") for n, (_, t) in values.items()]
@@ -143,7 +145,7 @@ def last_seen(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    values: dict[str, Column],
+    values: dict[str, str],
     parts: Parts | None = None,
     own_row: bool = True,
 ) -> DataFrame:
@@ -156,13 +158,13 @@ def last_seen(
     by = [F.col(c) for c in order]
     window = Window.partitionBy(*groups).orderBy(*by)
     window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow if own_row else -1)
-    local = df.withColumns({n: F.last(v, ignorenulls=True).over(window) for n, v in values.items()})
+    local = df.withColumns({n: F.last(F.expr(v), ignorenulls=True).over(window) for n, v in values.items()})
     if not parts:
         return local
 
     place = F.struct(*by)
     ends = df.groupBy(*groups).agg(
-        *[F.max_by(v, F.when(v.isNotNull(), place)).alias(f"_end_{n}") for n, v in values.items()]
+        *[F.max_by(F.expr(v), F.when(F.expr(v).isNotNull(), place)).alias(f"_end_{n}") for n, v in values.items()]
     )
     earlier = _before(keys, [F.col(PART)])
     carried = ends.select(

@@ -12,10 +12,10 @@ from tallybook.operators.ordered import Parts, sums_before
 QUANTITY = "decimal(28,4)"
 
 
-def signed_quantity(side: Column, execution_type: Column, quantity: Column) -> Column:
+def signed_quantity(side: str = "side", execution_type: str = "execution_type", quantity: str = "quantity") -> str:
     """Bought quantities count up, sold ones down, everything else is 0."""
-    traded = F.when(side == "Buy", quantity).when(side == "Sell", -quantity)
-    return F.when((execution_type == "Trade") & side.isin("Buy", "Sell"), traded).otherwise(F.lit(0)).cast(QUANTITY)
+    sign = f"case {side} when 'Buy' then {quantity} when 'Sell' then -{quantity} else 0 end"
+    return f"cast(if({execution_type} = 'Trade', {sign}, 0) as {QUANTITY})"
 
 
 def position_before(
@@ -27,28 +27,24 @@ def position_before(
     out: str = "net_before",
 ) -> DataFrame:
     """Position held ahead of each trade."""
-    return sums_before(df, keys, order, {out: (F.col(quantity), QUANTITY)}, parts)
+    return sums_before(df, keys, order, {out: (quantity, QUANTITY)}, parts)
 
 
-def book_changes(net_before: str = "net_before", quantity: str = "quantity") -> dict[str, Column]:
-    """What a trade opens and closes, for the long and for the short book.
+def with_legs(df: DataFrame, net: str = "net_before", quantity: str = "quantity") -> DataFrame:
+    """Add the ``_closed`` and ``_opened`` quantity of each trade and the books.
 
-    A net position is long above zero and short below.  The growth of either
-    side is opened quantity and its shrinkage closed quantity; a trade that
-    crosses zero closes one book and opens the other.
+    A trade against the position closes as much of it as there is; whatever is
+    left of the trade opens.  The book closed is the side held, the book opened
+    the side of the trade.
     """
-    before = F.col(net_before).cast(QUANTITY)
-    after = (before + F.col(quantity)).cast(QUANTITY)
-    none = F.lit(0).cast(QUANTITY)
-    held = {
-        "long": (F.greatest(before, none), F.greatest(after, none)),
-        "short": (F.greatest(-before, none), F.greatest(-after, none)),
-    }
-    changes = {}
-    for book, (was, now) in held.items():
-        changes[f"{book}_open"] = F.greatest((now - was).cast(QUANTITY), none)
-        changes[f"{book}_close"] = F.greatest((was - now).cast(QUANTITY), none)
-    return changes
+    closed = f"if(sign({net}) * sign({quantity}) < 0, least(abs({net}), abs({quantity})), 0)"
+    return df.selectExpr(
+        "*",
+        f"if({net} > 0, 'long', 'short') as _closed_book",
+        f"if({quantity} > 0, 'long', 'short') as _opened_book",
+        f"cast({closed} as {QUANTITY}) as _closed",
+        f"cast(abs({quantity}) - {closed} as {QUANTITY}) as _opened",
+    )
 
 
 def split_legs(df: DataFrame, carry: Sequence[str]) -> DataFrame:
@@ -56,6 +52,7 @@ def split_legs(df: DataFrame, carry: Sequence[str]) -> DataFrame:
 
     The rows are read once and unfolded, not once per kind of leg.
     """
-    legs = [F.struct(F.lit(name).alias("leg_type"), qty.alias("qty")) for name, qty in book_changes().items()]
-    unfolded = df.select(*carry, F.inline(F.array(*legs)))
-    return unfolded.filter(F.col("qty") > 0)
+    legs = """inline(array(
+        struct(concat(_closed_book, '_close') as leg_type, _closed as qty),
+        struct(concat(_opened_book, '_open') as leg_type, _opened as qty)))"""
+    return with_legs(df).selectExpr(*carry, legs).filter(F.col("qty") > 0)

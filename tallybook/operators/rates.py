@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions import decimals, times
@@ -23,7 +23,7 @@ def if_small(df: DataFrame, max_rows: int = BROADCAST_MINUTES) -> DataFrame:
 
 def rates_by_minute(candles: DataFrame, at: str, close: str = "close_price") -> DataFrame:
     """The closing rate of each candle, cut to four digits."""
-    return candles.select(F.col(at).alias("_rate_at"), decimals.rate(F.col(close)).alias("fx_rate"))
+    return candles.selectExpr(f"{at} as _rate_at", f"{decimals.rate(close)} as fx_rate")
 
 
 def fx_at_minute(rows: DataFrame, rates: DataFrame, at: str, max_broadcast_rows: int = BROADCAST_MINUTES) -> DataFrame:
@@ -32,17 +32,19 @@ def fx_at_minute(rows: DataFrame, rates: DataFrame, at: str, max_broadcast_rows:
     ``rates`` comes from :func:`rates_by_minute`.
     """
     small = if_small(rates, max_broadcast_rows)
-    return rows.join(small, times.minute(F.col(at)) == F.col("_rate_at"), "inner").drop("_rate_at")
+    return rows.join(small, F.expr(f"{times.minute(at)} = _rate_at"), "inner").drop("_rate_at")
 
 
 def without_rate(rows: DataFrame, rates: DataFrame, at: str) -> DataFrame:
     """The rows that :func:`fx_at_minute` drops."""
-    return rows.join(if_small(rates), times.minute(F.col(at)) == F.col("_rate_at"), "left_anti")
+    return rows.join(if_small(rates), F.expr(f"{times.minute(at)} = _rate_at"), "left_anti")
 
 
-def multiplied(amount: Column, rate: Column) -> Column:
-    return amount * rate
+def multiplied(amount: str, rate: str = "fx_rate") -> str:
+    """Amount at a rate that says what one unit of it is worth."""
+    return f"({amount} * {rate})"
 
 
-def divided(amount: Column, rate: Column) -> Column:
+def divided(amount: str, rate: str = "fx_rate") -> str:
+    """Amount at a rate that says how much of it one unit costs."""
     return decimals.quotient(amount, rate)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallybook.functions.decimals import from_text, money
 from tallybook.functions.keys import key_text
@@ -18,184 +17,141 @@ ORDER_KEY = ["side", "order_utc_at", "pair", "type"]
 TRADE_KEY = ["side", "trade_utc_at", "pair"]
 TRANSACTION_KEY = ["account", "coin", "operation", "transaction_utc_at"]
 
+# Key texts; ``r`` is the occurrence number within the natural key.
+ORDER_TEXT = key_text("'binance'", "lower(side)", epoch_seconds("order_utc_at"), "lower(pair)", "lower(type)", "r")
+SPOT_TRADE_TEXT = key_text("'binance'", "lower(side)", epoch_seconds("trade_utc_at"), "lower(pair)", "r")
+FUTURES_TRADE_TEXT = key_text("trade_id", "r")
+SPOT_TRANSACTION_TEXT = key_text(
+    "'binance'", snake("account"), "lower(coin)", snake("operation"), epoch_seconds("transaction_utc_at"), "r"
+)
+FUTURES_TRANSACTION_TEXT = key_text("transaction_id", "r")
+PAYIN_TEXT = key_text("'binance'", "order_id")
 
-def _order_text() -> Column:
-    lowered = [F.lower(c) for c in ("side", "pair", "type")]
-    return key_text("binance", lowered[0], epoch_seconds(F.col("order_utc_at")), *lowered[1:], F.col("r"))
+FILLED = "status = 'FILLED'"
+SUCCESSFUL = "status = 'Successful'"
+SPOT, FUTURES = "'Spot'", "'USD-M Futures'"
 
 
-def _spot_trade_text() -> Column:
-    at = epoch_seconds(F.col("trade_utc_at"))
-    return key_text("binance", F.lower("side"), at, F.lower("pair"), F.col("r"))
-
-
-def _futures_trade_text() -> Column:
-    return key_text(F.col("trade_id"), F.col("r"))
-
-
-def _spot_transaction_text() -> Column:
-    at = epoch_seconds(F.col("transaction_utc_at"))
-    return key_text("binance", snake(F.col("account")), F.lower("coin"), snake(F.col("operation")), at, F.col("r"))
-
-
-def _futures_transaction_text() -> Column:
-    return key_text(F.col("transaction_id"), F.col("r"))
-
-
-def _payin_text() -> Column:
-    return key_text("binance", F.col("order_id"))
-
-
-def _amount(column: str) -> Column:
-    return money(amount_text(F.col(column)))
-
-
-def _filled(orders_spot: DataFrame) -> DataFrame:
-    return orders_spot.filter(F.col("status") == "FILLED")
-
-
-def _successful(payins: DataFrame) -> DataFrame:
-    return payins.filter(F.col("status") == "Successful")
+def _amount(column: str) -> str:
+    return money(amount_text(column))
 
 
 def hub_binance_order(orders_spot: DataFrame, run_id: str) -> DataFrame:
-    numbered = occurrences(_filled(orders_spot), ORDER_KEY)
-    return hub(numbered, _order_text(), "pk_binance_order", "bk_binance_order", run_id)
+    numbered = occurrences(orders_spot.filter(FILLED), ORDER_KEY)
+    return hub(numbered, ORDER_TEXT, "pk_binance_order", "bk_binance_order", run_id)
 
 
 def hub_binance_payin(payins: DataFrame, run_id: str) -> DataFrame:
-    return hub(_successful(payins), _payin_text(), "pk_binance_payin", "bk_binance_payin", run_id)
+    return hub(payins.filter(SUCCESSFUL), PAYIN_TEXT, "pk_binance_payin", "bk_binance_payin", run_id)
 
 
 def hub_binance_trade(trades_spot: DataFrame, trades_futures: DataFrame, run_id: str) -> DataFrame:
-    spot = occurrences(trades_spot, TRADE_KEY).select(_spot_trade_text().alias("text"))
-    futures = occurrences(trades_futures, ["trade_id"]).select(_futures_trade_text().alias("text"))
-    return hub(spot.unionByName(futures), F.col("text"), "pk_binance_trade", "bk_binance_trade", run_id)
+    spot = occurrences(trades_spot, TRADE_KEY).selectExpr(f"{SPOT_TRADE_TEXT} as text")
+    futures = occurrences(trades_futures, ["trade_id"]).selectExpr(f"{FUTURES_TRADE_TEXT} as text")
+    return hub(spot.unionByName(futures), "text", "pk_binance_trade", "bk_binance_trade", run_id)
 
 
 def hub_binance_transaction(transactions_spot: DataFrame, transactions_futures: DataFrame, run_id: str) -> DataFrame:
-    spot = occurrences(transactions_spot, TRANSACTION_KEY).select(_spot_transaction_text().alias("text"))
-    futures = occurrences(transactions_futures, ["transaction_id"]).select(_futures_transaction_text().alias("text"))
-    return hub(spot.unionByName(futures), F.col("text"), "pk_binance_transaction", "bk_crypto_transaction", run_id)
+    spot = occurrences(transactions_spot, TRANSACTION_KEY).selectExpr(f"{SPOT_TRANSACTION_TEXT} as text")
+    futures = occurrences(transactions_futures, ["transaction_id"]).selectExpr(f"{FUTURES_TRANSACTION_TEXT} as text")
+    return hub(spot.unionByName(futures), "text", "pk_binance_transaction", "bk_crypto_transaction", run_id)
 
 
 def sat_binance_order(orders_spot: DataFrame, run_id: str, group_rows: int = GROUP_ROWS) -> DataFrame:
-    used = _filled(orders_spot).select(
-        *ORDER_KEY, "trading_total", "order_amount", "order_price", "executed", "average_price"
-    )
-    numbered = number_occurrences(used, ORDER_KEY, ["trading_total"], group_rows=group_rows)
-    attributes = [
-        second(F.col("order_utc_at")).alias("order_at"),
-        F.lit("binance").alias("platform"),
-        F.lit("spot").alias("wallet"),
-        F.col("side"),
-        F.col("pair"),
-        F.col("type"),
-        _amount("order_amount").alias("order_amount"),
-        coin_text(F.col("order_amount")).alias("order_coin"),
-        money(F.col("order_price")).alias("order_price"),
-        _amount("executed").alias("executed_amount"),
-        money(F.col("average_price")).alias("executed_price"),
-        _amount("trading_total").alias("trade_amount"),
-        coin_text(F.col("trading_total")).alias("trade_coin"),
-    ]
-    return satellite(numbered, _order_text(), "fk_binance_order", attributes, run_id)
+    filled = orders_spot.filter(FILLED).drop("status")
+    numbered = number_occurrences(filled, ORDER_KEY, ["trading_total"], group_rows=group_rows)
+    attributes = {
+        "order_at": second("order_utc_at"),
+        "platform": "'binance'",
+        "wallet": "'spot'",
+        "side": "side",
+        "pair": "pair",
+        "type": "type",
+        "order_amount": _amount("order_amount"),
+        "order_coin": coin_text("order_amount"),
+        "order_price": money("order_price"),
+        "executed_amount": _amount("executed"),
+        "executed_price": money("average_price"),
+        "trade_amount": _amount("trading_total"),
+        "trade_coin": coin_text("trading_total"),
+    }
+    return satellite(numbered, ORDER_TEXT, "fk_binance_order", attributes, run_id)
 
 
 def sat_binance_payin(payins: DataFrame, run_id: str) -> DataFrame:
-    attributes = [
-        F.lit("binance").alias("platform"),
-        second(F.col("payin_local_at")).alias("payin_at"),
-        from_text(F.col("amount"), 9, 2).alias("amount"),
-        from_text(F.col("fee"), 9, 2).alias("fee_amount"),
-        F.col("coin"),
-        F.col("payment_method"),
-    ]
-    return satellite(_successful(payins), _payin_text(), "fk_binance_payin", attributes, run_id)
+    attributes = {
+        "platform": "'binance'",
+        "payin_at": second("payin_local_at"),
+        "amount": from_text("amount", 9, 2),
+        "fee_amount": from_text("fee", 9, 2),
+        "coin": "coin",
+        "payment_method": "payment_method",
+    }
+    return satellite(payins.filter(SUCCESSFUL), PAYIN_TEXT, "fk_binance_payin", attributes, run_id)
 
 
 def sat_binance_trade(
     trades_spot: DataFrame, trades_futures: DataFrame, run_id: str, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
-    def described(numbered: DataFrame, text: Column, wallet: str, pair: str, executed: str, special: dict) -> DataFrame:
-        return satellite(
-            numbered,
-            text,
-            "fk_binance_trade",
-            [
-                second(F.col("trade_utc_at")).alias("trade_at"),
-                F.lit("binance").alias("platform"),
-                F.lit(wallet).alias("wallet"),
-                F.col("side"),
-                F.col(pair).alias("pair"),
-                _amount("amount").alias("trade_amount"),
-                special["trade_coin"].alias("trade_coin"),
-                _amount("fee").alias("fee_amount"),
-                coin_text(F.col("fee")).alias("fee_coin"),
-                _amount(executed).alias("executed_amount"),
-                special["executed_coin"].alias("executed_coin"),
-                special["realized_profit"].alias("realized_profit"),
-            ],
-            run_id,
-        )
-
-    spot = described(
-        number_occurrences(trades_spot, TRADE_KEY, ["amount"], group_rows=group_rows),
-        _spot_trade_text(),
-        wallet="Spot",
+    def attributes(wallet: str, pair: str, executed: str, **special: str) -> dict[str, str]:
+        return {
+            "trade_at": second("trade_utc_at"),
+            "platform": "'binance'",
+            "wallet": wallet,
+            "side": "side",
+            "pair": pair,
+            "trade_amount": _amount("amount"),
+            "trade_coin": special["trade_coin"],
+            "fee_amount": _amount("fee"),
+            "fee_coin": coin_text("fee"),
+            "executed_amount": _amount(executed),
+            "executed_coin": special["executed_coin"],
+            "realized_profit": special["realized_profit"],
+        }
+
+    of_spot = attributes(
+        SPOT,
         pair="pair",
         executed="executed",
-        special={
-            "trade_coin": coin_text(F.col("amount")),
-            "executed_coin": coin_text(F.col("executed")),
-            "realized_profit": F.lit(None).cast("decimal(18,8)"),
-        },
+        trade_coin=coin_text("amount"),
+        executed_coin=coin_text("executed"),
+        realized_profit="cast(null as decimal(18,8))",
     )
-    futures = described(
-        number_occurrences(trades_futures, ["trade_id"], ["amount"], group_rows=group_rows),
-        _futures_trade_text(),
-        wallet="USD-M Futures",
+    of_futures = attributes(
+        FUTURES,
         pair="symbol",
         executed="quantity",
-        special={
-            "trade_coin": F.lit("UDST"),  # fixed value, spelled like this in existing ledgers
-            "executed_coin": F.replace(F.col("symbol"), F.lit("USDT"), F.lit("")),
-            "realized_profit": money(F.col("realized_profit")),
-        },
+        trade_coin="'UDST'",  # fixed value, spelled like this in existing ledgers
+        executed_coin="replace(symbol, 'USDT', '')",
+        realized_profit=money("realized_profit"),
+    )
+    spot = number_occurrences(trades_spot, TRADE_KEY, ["amount"], group_rows=group_rows)
+    futures = number_occurrences(trades_futures, ["trade_id"], ["amount"], group_rows=group_rows)
+    return satellite(spot, SPOT_TRADE_TEXT, "fk_binance_trade", of_spot, run_id).unionByName(
+        satellite(futures, FUTURES_TRADE_TEXT, "fk_binance_trade", of_futures, run_id)
     )
-    return spot.unionByName(futures)
 
 
 def sat_binance_transaction(
     transactions_spot: DataFrame, transactions_futures: DataFrame, run_id: str, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
-    futures_wallet = F.lit("USD-M Futures")
-    shared = ["text", "transaction_utc_at", "wallet", "from_wallet", "operation", "change", "coin"]
-    spot = (
-        number_occurrences(transactions_spot, TRANSACTION_KEY, ["change"], group_rows=group_rows)
-        .withColumns(
-            {"text": _spot_transaction_text(), "wallet": F.lit("Spot"), "from_wallet": F.col("account")}
-        )
-        .select(*shared)
+    def attributes(wallet: str, from_wallet: str, operation: str, change: str, coin: str) -> dict[str, str]:
+        return {
+            "transaction_at": second("transaction_utc_at"),
+            "wallet": wallet,
+            "from_wallet": from_wallet,
+            "operation": operation,
+            "change_amount": money(change),
+            "coin": coin,
+        }
+
+    origin = f"if(type = 'TRANSFER', {SPOT}, {FUTURES})"
+    of_spot = attributes(SPOT, "account", "operation", "change", "coin")
+    of_futures = attributes(FUTURES, origin, "type", "amount", "asset")
+    spot = number_occurrences(transactions_spot, TRANSACTION_KEY, ["change"], group_rows=group_rows)
+    futures = number_occurrences(
+        transactions_futures, ["transaction_id"], ["amount", "type"], group_rows=group_rows
     )
-    futures = (
-        number_occurrences(transactions_futures, ["transaction_id"], ["amount", "type"], group_rows=group_rows)
-        .withColumns(
-            {
-                "text": _futures_transaction_text(),
-                "wallet": futures_wallet,
-                "from_wallet": F.when(F.col("type") == "TRANSFER", F.lit("Spot")).otherwise(futures_wallet),
-            }
-        )
-        .withColumnsRenamed({"type": "operation", "amount": "change", "asset": "coin"})
-        .select(*shared)
+    return satellite(spot, SPOT_TRANSACTION_TEXT, "fk_binance_transaction", of_spot, run_id).unionByName(
+        satellite(futures, FUTURES_TRANSACTION_TEXT, "fk_binance_transaction", of_futures, run_id)
     )
-    attributes = [
-        second(F.col("transaction_utc_at")).alias("transaction_at"),
-        F.col("wallet"),
-        F.col("from_wallet"),
-        F.col("operation"),
-        money(F.col("change")).alias("change_amount"),
-        F.col("coin"),
-    ]
-    return satellite(spot.unionByName(futures), F.col("text"), "fk_binance_transaction", attributes, run_id)

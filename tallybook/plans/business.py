@@ -33,23 +33,21 @@ def calc_binance_transaction_accountbalance(
     return with_audit(balances.select("fk_binance_transaction", "accountbalance"), run_id)
 
 
-def bybit_base(
-    trades: DataFrame, klines: DataFrame, max_broadcast_rows: int = BROADCAST_MINUTES
-) -> DataFrame:
+def bybit_base(trades: DataFrame, klines: DataFrame, max_broadcast_rows: int = BROADCAST_MINUTES) -> DataFrame:
     """Trades with signed quantity and with price and fee in EUR."""
-    candles = klines.filter((F.col("symbol") == "USDTEUR") & (F.col("kline_interval") == "1m"))
+    candles = klines.filter("symbol = 'USDTEUR' and kline_interval = '1m'")
     rated = fx_at_minute(trades, rates_by_minute(candles, "kline_start_at"), "trade_at", max_broadcast_rows)
-    return rated.select(
+    return rated.selectExpr(
         "fk_bybit_trade",
         "symbol",
         "trade_at",
         "side",
         "execution_type",
         "price",
-        multiplied(F.col("price"), F.col("fx_rate")).cast("decimal(28,12)").alias("price_eur"),
-        signed_quantity(F.col("side"), F.col("execution_type"), F.col("quantity")).alias("quantity"),
+        f"cast({multiplied('price')} as decimal(28,12)) as price_eur",
+        f"{signed_quantity()} as quantity",
         "fee_amount",
-        multiplied(F.col("fee_amount"), F.col("fx_rate")).cast("decimal(28,8)").alias("fee_amount_eur"),
+        f"cast({multiplied('fee_amount')} as decimal(28,8)) as fee_amount_eur",
     )
 
 
@@ -69,26 +67,24 @@ def calc_kraken_pnl_per_trade(
     positions: DataFrame, ohlc: DataFrame, max_broadcast_rows: int = BROADCAST_MINUTES
 ) -> DataFrame:
     """Profit as reported by the exchange, converted at the closing minute."""
-    candles = ohlc.filter(F.col("symbol") == "PF_EURUSD")
+    candles = ohlc.filter("symbol = 'PF_EURUSD'")
     rated = fx_at_minute(positions, rates_by_minute(candles, "ohlc_at"), "fill_at", max_broadcast_rows)
-    new, old, reason = F.col("new_position"), F.col("old_position"), F.col("update_reason")
-    none = F.lit(0).cast("decimal(18,8)")
-    fee = (F.coalesce("fee", none) - F.coalesce("realized_funding", none)).cast("decimal(18,8)")
-    profit = F.coalesce("realized_pnl", none)
-    rate = F.col("fx_rate")
-    return rated.select(
-        F.col("fk_kraken_position").alias("fk_kraken_trade"),
-        F.col("contract").alias("symbol"),
-        F.col("fill_at").alias("trade_at"),
-        F.when(new > old, "Buy").when(new < old, "Sell").otherwise("Funding").alias("side"),
-        F.when(reason == "fundingRealisation", "Funding").when(reason == "trade", "Trade").otherwise(reason).alias(
-            "execution_type"
-        ),
-        F.col("execution_price").alias("price"),
-        divided(F.col("execution_price"), rate).alias("price_eur"),
-        F.col("execution_size").alias("quantity"),
-        fee.alias("fee_amount"),
-        divided(fee, rate).alias("fee_amount_eur"),
-        profit.alias("realized_pnl"),
-        divided(profit, rate).alias("realized_pnl_eur"),
+    fee = "cast(coalesce(fee, 0) - coalesce(realized_funding, 0) as decimal(18,8))"
+    profit = "cast(coalesce(realized_pnl, 0) as decimal(18,8))"
+    # The names of update reasons.
+    reasons = "when 'fundingRealisation' then 'Funding' when 'trade' then 'Trade' else update_reason"
+    moved = "when 1 then 'Buy' when -1 then 'Sell' else 'Funding'"
+    return rated.selectExpr(
+        "fk_kraken_position as fk_kraken_trade",
+        "contract as symbol",
+        "fill_at as trade_at",
+        f"case sign(new_position - old_position) {moved} end as side",
+        f"case update_reason {reasons} end as execution_type",
+        "execution_price as price",
+        f"{divided('execution_price')} as price_eur",
+        "execution_size as quantity",
+        f"{fee} as fee_amount",
+        f"{divided(fee)} as fee_amount_eur",
+        f"{profit} as realized_pnl",
+        f"{divided(profit)} as realized_pnl_eur",
     )

@@ -8,144 +8,133 @@ default.  ``normalise_keys=True`` makes all keys of a record the same.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.decimals import cut, from_text, money
 from tallybook.functions.keys import hashed, key_text, with_audit
 from tallybook.functions.times import second_from_millis
 from tallybook.operators.dedup import keep_one
-from tallybook.plans.vault import hub, link, satellite
+from tallybook.plans.vault import hub, link, named, satellite
 
-
-def _order_text() -> Column:
-    return key_text("bybit", F.col("orderId"))
-
-
-def _trade_text(lower: bool) -> Column:
-    return key_text("bybit", F.lower("symbol") if lower else F.col("symbol"), F.col("execId"))
-
-
-def _pnl_text() -> Column:
-    return key_text("bybit", F.lower("symbol"), F.col("orderId"))
-
-
-def _kline_text() -> Column:
-    return key_text("usdteur", "1m", F.col("klineAt"))
+ORDER_TEXT = key_text("'bybit'", "orderId")
+PNL_TEXT = key_text("'bybit'", "lower(symbol)", "orderId")
+KLINE_TEXT = key_text("'usdteur'", "'1m'", "klineAt")
+TRADE_TEXT = key_text("'bybit'", "symbol", "execId")
+LOWERED_TRADE_TEXT = key_text("'bybit'", "lower(symbol)", "execId")
 
 
 def latest_execution(trades: DataFrame) -> DataFrame:
-    return keep_one(trades, ["execId"], [F.col("execTime").desc_nulls_last()], ties=["symbol"])
+    return keep_one(trades, ["execId"], [F.desc_nulls_last("execTime")], ties=["symbol"])
 
 
 def latest_order(orders: DataFrame) -> DataFrame:
-    return keep_one(orders, ["orderId"], [F.col("createdTime").desc_nulls_last()])
+    return keep_one(orders, ["orderId"], [F.desc_nulls_last("createdTime")])
 
 
 def fullest_candle(klines: DataFrame) -> DataFrame:
-    return keep_one(klines, ["klineAt"], [F.col("volume").desc_nulls_last()])
+    return keep_one(klines, ["klineAt"], [F.desc_nulls_last("volume")])
 
 
 def hub_bybit_kline(klines: DataFrame, run_id: str) -> DataFrame:
     # The key holds all that identifies a candle, whichever copy is kept.
-    return hub(klines.select("klineAt").distinct(), _kline_text(), "pk_bybit_kline", "bk_bybit_kline", run_id)
+    return hub(klines.select("klineAt").distinct(), KLINE_TEXT, "pk_bybit_kline", "bk_bybit_kline", run_id)
 
 
 def hub_bybit_order(orders: DataFrame, run_id: str, normalise_keys: bool = False) -> DataFrame:
+    key = hashed(ORDER_TEXT if normalise_keys else key_text(ORDER_TEXT, "'1'"))
     kept = orders.select("orderId").distinct()
-    text = _order_text()
-    key = hashed(text if normalise_keys else key_text(text, "1"))
-    return with_audit(kept.select(key.alias("pk_bybit_order"), text.alias("bk_bybit_order")), run_id, after=2)
+    return with_audit(kept.selectExpr(*named({"pk_bybit_order": key, "bk_bybit_order": ORDER_TEXT})), run_id, after=2)
 
 
 def hub_bybit_pnl(pnl: DataFrame, run_id: str) -> DataFrame:
-    return hub(pnl, _pnl_text(), "pk_bybit_pnl", "bk_bybit_pnl", run_id)
+    return hub(pnl, PNL_TEXT, "pk_bybit_pnl", "bk_bybit_pnl", run_id)
 
 
 def hub_bybit_trade(trades: DataFrame, run_id: str) -> DataFrame:
     kept = latest_execution(trades.select("execId", "execTime", "symbol"))
-    return hub(kept, _trade_text(lower=True), "pk_bybit_trade", "bk_crypto_trade", run_id)
+    return hub(kept, LOWERED_TRADE_TEXT, "pk_bybit_trade", "bk_crypto_trade", run_id)
 
 
 def sat_bybit_kline(klines: DataFrame, run_id: str) -> DataFrame:
-    start = second_from_millis(F.col("klineAt"))
-    attributes = [
-        _kline_text().alias("bk_bybit_kline"),
-        F.lit("USDTEUR").alias("symbol"),
-        F.lit("1m").alias("kline_interval"),
-        start.alias("kline_start_at"),
-        (start + F.expr("INTERVAL 60 SECONDS")).alias("kline_end_at"),
-        cut(F.col("openPrice"), 18, 8).alias("open_price"),
-        cut(F.col("highPrice"), 18, 8).alias("high_price"),
-        cut(F.col("lowPrice"), 18, 8).alias("low_price"),
-        cut(F.col("closePrice"), 18, 8).alias("close_price"),
-        cut(F.col("volume"), 18, 4).alias("volume"),
-        cut(F.col("turnover"), 18, 8).alias("turnover"),
-    ]
-    described = fullest_candle(klines).select(hashed(_kline_text()).alias("fk_bybit_kline"), *attributes)
-    return with_audit(described, run_id, after=2)
+    start = second_from_millis("klineAt")
+    attributes = {
+        "bk_bybit_kline": KLINE_TEXT,
+        "symbol": "'USDTEUR'",
+        "kline_interval": "'1m'",
+        "kline_start_at": start,
+        "kline_end_at": f"{start} + interval 60 seconds",
+        "open_price": cut("openPrice", 18, 8),
+        "high_price": cut("highPrice", 18, 8),
+        "low_price": cut("lowPrice", 18, 8),
+        "close_price": cut("closePrice", 18, 8),
+        "volume": cut("volume", 18, 4),
+        "turnover": cut("turnover", 18, 8),
+    }
+    described = {"fk_bybit_kline": hashed(KLINE_TEXT)} | attributes
+    return with_audit(fullest_candle(klines).selectExpr(*named(described)), run_id, after=2)
 
 
 def sat_bybit_order(orders: DataFrame, run_id: str) -> DataFrame:
-    attributes = [
-        F.lit("bybit").alias("platform"),
-        F.col("symbol"),
-        F.col("side"),
-        F.col("orderId").alias("order_id"),
-        F.col("orderType").alias("order_type"),
-        F.col("orderStatus").alias("order_status"),
-        second_from_millis(F.col("createdTime")).alias("order_at"),
-        from_text(F.col("qty"), 18, 4).alias("quantity"),
-        money(F.col("price")).alias("price"),
-        money(F.col("cumExecValue")).alias("cumumlative_exec_value"),  # fixed value, spelled like this in ledgers
-        money(F.col("cumExecFee")).alias("cumulative_exec_fee"),
-    ]
-    return satellite(latest_order(orders), _order_text(), "fk_bybit_order", attributes, run_id)
+    attributes = {
+        "platform": "'bybit'",
+        "symbol": "symbol",
+        "side": "side",
+        "order_id": "orderId",
+        "order_type": "orderType",
+        "order_status": "orderStatus",
+        "order_at": second_from_millis("createdTime"),
+        "quantity": from_text("qty", 18, 4),
+        "price": money("price"),
+        "cumumlative_exec_value": money("cumExecValue"),  # fixed value, spelled like this in existing ledgers
+        "cumulative_exec_fee": money("cumExecFee"),
+    }
+    return satellite(latest_order(orders), ORDER_TEXT, "fk_bybit_order", attributes, run_id)
 
 
 def sat_bybit_pnl(pnl: DataFrame, run_id: str) -> DataFrame:
-    attributes = [
-        F.lit("bybit").alias("platform"),
-        F.col("symbol"),
-        F.col("side"),
-        F.col("orderType").alias("order_type"),
-        from_text(F.col("qty"), 18, 4).alias("quantity"),
-        money(F.col("avgEntryPrice")).alias("avg_entry_price"),
-        money(F.col("cumEntryValue")).alias("cum_entry_value"),
-        money(F.col("avgExitPrice")).alias("avg_exit_price"),
-        money(F.col("cumExitValue")).alias("cum_exit_value"),
-        money(F.col("orderPrice")).alias("order_price"),
-        money(F.col("closedPnl")).alias("closed_pnl"),
-    ]
-    return satellite(pnl, _pnl_text(), "fk_bybit_pnl", attributes, run_id)
+    attributes = {
+        "platform": "'bybit'",
+        "symbol": "symbol",
+        "side": "side",
+        "order_type": "orderType",
+        "quantity": from_text("qty", 18, 4),
+        "avg_entry_price": money("avgEntryPrice"),
+        "cum_entry_value": money("cumEntryValue"),
+        "avg_exit_price": money("avgExitPrice"),
+        "cum_exit_value": money("cumExitValue"),
+        "order_price": money("orderPrice"),
+        "closed_pnl": money("closedPnl"),
+    }
+    return satellite(pnl, PNL_TEXT, "fk_bybit_pnl", attributes, run_id)
 
 
 def sat_bybit_trade(trades: DataFrame, run_id: str, normalise_keys: bool = False) -> DataFrame:
-    attributes = [
-        F.col("symbol"),
-        F.col("orderType").alias("order_type"),
-        second_from_millis(F.col("execTime")).alias("trade_at"),
-        F.col("side"),
-        F.col("execType").alias("execution_type"),
-        from_text(F.col("execQty"), 18, 4).alias("quantity"),
-        from_text(F.col("orderQty"), 18, 4).alias("order_quantity"),
-        money(F.col("execPrice")).alias("price"),
-        money(F.col("markPrice")).alias("mark_price"),
-        money(F.col("orderPrice")).alias("order_price"),
-        money(F.col("execValue")).alias("execution_value"),
-        from_text(F.col("execFee"), 18, 4).alias("fee_amount"),
-        F.col("feeCurrency").alias("fee_currency"),
-    ]
-    used = trades.drop("orderId")
-    return satellite(latest_execution(used), _trade_text(normalise_keys), "fk_bybit_trade", attributes, run_id)
+    attributes = {
+        "symbol": "symbol",
+        "order_type": "orderType",
+        "trade_at": second_from_millis("execTime"),
+        "side": "side",
+        "execution_type": "execType",
+        "quantity": from_text("execQty", 18, 4),
+        "order_quantity": from_text("orderQty", 18, 4),
+        "price": money("execPrice"),
+        "mark_price": money("markPrice"),
+        "order_price": money("orderPrice"),
+        "execution_value": money("execValue"),
+        "fee_amount": from_text("execFee", 18, 4),
+        "fee_currency": "feeCurrency",
+    }
+    text = LOWERED_TRADE_TEXT if normalise_keys else TRADE_TEXT
+    return satellite(latest_execution(trades.drop("orderId")), text, "fk_bybit_trade", attributes, run_id)
 
 
 def link_bybit_pnl_bybit_order(pnl: DataFrame, run_id: str) -> DataFrame:
-    ends = {"fk_bybit_pnl": _pnl_text(), "fk_bybit_order": _order_text()}
-    return link(pnl, ("pk_bybit_pnl_bybit_order", _pnl_text()), ends, run_id)
+    ends = {"fk_bybit_pnl": PNL_TEXT, "fk_bybit_order": ORDER_TEXT}
+    return link(pnl, ("pk_bybit_pnl_bybit_order", PNL_TEXT), ends, run_id)
 
 
 def link_bybit_trade_bybit_order(trades: DataFrame, run_id: str, normalise_keys: bool = False) -> DataFrame:
-    trade = _trade_text(normalise_keys)
-    ends = {"fk_bybit_trade": trade, "fk_bybit_order": _order_text()}
-    return link(trades, ("pk_bybit_trade_bybit_order", trade), ends, run_id)
+    text = LOWERED_TRADE_TEXT if normalise_keys else TRADE_TEXT
+    ends = {"fk_bybit_trade": text, "fk_bybit_order": ORDER_TEXT}
+    return link(trades, ("pk_bybit_trade_bybit_order", text), ends, run_id)

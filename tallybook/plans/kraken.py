@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.decimals import from_text, money
@@ -11,28 +11,15 @@ from tallybook.functions.times import from_iso, from_iso_or_null, from_millis
 from tallybook.operators.dedup import keep_one
 from tallybook.plans.vault import hub, satellite
 
-KRAKEN = "kraken_futures"
+KRAKEN = "'kraken_futures'"
+IS_FUNDING = "updateReason = 'fundingRealisation'"
 
-
-def _ohlc_text() -> Column:
-    return key_text("eur_usd_1m", F.col("time"))
-
-
-def _position_text() -> Column:
-    """Funding is identified by its contract, an execution by its id."""
-    at = F.col("timestamp")
-    funding = key_text(KRAKEN, "funding", F.lower("tradeable"), at)
-    return F.when(F.col("updateReason") == "fundingRealisation", funding).otherwise(
-        key_text(KRAKEN, F.col("executionUid"), at)
-    )
-
-
-def _ticker_text() -> Column:
-    return key_text(KRAKEN, F.lower("symbol"), F.lower("tag"))
-
-
-def _transaction_text() -> Column:
-    return key_text(KRAKEN, F.col("booking_uid"))
+OHLC_TEXT = key_text("'eur_usd_1m'", "`time`")
+TICKER_TEXT = key_text(KRAKEN, "lower(symbol)", "lower(tag)")
+TRANSACTION_TEXT = key_text(KRAKEN, "booking_uid")
+# Funding is identified by its contract, an execution by its id.
+FUNDING_TEXT = key_text(KRAKEN, "'funding'", "lower(tradeable)", "`timestamp`")
+POSITION_TEXT = f"if({IS_FUNDING}, {FUNDING_TEXT}, {key_text(KRAKEN, 'executionUid', '`timestamp`')})"
 
 
 def one_position(positions: DataFrame, normalise_keys: bool = False) -> DataFrame:
@@ -42,12 +29,11 @@ def one_position(positions: DataFrame, normalise_keys: bool = False) -> DataFram
     two contracts funded at the same time one is kept.  ``normalise_keys``
     tells them apart by contract.
     """
-    keys = ["executionUid", "timestamp"]
+    keys, ties = ["executionUid", "timestamp"], ["updateReason", "tradeable"]
     if not normalise_keys:
-        return keep_one(positions, keys, [], ties=["updateReason", "tradeable"])
-    contract = F.when(F.col("updateReason") == "fundingRealisation", F.lower("tradeable"))
-    told_apart = positions.withColumn("_contract", contract)
-    return keep_one(told_apart, [*keys, "_contract"], [], ties=["updateReason", "tradeable"]).drop("_contract")
+        return keep_one(positions, keys, [], ties)
+    told_apart = positions.withColumn("_contract", F.expr(f"if({IS_FUNDING}, lower(tradeable), null)"))
+    return keep_one(told_apart, [*keys, "_contract"], [], ties).drop("_contract")
 
 
 def one_candle(ohlc: DataFrame) -> DataFrame:
@@ -55,95 +41,92 @@ def one_candle(ohlc: DataFrame) -> DataFrame:
 
 
 def earliest_booking(transactions: DataFrame) -> DataFrame:
-    return keep_one(transactions, ["booking_uid"], [F.col("date").asc_nulls_last()])
+    return keep_one(transactions, ["booking_uid"], [F.asc_nulls_last("date")])
 
 
 def hub_kraken_ohlc(ohlc: DataFrame, run_id: str) -> DataFrame:
-    return hub(ohlc.select("time").distinct(), _ohlc_text(), "pk_kraken_ohlc", "bk_kraken_ohlc", run_id)
+    return hub(ohlc.select("time").distinct(), OHLC_TEXT, "pk_kraken_ohlc", "bk_kraken_ohlc", run_id)
 
 
 def hub_kraken_position(positions: DataFrame, run_id: str, normalise_keys: bool = False) -> DataFrame:
     used = positions.select("executionUid", "timestamp", "updateReason", "tradeable")
     kept = one_position(used, normalise_keys)
-    return hub(kept, _position_text(), "pk_kraken_position", "bk_kraken_position", run_id)
+    return hub(kept, POSITION_TEXT, "pk_kraken_position", "bk_kraken_position", run_id)
 
 
 def hub_kraken_ticker(tickers: DataFrame, run_id: str) -> DataFrame:
-    return hub(tickers, _ticker_text(), "pk_kraken_ticker", "bk_kraken_ticker", run_id)
+    return hub(tickers, TICKER_TEXT, "pk_kraken_ticker", "bk_kraken_ticker", run_id)
 
 
 def hub_kraken_transaction(transactions: DataFrame, run_id: str) -> DataFrame:
     kept = transactions.select("booking_uid").distinct()
-    return hub(kept, _transaction_text(), "pk_kraken_transaction", "bk_kraken_transaction", run_id)
+    return hub(kept, TRANSACTION_TEXT, "pk_kraken_transaction", "bk_kraken_transaction", run_id)
 
 
 def sat_kraken_ohlc(ohlc: DataFrame, run_id: str) -> DataFrame:
-    attributes = [
-        from_millis(F.col("time")).alias("ohlc_at"),
-        F.lit("PF_EURUSD").alias("symbol"),
-        *[F.col(c).alias(f"{c}_price") for c in ("open", "high", "low", "close")],
-        F.col("volume"),
-    ]
-    return satellite(one_candle(ohlc), _ohlc_text(), "fk_kraken_ohlc", attributes, run_id)
+    attributes = {
+        "ohlc_at": from_millis("`time`"),
+        "symbol": "'PF_EURUSD'",
+        **{f"{price}_price": price for price in ("open", "high", "low", "close")},
+        "volume": "volume",
+    }
+    return satellite(one_candle(ohlc), OHLC_TEXT, "fk_kraken_ohlc", attributes, run_id)
 
 
 def sat_kraken_position(positions: DataFrame, run_id: str, normalise_keys: bool = False) -> DataFrame:
-    attributes = [
-        F.col("accountUid").alias("account_id"),
-        F.col("executionUid").alias("execution_id"),
-        F.lower("tradeable").alias("contract"),
-        F.col("updateReason").alias("update_reason"),
-        F.col("tradeType").alias("trade_type"),
-        from_millis(F.col("fillTime")).alias("fill_at"),
-        from_millis(F.col("timestamp")).alias("update_at"),
-        money(F.col("newPosition")).alias("new_position"),
-        money(F.col("oldPosition")).alias("old_position"),
-        money(F.col("fee")).alias("fee"),
-        F.col("feeCurrency").alias("fee_currency"),
-        money(F.col("realizedPnL")).alias("realized_pnl"),
-        money(F.col("executionSize")).alias("execution_size"),
-        money(F.col("executionPrice")).alias("execution_price"),
-        money(F.col("positionChange")).alias("position_change"),
-        from_millis(F.col("fundingRealizationTime")).alias("funding_at"),
-        money(F.col("realizedFunding")).alias("realized_funding"),
-        money(F.col("newAverageEntryPrice")).alias("new_average_entry_price"),
-        money(F.col("oldAverageEntryPrice")).alias("old_average_entry_price"),
-    ]
+    attributes = {
+        "account_id": "accountUid",
+        "execution_id": "executionUid",
+        "contract": "lower(tradeable)",
+        "update_reason": "updateReason",
+        "trade_type": "tradeType",
+        "fill_at": from_millis("fillTime"),
+        "update_at": from_millis("`timestamp`"),
+        "new_position": money("newPosition"),
+        "old_position": money("oldPosition"),
+        "fee": money("fee"),
+        "fee_currency": "feeCurrency",
+        "realized_pnl": money("realizedPnL"),
+        "execution_size": money("executionSize"),
+        "execution_price": money("executionPrice"),
+        "position_change": money("positionChange"),
+        "funding_at": from_millis("fundingRealizationTime"),
+        "realized_funding": money("realizedFunding"),
+        "new_average_entry_price": money("newAverageEntryPrice"),
+        "old_average_entry_price": money("oldAverageEntryPrice"),
+    }
     kept = one_position(positions, normalise_keys)
-    return satellite(kept, _position_text(), "fk_kraken_position", attributes, run_id)
+    return satellite(kept, POSITION_TEXT, "fk_kraken_position", attributes, run_id)
 
 
 def sat_kraken_ticker(tickers: DataFrame, run_id: str) -> DataFrame:
-    def large(column: str) -> Column:
-        return from_text(F.col(column), 38, 8)
-
-    attributes = [
-        F.col("tag"),
-        F.col("symbol"),
-        F.col("pair"),
-        F.col("suspended").alias("is_suspended"),
-        F.col("postOnly").alias("is_post_only"),
-        from_iso_or_null(F.col("lastTime")).alias("last_trade_at"),
-        money(F.col("last")).alias("last_price"),
-        money(F.col("lastSize")).alias("last_size"),
-        money(F.col("bid")).alias("bid_price"),
-        large("bidSize").alias("bid_size"),
-        money(F.col("ask")).alias("ask_price"),
-        large("askSize").alias("ask_size"),
-        money(F.col("markPrice")).alias("mark_price"),
-        money(F.col("indexPrice")).alias("index_price"),
-        money(F.col("vwap24h")).alias("vwap_24h"),
-        money(F.col("open24h")).alias("open_24h"),
-        money(F.col("high24h")).alias("high_24h"),
-        money(F.col("low24h")).alias("low_24h"),
-        money(F.col("change24h")).alias("change_24h"),
-        large("vol24h").alias("volume_24h"),
-        money(F.col("volumeQuote")).alias("volume_quote"),
-        large("openInterest").alias("open_interest"),
-        money(F.col("fundingRate")).alias("funding_rate"),
-        money(F.col("fundingRatePrediction")).alias("funding_rate_prediction"),
-    ]
-    return satellite(tickers, _ticker_text(), "fk_kraken_ticker", attributes, run_id)
+    attributes = {
+        "tag": "tag",
+        "symbol": "symbol",
+        "pair": "pair",
+        "is_suspended": "suspended",
+        "is_post_only": "postOnly",
+        "last_trade_at": from_iso_or_null("lastTime"),
+        "last_price": money("`last`"),
+        "last_size": money("lastSize"),
+        "bid_price": money("bid"),
+        "bid_size": from_text("bidSize", 38, 8),
+        "ask_price": money("ask"),
+        "ask_size": from_text("askSize", 38, 8),
+        "mark_price": money("markPrice"),
+        "index_price": money("indexPrice"),
+        "vwap_24h": money("vwap24h"),
+        "open_24h": money("open24h"),
+        "high_24h": money("high24h"),
+        "low_24h": money("low24h"),
+        "change_24h": money("change24h"),
+        "volume_24h": from_text("vol24h", 38, 8),
+        "volume_quote": money("volumeQuote"),
+        "open_interest": from_text("openInterest", 38, 8),
+        "funding_rate": money("fundingRate"),
+        "funding_rate_prediction": money("fundingRatePrediction"),
+    }
+    return satellite(tickers, TICKER_TEXT, "fk_kraken_ticker", attributes, run_id)
 
 
 def sat_kraken_transaction(transactions: DataFrame, run_id: str) -> DataFrame:
@@ -161,12 +144,12 @@ def sat_kraken_transaction(transactions: DataFrame, run_id: str) -> DataFrame:
         "new_average_entry_price",
         "old_average_entry_price",
     ]
-    attributes = [
-        F.col("id").alias("transaction_number"),
-        F.col("booking_uid"),
-        F.col("execution"),
-        from_iso(F.col("date")).alias("transaction_at"),
-        *[F.col(c) for c in texts],
-        *[money(F.col(c)).alias(c) for c in amounts],
-    ]
-    return satellite(earliest_booking(transactions), _transaction_text(), "fk_kraken_transaction", attributes, run_id)
+    attributes = {
+        "transaction_number": "id",
+        "booking_uid": "booking_uid",
+        "execution": "execution",
+        "transaction_at": from_iso("`date`"),
+        **{name: name for name in texts},
+        **{name: money(name) for name in amounts},
+    }
+    return satellite(earliest_booking(transactions), TRANSACTION_TEXT, "fk_kraken_transaction", attributes, run_id)

@@ -1,26 +1,31 @@
-"""Builders of hubs, satellites and links."""
+"""Builders of hubs, satellites and links.
 
-from __future__ import annotations
+Key texts and attributes are SQL expressions over the given rows.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from tallybook.functions.keys import hashed, with_audit
 
 
-def hub(df: DataFrame, text: Column, key: str, business_key: str, run_id: str) -> DataFrame:
+def named(expressions: dict[str, str]) -> list[str]:
+    return [f"{sql} as `{name}`" for name, sql in expressions.items()]
+
+
+def hub(df: DataFrame, text: str, key: str, business_key: str, run_id: str) -> DataFrame:
     """Hashed key, business key and audit columns."""
-    return with_audit(df.select(hashed(text).alias(key), text.alias(business_key)), run_id, after=2)
+    return with_audit(df.selectExpr(*named({key: hashed(text), business_key: text})), run_id, after=2)
 
 
-def satellite(df: DataFrame, text: Column, key: str, attributes: Sequence[Column], run_id: str) -> DataFrame:
+def satellite(df: DataFrame, text: str, key: str, attributes: dict[str, str], run_id: str) -> DataFrame:
     """Hashed key of the record described, audit columns and attributes."""
-    return with_audit(df.select(hashed(text).alias(key), *attributes), run_id)
+    return with_audit(df.selectExpr(*named({key: hashed(text)} | attributes)), run_id)
 
 
-def link(df: DataFrame, own: tuple[str, Column], ends: dict[str, Column], run_id: str) -> DataFrame:
+def link(df: DataFrame, own: tuple[str, str], ends: dict[str, str], run_id: str) -> DataFrame:
     """Own hashed key and the hashed keys of the two records it connects."""
     name, text = own
-    keys = [hashed(text).alias(name), *[hashed(t).alias(n) for n, t in ends.items()]]
-    return with_audit(df.select(*keys), run_id, after=len(keys))
+    keys = {name: hashed(text)} | {end: hashed(t) for end, t in ends.items()}
+    return with_audit(df.selectExpr(*named(keys)), run_id, after=len(keys))
