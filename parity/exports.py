@@ -8,6 +8,7 @@ into two with the values 0 and 1.
 from __future__ import annotations
 
 import re
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -263,12 +264,12 @@ def duckdb_sql(export: str) -> str:
 def export_reader(spark: SparkSession, folder: str) -> Reader:
     """Derive an export from the parquet tables in ``folder``."""
     use_utc(spark)
+    table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
     def read(export: str) -> DataFrame:
         sql = spark_sql(export)
-        table = re.search(r"\bfrom (orders|lineitem|events|part)\b", sql)[1]
-        sql = re.sub(rf"\bfrom {table}\b", "from {" + table + "}", sql)
-        derived = spark.sql(sql, **{table: spark.read.parquet(f"{folder}/{table}.parquet")})
+        name = re.search(r"\bfrom (orders|lineitem|events|part)\b", sql)[1]
+        derived = spark.sql(re.sub(rf"\bfrom {name}\b", "from {" + name + "}", sql), **{name: table(name)})
         typed = [
             F.col(f.name).cast(f.dataType).alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
             for f in SCHEMAS[export]

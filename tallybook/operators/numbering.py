@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybook.operators.dedup import rest_of
 from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, large_groups, match, sums_before
+from tallybook.session import cut_lineage
 
 CHUNK_ROWS = 100_000
 
@@ -61,7 +62,7 @@ def number_occurrences(
     # A bare count reads no columns; a small table needs no look at its keys.
     if df.count() <= group_rows:
         return ranked(df)
-    large = large_groups(df, keys, group_rows)
+    large = cut_lineage(large_groups(df, keys, group_rows))
     rows_in_large, groups = large.agg(F.sum("_size"), F.count(F.lit(1))).first()
     if not groups:
         return ranked(df)

@@ -25,9 +25,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     does not outlive the executor.
     """
     context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    if current := context.getCheckpointDir():
+        return current
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not folder:
         if not context.master.startswith("local"):
