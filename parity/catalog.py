@@ -110,7 +110,7 @@ def _transaction_balance_in_parts(t: Tables) -> DataFrame:
 
 def _positions(t: Tables, group_rows: int) -> DataFrame:
     base = t.bybit_base()
-    order = [F.col("trade_at").asc_nulls_last(), F.col("fk_bybit_trade").asc_nulls_last()]
+    order = ["trade_at", "fk_bybit_trade"]
     parts = parts_needed(t["bybit_trades"], ["symbol"], group_rows)
     return position.position_before(arrange(base, ["symbol"], order, parts), ["symbol"], order, parts)
 
@@ -158,7 +158,7 @@ def _without_rate(t: Tables) -> DataFrame:
 
 
 def _keep_one(t: Tables) -> DataFrame:
-    latest = dedup.keep_one(t["bybit_orders"], ["symbol", "side"], [F.col("createdTime").desc_nulls_last()], ["orderId"])
+    latest = dedup.keep_one(t["bybit_orders"], ["symbol", "side"], ["createdTime desc", "orderId"])
     return latest.select("symbol", "side", "orderId", "createdTime", "orderStatus")
 
 

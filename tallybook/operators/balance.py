@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import decimals
-from tallybook.operators.ordered import GROUP_ROWS, cut_into_parts, match, parts_needed, sums_before
+from tallybook.operators.ordered import GROUP_ROWS, cut_into_parts, match, ordering, parts_needed, scan
 
 
 def running_balance(
@@ -24,10 +24,10 @@ def running_balance(
     Rows with the same time and amount share one total, the one behind all of
     them.
     """
-    order = [F.col(at).asc_nulls_last(), F.col(amount).desc_nulls_last()]
+    order = [at, f"{amount} desc"]
     parts = parts_needed(df, keys, group_rows)
     if not parts:
-        window = Window.partitionBy(*keys).orderBy(*order)
+        window = Window.partitionBy(*keys).orderBy(*ordering(order))
         window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(amount).over(window).cast("decimal(38,8)"))
 
@@ -39,7 +39,7 @@ def running_balance(
     )
     laid = cut_into_parts(steps, keys, order, parts)
     sums = {"_ahead": ("_step", "decimal(37,8)"), "_known_ahead": ("_known", "bigint")}
-    ahead = sums_before(laid, keys, order, sums, parts)
+    ahead = scan(laid, keys, order, sums, parts=parts)
     total = decimals.add("_ahead", "coalesce(_step, 0)", 8)
     totals = ahead.selectExpr(*same, f"if(_known_ahead + _known > 0, {total}, null) as {out}")
     return match(df, totals, same, "left")

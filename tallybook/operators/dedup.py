@@ -4,23 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybook.operators.ordered import ordering
 
-def rest_of(df: DataFrame, first: Sequence[str]) -> list[Column]:
-    """Order by the named columns and then by all others, so no tie is left."""
-    names = [*first, *[c for c in df.columns if c not in first]]
-    return [F.col(c).asc_nulls_last() for c in names]
 
+def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    """``order`` followed by all other columns, so that no tie is left."""
+    named = {name.removesuffix(" desc") for name in order} | set(keys)
+    return [*order, *[c for c in df.columns if c not in named]]
 
-def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties: Sequence[str] = ()) -> DataFrame:
-    """Keep the first row of each key.
 
-    Rows equal in ``order`` are told apart by the ``ties`` columns, then by
-    every other column.  As only rank 1 survives, Spark drops the losers ahead
-    of the shuffle (``WindowGroupLimit``): a key with very many copies reaches
-    the final task as one row per input task.
+def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Keep the first row of each key by ``order``, such as ``["at desc"]``.
+
+    Ties are decided by all other columns.  As only rank 1 survives, Spark
+    drops the losers ahead of the shuffle (``WindowGroupLimit``): a key with
+    very many copies reaches the final task as one row per input task.
     """
-    window = Window.partitionBy(*keys).orderBy(*order, *rest_of(df.drop(*keys), ties))
+    window = Window.partitionBy(*keys).orderBy(*ordering(total_order(df, keys, order)))
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

@@ -14,12 +14,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallybook.functions.decimals import subtract
-from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, last_seen, parts_needed, sums_before
-from tallybook.operators.position import QUANTITY, position_before, with_legs
+from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, parts_needed, scan
+from tallybook.operators.position import QUANTITY, RUNNING, position_before, with_legs
 from tallybook.session import cut_lineage
 
 
@@ -48,9 +47,10 @@ VALUATIONS = [
 PNL_COLUMNS = [v.result for v in VALUATIONS]
 
 CLOSE, OPEN, NEITHER = 0, 1, 2
+NO_BOOK = "'none'"
 
 
-def on_axis(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: Parts | None = None) -> DataFrame:
+def on_axis(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: Parts | None = None) -> DataFrame:
     """Place trades with ``net_before`` on the axis of the book they change.
 
     A trade that closes lies where its closed quantity ends, one that opens
@@ -59,33 +59,37 @@ def on_axis(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts:
     """
     carry = [c for c in df.columns if c not in ("net_before", "_part")]
     opened = {
-        f"_{book}_ahead": (f"if(_opened_book = '{book}', _opened, 0)", QUANTITY) for book in ("long", "short")
+        f"_{book}_ahead": (f"if(_opened_book = '{book}', _opened, 0)", RUNNING) for book in ("long", "short")
     }
-    placed = sums_before(with_legs(df), keys, order, opened, parts)
-
-    def row(book: str, kind: int, place: str, quantity: str, reported: str) -> str:
-        return f"""struct({book} as _book, {kind} as _kind, cast({place} as {QUANTITY}) as _place,
-            cast({quantity} as {QUANTITY}) as _qty, {reported} as _reported)"""
+    placed = scan(with_legs(df), keys, order, opened, parts=parts)
 
     def ahead(book: str) -> str:
         return f"if({book} = 'long', _long_ahead, _short_ahead)"
 
+    def by_kind(close: str, opening: str, neither: str) -> str:
+        return f"case _kind when {CLOSE} then {close} when {OPEN} then {opening} else {neither} end"
+
     # Closed so far = opened so far less what is still held.
-    closes = row("_closed_book", CLOSE, f"{ahead('_closed_book')} - (abs(net_before) - _closed)", "_closed", "true")
-    opens = row("_opened_book", OPEN, ahead("_opened_book"), "_opened", "_closed = 0")
-    neither = row("'none'", NEITHER, "0", "0", "true")
-    rows = f"""inline(case
-        when _closed > 0 and _opened > 0 then array({closes}, {opens})
-        when _closed > 0 then array({closes})
-        when _opened > 0 then array({opens})
-        else array({neither}) end)"""
-    return placed.selectExpr(*carry, rows)
+    closed_up_to = f"{ahead('_closed_book')} - (abs(net_before) - _closed)"
+    flip = "_closed > 0 and _opened > 0"
+    kind = f"case when _closed > 0 and _leg = 0 then {CLOSE} when _opened > 0 then {OPEN} else {NEITHER} end"
+    return (
+        placed.selectExpr("*", f"explode(if({flip}, array(0, 1), array(0))) as _leg")
+        .selectExpr("*", f"{kind} as _kind")
+        .selectExpr(
+            *carry,
+            "_kind",
+            f"{by_kind('_closed_book', '_opened_book', NO_BOOK)} as _book",
+            f"cast({by_kind(closed_up_to, ahead('_opened_book'), '0')} as {RUNNING}) as _place",
+            f"cast({by_kind('_closed', '_opened', '0')} as {QUANTITY}) as _qty",
+            "_leg = 0 as _reported",
+        )
+    )
 
 
 def realise(axis: DataFrame, keys: Sequence[str], unique: str, parts: Parts | None = None) -> DataFrame:
     """Realised profit of every row on the axis, 0 unless it closes."""
     order = ["_place", "_kind", unique]
-    by = [F.col(c).asc() for c in order]
     is_open, is_close = f"_kind = {OPEN}", f"_kind = {CLOSE}"
 
     # At one place closes come ahead of opens: the lots summed up, and the last
@@ -95,13 +99,14 @@ def realise(axis: DataFrame, keys: Sequence[str], unique: str, parts: Parts | No
         for v in VALUATIONS
     }
     prices = ", ".join(f"{v.price} as {v.price}" for v in VALUATIONS)
-    lot = f"if({is_open}, struct(cast(_place + _qty as {QUANTITY}) as stop, {prices}), null)"
-    served = last_seen(sums_before(axis, keys, by, worth, parts), keys, order, {"_lot": lot}, parts)
+    lot = f"if({is_open}, struct(cast(_place + _qty as {RUNNING}) as stop, {prices}), null)"
+    served = scan(axis, keys, order, worth, {"_lot": lot}, parts)
 
     behind = {v: v.worth(f"_lot.{v.price}", "_lot.stop - _place") for v in VALUATIONS}
     costs = ", ".join(f"{subtract(f'_{v.result}_ahead', behind[v], v.scale)} as {v.result}" for v in VALUATIONS)
-    served = served.selectExpr("*", f"if({is_close}, struct({costs}), null) as _cost")
-    served = last_seen(served, keys, order, {"_cost_ahead": "_cost"}, parts, own_row=False)
+    used = [c for c in served.columns if c != "_lot" and not c.endswith("_ahead")]
+    served = served.selectExpr(*used, f"if({is_close}, struct({costs}), null) as _cost")
+    served = scan(served, keys, order, seen={"_cost_ahead": "_cost"}, parts=parts)
 
     def profit(v: Valuation) -> str:
         zero = f"cast(0 as decimal(38,{v.scale}))"
@@ -130,10 +135,11 @@ def fifo_profit(
     symbol, used only to tell whether a symbol is too large for one task.
     """
     carry = trades.columns
-    order = [F.col(at).asc_nulls_last(), F.col(unique).asc_nulls_last()]
+    order = [at, unique]
     parts = parts_needed(trades if sizes_from is None else sizes_from, [symbol], group_rows)
+    # Range boundaries take a sample, for which the plan ahead runs once more:
+    # that is written out as well if it does more than read.
     if parts:
-        # Range boundaries take a sample, which would run all this twice.
         trades = cut_into_parts(cut_lineage(trades), [symbol], order, parts)
     axis = on_axis(position_before(trades, [symbol], order, parts), [symbol], order, parts)
 
@@ -141,5 +147,5 @@ def fifo_profit(
     if parts:
         # A flip adds a row, so there are at most twice as many rows.
         parts = parts.times(rows=2, keys=3)
-        axis = cut_into_parts(axis, book, [F.col(c).asc() for c in ("_place", "_kind", unique)], parts)
+        axis = cut_into_parts(cut_lineage(axis), book, ["_place", "_kind", unique], parts)
     return realise(axis, book, unique, parts).filter("_reported").select(*carry, *PNL_COLUMNS)

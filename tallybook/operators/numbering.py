@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.operators.dedup import rest_of
-from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, large_groups, match, sums_before
+from tallybook.operators.dedup import total_order
+from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, large_groups, match, ordering, scan
 from tallybook.session import cut_lineage
 
 CHUNK_ROWS = 100_000
@@ -53,8 +53,8 @@ def number_occurrences(
     not depend on the run.  Natural keys with more than ``group_rows`` rows are
     numbered across tasks; only they pay for it.
     """
-    ranking = rest_of(df.drop(*keys), order)
-    window = Window.partitionBy(*keys).orderBy(*ranking)
+    ranking = total_order(df, keys, order)
+    window = Window.partitionBy(*keys).orderBy(*ordering(ranking))
 
     def ranked(rows: DataFrame) -> DataFrame:
         return rows.withColumn(out, F.row_number().over(window).cast("bigint"))
@@ -73,7 +73,7 @@ def number_occurrences(
     distinct = copied.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
     parts = Parts(math.ceil(rows_in_large / group_rows) + 1, groups)
     laid = cut_into_parts(distinct, keys, ranking, parts)
-    placed = sums_before(laid, keys, ranking, {"_ahead": ("_times", "bigint")}, parts)
+    placed = scan(laid, keys, ranking, sums={"_ahead": ("_times", "bigint")}, parts=parts)
     spread = repeat_rows(placed.select(*df.columns, "_ahead", "_times"), "_times", "_index")
     numbered = spread.withColumn(out, F.col("_ahead") + F.col("_index")).select(*df.columns, out)
     return ranked(match(df, large, keys, "left_anti", groups)).unionByName(numbered)

@@ -47,6 +47,15 @@ class Parts:
         return Parts(self.count * rows, self.keys * keys)
 
 
+def ordering(names: Sequence[str]) -> list[Column]:
+    """Sort columns from names like ``at`` or ``at desc``, NULLs always last."""
+    columns = []
+    for name in names:
+        column = F.col(name.removesuffix(" desc"))
+        columns.append(column.desc_nulls_last() if name.endswith(" desc") else column.asc_nulls_last())
+    return columns
+
+
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, right_rows: int | None = None) -> DataFrame:
     """Equi-join on keys in which NULL equals NULL; keeps the left keys only.
 
@@ -84,7 +93,7 @@ def parts_needed(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROW
     return Parts(math.ceil(total / group_rows) + 1, groups)
 
 
-def cut_into_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: Parts) -> DataFrame:
+def cut_into_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: Parts) -> DataFrame:
     """Number stretches of consecutive rows in a column ``_part``.
 
     ``order`` must end in something unique, so that the range boundaries can
@@ -92,85 +101,67 @@ def cut_into_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     plan ran twice, hence the rows are written out together with their number,
     all rows of a part next to each other.
     """
-    ranged = df.repartitionByRange(parts.count, *[F.col(k).asc_nulls_last() for k in keys], *order)
+    ranged = df.repartitionByRange(parts.count, *ordering([*keys, *order]))
     numbered = ranged.withColumn(PART, F.spark_partition_id())
-    placed = numbered.repartition(parts.count, PART).sortWithinPartitions(*keys, PART, *order)
+    placed = numbered.repartition(parts.count, PART).sortWithinPartitions(*keys, PART, *ordering(order))
     return cut_lineage_in_place(placed)
 
 
-def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: Parts | None) -> DataFrame:
+def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: Parts | None) -> DataFrame:
+    """Cut into parts where needed."""
     return cut_into_parts(df, keys, order, parts) if parts else df
 
 
-def _before(groups: Sequence[str], order: Sequence[Column]) -> Window:
-    return Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def sums_before(
+def scan(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
-    values: dict[str, tuple[str, str]],
+    order: Sequence[str],
+    sums: dict[str, tuple[str, str]] | None = None,
+    seen: dict[str, str] | None = None,
     parts: Parts | None = None,
 ) -> DataFrame:
-    """Sum of each value over the rows ahead of the row, 0 for the first one.
+    """Add what lies ahead of each row within its key.
+
+    ``sums`` maps a new column to (expression, type): the sum over the rows
+    ahead, 0 if there is none.  Give decimal types a precision of at most 37,
+    as adding two of 38 digits costs scale.
 
-    ``values`` maps the new column to (expression, type of the sum).  Give decimal
-    types a precision of at most 37, as adding two of 38 digits costs scale.
-    ``order`` must be unique within the keys.  With ``parts``, ``df`` comes
-    from :func:`cut_into_parts` for the same keys and order.
+    ``seen`` maps a new column to an expression: its last non-NULL value ahead.
+
+    ``order`` must be unique within the keys, for ``seen`` also ascending and
+    without NULLs.  With ``parts``, ``df`` comes from :func:`cut_into_parts` for
+    the same keys and order.
     """
+    sums, seen = sums or {}, seen or {}
     groups = [*keys, PART] if parts else list(keys)
-    ahead = _before(groups, order)
+    ahead = Window.partitionBy(*groups).orderBy(*ordering(order)).rowsBetween(Window.unboundedPreceding, -1)
 
     def total(x: Column, dtype: str) -> Column:
         return F.coalesce(x.cast(dtype), F.lit(0).cast(dtype))
 
-    local = df.withColumns({n: total(F.sum(F.expr(v)).over(ahead), t) for n, (v, t) in values.items()})
-    if not parts:
-        return local
+    def last(x: Column, window: Window) -> Column:
+        return F.last(x, ignorenulls=True).over(window)
 
-    ends = df.groupBy(*groups).agg(*[F.sum(F.expr(v)).alias(f"_all_{n}") for n, (v, _) in values.items()])
-    earlier = _before(keys, [F.col(PART)])
-    carried = ends.select(
-        *groups, *[total(F.sum(f"_all_{n}").over(earlier), t).alias(f"_carried_{n}") for n, (_, t) in values.items()]
+    local = df.withColumns(
+        {n: total(F.sum(F.expr(x)).over(ahead), t) for n, (x, t) in sums.items()}
+        | {n: last(F.expr(x), ahead) for n, x in seen.items()}
     )
-    joined = match(local, carried, groups, "left", parts.entries)
-    return joined.withColumns(
-        {n: (F.col(n) + F.col(f"_carried_{n}")).cast(t) for n, (_, t) in values.items()}
-    ).drop(*[f"_carried_{n}" for n in values])
-
-
-def last_seen(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, str],
-    parts: Parts | None = None,
-    own_row: bool = True,
-) -> DataFrame:
-    """Last non-NULL value up to the row, or ahead of it if not ``own_row``.
-
-    ``order`` names columns without NULLs, ascending and unique within the
-    keys.  ``parts`` as for :func:`sums_before`.
-    """
-    groups = [*keys, PART] if parts else list(keys)
-    by = [F.col(c) for c in order]
-    window = Window.partitionBy(*groups).orderBy(*by)
-    window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow if own_row else -1)
-    local = df.withColumns({n: F.last(F.expr(v), ignorenulls=True).over(window) for n, v in values.items()})
     if not parts:
         return local
 
-    place = F.struct(*by)
+    # One row per key and part: what the part adds for the parts behind it.
     ends = df.groupBy(*groups).agg(
-        *[F.max_by(F.expr(v), F.when(F.expr(v).isNotNull(), place)).alias(f"_end_{n}") for n, v in values.items()]
+        *[F.sum(F.expr(x)).alias(n) for n, (x, _) in sums.items()],
+        *[F.max_by(F.expr(x), F.when(F.expr(x).isNotNull(), F.struct(*order))).alias(n) for n, x in seen.items()],
     )
-    earlier = _before(keys, [F.col(PART)])
+    earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        *groups, *[F.last(f"_end_{n}", ignorenulls=True).over(earlier).alias(f"_carried_{n}") for n in values]
+        *groups,
+        *[total(F.sum(n).over(earlier), t).alias(f"_carried_{n}") for n, (_, t) in sums.items()],
+        *[last(F.col(n), earlier).alias(f"_carried_{n}") for n in seen],
     )
     joined = match(local, carried, groups, "left", parts.entries)
-    return joined.withColumns({n: F.coalesce(F.col(n), F.col(f"_carried_{n}")) for n in values}).drop(
-        *[f"_carried_{n}" for n in values]
-    )
+    return joined.withColumns(
+        {n: (F.col(n) + F.col(f"_carried_{n}")).cast(t) for n, (_, t) in sums.items()}
+        | {n: F.coalesce(n, f"_carried_{n}") for n in seen}
+    ).drop(*[f"_carried_{n}" for n in [*sums, *seen]])

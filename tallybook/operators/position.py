@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.operators.ordered import Parts, sums_before
+from tallybook.operators.ordered import Parts, scan
 
-QUANTITY = "decimal(28,4)"
+# A quantity, and a sum of quantities.
+QUANTITY, RUNNING = "decimal(18,4)", "decimal(28,4)"
 
 
 def signed_quantity(side: str = "side", execution_type: str = "execution_type", quantity: str = "quantity") -> str:
@@ -21,13 +22,13 @@ def signed_quantity(side: str = "side", execution_type: str = "execution_type",
 def position_before(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     parts: Parts | None = None,
     quantity: str = "quantity",
     out: str = "net_before",
 ) -> DataFrame:
     """Position held ahead of each trade."""
-    return sums_before(df, keys, order, {out: (quantity, QUANTITY)}, parts)
+    return scan(df, keys, order, {out: (quantity, RUNNING)}, parts=parts)
 
 
 def with_legs(df: DataFrame, net: str = "net_before", quantity: str = "quantity") -> DataFrame:
@@ -37,14 +38,14 @@ def with_legs(df: DataFrame, net: str = "net_before", quantity: str = "quantity"
     left of the trade opens.  The book closed is the side held, the book opened
     the side of the trade.
     """
-    closed = f"if(sign({net}) * sign({quantity}) < 0, least(abs({net}), abs({quantity})), 0)"
+    closed = f"""case when {net} > 0 and {quantity} < 0 then least({net}, -{quantity})
+        when {net} < 0 and {quantity} > 0 then least(-{net}, {quantity}) else 0 end"""
     return df.selectExpr(
         "*",
         f"if({net} > 0, 'long', 'short') as _closed_book",
         f"if({quantity} > 0, 'long', 'short') as _opened_book",
         f"cast({closed} as {QUANTITY}) as _closed",
-        f"cast(abs({quantity}) - {closed} as {QUANTITY}) as _opened",
-    )
+    ).selectExpr("*", f"cast(abs({quantity}) - _closed as {QUANTITY}) as _opened")
 
 
 def split_legs(df: DataFrame, carry: Sequence[str]) -> DataFrame:

@@ -9,7 +9,6 @@ default.  ``normalise_keys=True`` makes all keys of a record the same.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallybook.functions.decimals import cut, from_text, money
 from tallybook.functions.keys import hashed, key_text, with_audit
@@ -25,15 +24,15 @@ LOWERED_TRADE_TEXT = key_text("'bybit'", "lower(symbol)", "execId")
 
 
 def latest_execution(trades: DataFrame) -> DataFrame:
-    return keep_one(trades, ["execId"], [F.desc_nulls_last("execTime")], ties=["symbol"])
+    return keep_one(trades, ["execId"], ["execTime desc", "symbol"])
 
 
 def latest_order(orders: DataFrame) -> DataFrame:
-    return keep_one(orders, ["orderId"], [F.desc_nulls_last("createdTime")])
+    return keep_one(orders, ["orderId"], ["createdTime desc"])
 
 
 def fullest_candle(klines: DataFrame) -> DataFrame:
-    return keep_one(klines, ["klineAt"], [F.desc_nulls_last("volume")])
+    return keep_one(klines, ["klineAt"], ["volume desc"])
 
 
 def hub_bybit_kline(klines: DataFrame, run_id: str) -> DataFrame:

@@ -29,19 +29,19 @@ def one_position(positions: DataFrame, normalise_keys: bool = False) -> DataFram
     two contracts funded at the same time one is kept.  ``normalise_keys``
     tells them apart by contract.
     """
-    keys, ties = ["executionUid", "timestamp"], ["updateReason", "tradeable"]
+    keys, order = ["executionUid", "timestamp"], ["updateReason", "tradeable"]
     if not normalise_keys:
-        return keep_one(positions, keys, [], ties)
+        return keep_one(positions, keys, order)
     told_apart = positions.withColumn("_contract", F.expr(f"if({IS_FUNDING}, lower(tradeable), null)"))
-    return keep_one(told_apart, [*keys, "_contract"], [], ties).drop("_contract")
+    return keep_one(told_apart, [*keys, "_contract"], order).drop("_contract")
 
 
 def one_candle(ohlc: DataFrame) -> DataFrame:
-    return keep_one(ohlc, ["time"], [])
+    return keep_one(ohlc, ["time"])
 
 
 def earliest_booking(transactions: DataFrame) -> DataFrame:
-    return keep_one(transactions, ["booking_uid"], [F.asc_nulls_last("date")])
+    return keep_one(transactions, ["booking_uid"], ["date"])
 
 
 def hub_kraken_ohlc(ohlc: DataFrame, run_id: str) -> DataFrame:

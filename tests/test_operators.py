@@ -12,12 +12,12 @@ from tallybook.operators.balance import running_balance
 from tallybook.operators.dedup import keep_one
 from tallybook.operators.fifo import fifo_profit
 from tallybook.operators.numbering import number_occurrences, occurrences
-from tallybook.operators.ordered import cut_into_parts, last_seen, parts_needed, sums_before
+from tallybook.operators.ordered import cut_into_parts, parts_needed, scan
 from tallybook.operators.position import position_before, signed_quantity, split_legs
 from tallybook.plans.business import calc_bybit_pnl_per_trade
 
 D = Decimal
-TRADES = "fk_bybit_trade string, symbol string, trade_at int, price decimal(18,8), price_eur decimal(28,12), quantity decimal(28,4)"
+TRADES = "fk_bybit_trade string, symbol string, trade_at int, price decimal(18,8), price_eur decimal(28,12), quantity decimal(18,4)"
 
 
 def trades(spark, rows):
@@ -89,7 +89,7 @@ def test_one_huge_lot_serves_closes_in_many_parts(spark):
 
 def test_position_and_legs(spark):
     rows = [("a", "X", 1, 2, 10), ("b", "X", 2, -5, 11), ("c", "X", 3, 0, 9), ("d", "X", 4, 3, 9)]
-    positioned = position_before(trades(spark, rows), ["symbol"], [F.col("trade_at"), F.col("fk_bybit_trade")])
+    positioned = position_before(trades(spark, rows), ["symbol"], ["trade_at", "fk_bybit_trade"])
     assert {r.fk_bybit_trade: r.net_before for r in positioned.collect()} == {"a": 0, "b": 2, "c": -3, "d": -3}
     legs = split_legs(positioned, ["fk_bybit_trade"])
     assert {tuple(r) for r in legs.collect()} == {
@@ -201,7 +201,7 @@ def test_occurrences_equal_the_ranked_keys(spark, chunk_rows):
 def test_keep_one_is_total(spark):
     rows = [("a", 1, "x"), ("a", 1, "w"), ("a", 0, "v"), (None, 1, "u"), (None, 2, "t")]
     df = spark.createDataFrame(rows, "key string, at int, other string")
-    kept = keep_one(df, ["key"], [F.desc_nulls_last("at")])
+    kept = keep_one(df, ["key"], ["at desc"])
     assert {tuple(r) for r in kept.collect()} == {("a", 1, "w"), (None, 2, "t")}
 
 
@@ -209,7 +209,7 @@ def test_parts_are_consecutive_and_balanced(spark):
     df = spark.range(5000).selectExpr("if(id % 10 < 9, 'hot', 'cold') as key", "id * 7919 % 5000 as place")
     parts = parts_needed(df, ["key"], 500)
     assert parts.keys == 2 and parts_needed(df, ["key"], 5000) is None
-    laid = cut_into_parts(df, ["key"], [F.col("place").asc()], parts)
+    laid = cut_into_parts(df, ["key"], ["place"], parts)
     sizes = laid.groupBy("_part").agg(F.count("*").alias("n"), F.min("place").alias("lo"), F.max("place").alias("hi"))
     found = sizes.filter("_part > 0").orderBy("_part").collect()
     assert max(r.n for r in found) < 3 * 500
@@ -218,16 +218,10 @@ def test_parts_are_consecutive_and_balanced(spark):
         ranges = [(r.lo, r.hi) for r in by_key.filter(F.col("key") == key).orderBy("_part").collect()]
         assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
 
-    summed = sums_before(laid, ["key"], [F.col("place").asc()], {"ahead": ("place", "bigint")}, parts)
-    plain = sums_before(df, ["key"], [F.col("place").asc()], {"ahead": ("place", "bigint")})
-    columns = ["key", "place", "ahead"]
-    assert Counter(map(tuple, summed.select(columns).collect())) == Counter(map(tuple, plain.select(columns).collect()))
-
-    rare = {"seen": "if(place % 1000 = 3, place, null)"}
-    for own_row in (True, False):
-        split = last_seen(laid, ["key"], ["place"], rare, parts, own_row=own_row).select("key", "place", "seen")
-        whole = last_seen(df, ["key"], ["place"], rare, own_row=own_row).select("key", "place", "seen")
-        assert Counter(map(tuple, split.collect())) == Counter(map(tuple, whole.collect()))
+    sums, seen = {"ahead": ("place", "bigint")}, {"rare": "if(place % 1000 = 3, place, null)"}
+    split = scan(laid, ["key"], ["place"], sums, seen, parts).select("key", "place", "ahead", "rare")
+    whole = scan(df, ["key"], ["place"], sums, seen).select("key", "place", "ahead", "rare")
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, whole.collect()))
 
 
 def test_checks(spark):

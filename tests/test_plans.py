@@ -6,11 +6,10 @@ import contextlib
 import io
 
 import pytest
-from pyspark.sql import functions as F
 
 from parity.catalog import QUERIES
 from tallybook.operators.dedup import keep_one
-from tallybook.operators.ordered import Parts, cut_into_parts, sums_before
+from tallybook.operators.ordered import Parts, cut_into_parts, scan
 
 
 def plan(df):
@@ -29,7 +28,7 @@ def test_no_pairing_of_all_rows_and_no_python(spark, small, name):
 
 def test_keep_one_drops_copies_ahead_of_the_shuffle(spark):
     df = spark.range(10).selectExpr("id % 3 as key", "id as at", "id as other")
-    text = plan(keep_one(df, ["key"], [F.col("at").desc()]))
+    text = plan(keep_one(df, ["key"], ["at desc"]))
     assert text.count("WindowGroupLimit") == 2
     assert text.count("Exchange") == 1
 
@@ -62,10 +61,10 @@ def test_status_filter_reaches_the_scan(spark, tmp_path):
 
 def test_windows_over_parts_need_no_shuffle(spark):
     df = spark.range(1000).selectExpr("'hot' as key", "id as place")
-    order = [F.col("place").asc()]
+    order = ["place"]
     parts = Parts(5, 1)
     laid = cut_into_parts(df, ["key"], order, parts)
-    summed = sums_before(laid, ["key"], order, {"ahead": ("place", "bigint")}, parts)
+    summed = scan(laid, ["key"], order, {"ahead": ("place", "bigint")}, parts=parts)
     text = plan(summed)
     # Only the table of parts moves: to be summed up by key, then to everyone.
     assert text.count("Exchange hashpartitioning(key") == text.count("Exchange hashpartitioning") == 1
