@@ -12,13 +12,14 @@ from parity.exports import export_reader
 from tallybook.functions import decimals, keys, text, times
 from tallybook.operators import balance, checks, dedup, fifo, numbering, position, rates
 from tallybook.operators.ordered import GROUP_ROWS, arrange, parts_needed
-from tallybook.plans import binance, business, bybit, kraken
+from tallybook.plans import business, bybit, kraken
 from tallybook.plans.models import HUB_KEYS, MODELS
+from tallybook.sources.schemas import SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Groups above this size are cut into parts by the ``*_in_parts`` queries.
-SMALL_GROUP = 1_000
+SMALL_GROUP = 2_000
 
 
 class Tables:
@@ -66,6 +67,7 @@ def _query(build: Callable[[Tables], DataFrame]) -> Query:
 
 
 def _model(name: str) -> Query:
+    """A model, or an export as it is read."""
     return _query(lambda t: t[name])
 
 
@@ -238,16 +240,11 @@ def _check_not_null(t: Tables) -> DataFrame:
     )
 
 
-def _sat_transactions_in_parts(t: Tables) -> DataFrame:
-    return binance.sat_binance_transaction(
-        t["binance_transactions_spot"], t["binance_transactions_futures"], "run", group_rows=5
-    )
-
-
-QUERIES: dict[str, Query] = {name: _model(name) for name in MODELS} | {
+QUERIES: dict[str, Query] = {name: _model(name) for name in MODELS}
+QUERIES |= {f"source_{name}": _model(name) for name in SCHEMAS}
+QUERIES |= {
     "natural_key": _query(_natural_key(GROUP_ROWS)),
     "natural_key_in_parts": _query(_natural_key(SMALL_GROUP)),
-    "sat_binance_transaction_in_parts": _query(_sat_transactions_in_parts),
     "occurrences": _query(_occurrence_counts),
     "keep_one": _query(_keep_one),
     "split_amount": _query(_split_amount),

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-SMALL = "/root/testdata/sf0.001"
+SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
@@ -34,3 +34,8 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def small():
     return SMALL
+
+
+@pytest.fixture(scope="session")
+def medium():
+    return MEDIUM

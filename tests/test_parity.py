@@ -31,6 +31,14 @@ def test_rows_match(spark, duckdb_tables, small, name):
     assert not found["only_ours"] and not found["only_expected"]
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.endswith("in_parts")])
+def test_rows_match_where_groups_are_cut(spark, medium, name):
+    """Larger tables, as the groups of the small ones fit a task."""
+    found = compare(spark, connect(medium), medium, name)
+    assert found["rows"] == found["expected_rows"]
+    assert not found["only_ours"] and not found["only_expected"]
+
+
 def test_entry_point_imports_without_a_session():
     code = "import __spark_entry__ as e; assert e.queries().keys() == e.oracle_sql().keys()"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
