@@ -137,8 +137,8 @@ def fifo_profit(
     carry = trades.columns
     order = [at, unique]
     parts = parts_needed(trades if sizes_from is None else sizes_from, [symbol], group_rows)
-    # Range boundaries take a sample, for which the plan ahead runs once more:
-    # that is written out as well if it does more than read.
+    # Range boundaries take a sample, for which the plan ahead would run once
+    # more: joins and windows are written out before.
     if parts:
         trades = cut_into_parts(cut_lineage(trades), [symbol], order, parts)
     axis = on_axis(position_before(trades, [symbol], order, parts), [symbol], order, parts)
