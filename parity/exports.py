@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tallybook.session import use_utc
+from tallybook.session import prepare
 from tallybook.sources.schemas import SCHEMAS
 from tallybook.sources.tables import Reader, conform
 
@@ -263,7 +263,7 @@ def duckdb_sql(export: str) -> str:
 
 def export_reader(spark: SparkSession, folder: str) -> Reader:
     """Derive an export from the parquet tables in ``folder``."""
-    use_utc(spark)
+    prepare(spark)
     table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
     def read(export: str) -> DataFrame:

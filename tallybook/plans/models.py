@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.functions.keys import new_run_id
 from tallybook.plans import binance, business, bybit, kraken, marts
-from tallybook.session import use_utc
+from tallybook.session import prepare
 from tallybook.sources.sink import table_name, write_layer
 from tallybook.sources.tables import Reader
 
@@ -117,7 +117,7 @@ def build_tables(
     ``read`` returns an export by name.  Models read the tables of the models
     ahead of them, which therefore have to exist.
     """
-    use_utc(spark)
+    prepare(spark)
     run_id = run_id or new_run_id()
     wanted = set(MODELS if names is None else names)
     if unknown := wanted - set(MODELS):

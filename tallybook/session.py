@@ -7,13 +7,23 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session zone: minute bucketing and zone-less exports are UTC.
+# The JVM interprets a method above this size, however often it runs.
+JIT_LIMIT_BYTES = 8000
 
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make the settings the models rely on.
+
+    The session zone is UTC: so are minute buckets and exports without zone.
     Berlin wall time is a matter of display (``functions.times.berlin``).
+
+    Satellites with very many measures generate methods the JVM would not
+    compile; with the limit lowered, Spark splits them.
     """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > JIT_LIMIT_BYTES:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT_BYTES)
     return spark
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from tallybook.session import use_utc
+from tallybook.session import prepare
 from tallybook.sources.schemas import SCHEMAS
 
 Reader = Callable[[str], DataFrame]
@@ -37,11 +37,11 @@ def conform(df: DataFrame, source: str) -> DataFrame:
 
 def parquet_reader(spark: SparkSession, folder: str) -> Reader:
     """Read ``<folder>/<source>``, a parquet file or folder per export."""
-    use_utc(spark)
+    prepare(spark)
     return lambda source: conform(spark.read.parquet(f"{folder}/{source}"), source)
 
 
 def table_reader(spark: SparkSession, namespace: str = "source") -> Reader:
     """Read ``<namespace>.<source>`` from the catalog."""
-    use_utc(spark)
+    prepare(spark)
     return lambda source: conform(spark.table(f"{namespace}.{source}"), source)
