@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -71,7 +70,7 @@ def number_occurrences(
     # Identical rows are interchangeable: number one of them with its weight.
     copied = match(df, large, keys, "left_semi", groups)
     distinct = copied.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
-    parts = Parts(math.ceil(rows_in_large / group_rows) + 1, groups)
+    parts = Parts.of(rows_in_large, groups, group_rows)
     laid = cut_into_parts(distinct, keys, ranking, parts)
     placed = scan(laid, keys, ranking, sums={"_ahead": ("_times", "bigint")}, parts=parts)
     spread = repeat_rows(placed.select(*df.columns, "_ahead", "_times"), "_times", "_index")

@@ -24,6 +24,10 @@ from tallybook.session import cut_lineage_in_place
 GROUP_ROWS = 2_000_000
 PART = "_part"
 
+# Spark samples a million rows at most to find range boundaries: beyond this
+# many parts their sizes would become uneven.
+MAX_PARTS = 50_000
+
 # Largest table of keys or parts to broadcast: below 100 MB.
 BROADCAST_ROWS = 500_000
 
@@ -39,12 +43,16 @@ class Parts:
     count: int
     keys: int
 
+    @classmethod
+    def of(cls, rows: int, keys: int, group_rows: int) -> Parts:
+        return cls(min(math.ceil(rows / group_rows) + 1, MAX_PARTS), keys)
+
     @property
     def entries(self) -> int:
         return self.count + self.keys
 
     def times(self, rows: int, keys: int) -> Parts:
-        return Parts(self.count * rows, self.keys * keys)
+        return Parts(min(self.count * rows, MAX_PARTS), self.keys * keys)
 
 
 def ordering(names: Sequence[str]) -> list[Column]:
@@ -90,7 +98,7 @@ def parts_needed(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROW
     largest, total, groups = sizes.agg(F.max("_size"), F.sum("_size"), F.count(F.lit(1))).first()
     if largest is None or largest <= group_rows:
         return None
-    return Parts(math.ceil(total / group_rows) + 1, groups)
+    return Parts.of(total, groups, group_rows)
 
 
 def cut_into_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: Parts) -> DataFrame:
@@ -103,7 +111,7 @@ def cut_into_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], par
     """
     ranged = df.repartitionByRange(parts.count, *ordering([*keys, *order]))
     numbered = ranged.withColumn(PART, F.spark_partition_id())
-    placed = numbered.repartition(parts.count, PART).sortWithinPartitions(*keys, PART, *ordering(order))
+    placed = numbered.repartitionById(parts.count, F.col(PART)).sortWithinPartitions(*keys, PART, *ordering(order))
     return cut_lineage_in_place(placed)
 
 

@@ -6,10 +6,11 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from parity.catalog import QUERIES
 from tallybook.operators.dedup import keep_one
-from tallybook.operators.ordered import Parts, cut_into_parts, scan
+from tallybook.operators.ordered import PART, Parts, cut_into_parts, scan
 
 
 def plan(df):
@@ -66,6 +67,7 @@ def test_windows_over_parts_need_no_shuffle(spark):
     laid = cut_into_parts(df, ["key"], order, parts)
     summed = scan(laid, ["key"], order, {"ahead": ("place", "bigint")}, parts=parts)
     text = plan(summed)
+    assert laid.select(F.spark_partition_id() == F.col(PART)).distinct().collect() == [(True,)]
     # Only the table of parts moves: to be summed up by key, then to everyone.
     assert text.count("Exchange hashpartitioning(key") == text.count("Exchange hashpartitioning") == 1
     assert text.count("BroadcastExchange") == 1
