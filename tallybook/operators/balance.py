@@ -18,14 +18,16 @@ def running_balance(
     amount: str,
     out: str = "accountbalance",
     group_rows: int = GROUP_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Sum of ``amount`` per account by time, larger amounts first.
 
     Rows with the same time and amount share one total, the one behind all of
-    them.
+    them.  ``sizes_from`` may name a cheaper table with at least as many rows
+    per account, used only to tell whether an account is too large for one task.
     """
     order = [at, f"{amount} desc"]
-    parts = parts_needed(df, keys, group_rows)
+    parts = parts_needed(df if sizes_from is None else sizes_from, keys, group_rows)
     if not parts:
         window = Window.partitionBy(*keys).orderBy(*ordering(order))
         window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)

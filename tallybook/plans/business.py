@@ -20,7 +20,9 @@ def calc_binance_accountbalance(transactions: DataFrame, run_id: str, group_rows
     net = transactions.groupBy("transaction_at", *ACCOUNT).agg(
         F.sum("change_amount").cast("decimal(38,8)").alias("change_amount")
     )
-    balances = running_balance(net, ACCOUNT, "transaction_at", "change_amount", group_rows=group_rows)
+    balances = running_balance(
+        net, ACCOUNT, "transaction_at", "change_amount", group_rows=group_rows, sizes_from=transactions
+    )
     return with_audit(balances, run_id, after=0)
 
 
