@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def key_text(*parts: str) -> str:
@@ -28,7 +29,9 @@ def new_run_id() -> str:
 
 def with_audit(df: DataFrame, run_id: str, after: int = 1) -> DataFrame:
     """Say which run wrote a row and when, behind the first ``after`` columns."""
-    names = [f"`{name}`" for name in df.columns]
-    quoted = run_id.replace("'", "\\'")
-    audit = [f"'{quoted}' as record_source", "date_trunc('second', current_timestamp()) as load_dts"]
-    return df.selectExpr(*names[:after], *audit, *names[after:])
+    names = [F.col(f"`{name}`") for name in df.columns]
+    audit = [
+        F.lit(run_id).alias("record_source"),
+        F.date_trunc("second", F.current_timestamp()).alias("load_dts"),
+    ]
+    return df.select(*names[:after], *audit, *names[after:])

@@ -142,14 +142,14 @@ def test_tables_are_written_by_layer(spark, small, tmp_path):
     for name in SCHEMAS:
         tables[name].write.parquet(f"{tmp_path}/{name}")
     read = parquet_reader(spark, str(tmp_path))
-    written = build_tables(spark, read, run_id="it's run 1")
+    written = build_tables(spark, read, run_id="it's \\run 1")
     assert len(written) == len(MODELS) == 32
     assert "vault_raw.hub_binance_order" in written and "mart_core.fact_bybit_trade" in written
     for name, model in MODELS.items():
         table = spark.table(sink.table_name(model.layer, name))
         assert table.count() == tables[name].count(), name
     audited = spark.table("mart_core.fact_bybit_trade").select("record_source").distinct().collect()
-    assert [r.record_source for r in audited] == ["it's run 1"]
+    assert [r.record_source for r in audited] == ["it's \\run 1"]
 
     # A second run replaces the rows; other environments have one namespace.
     before = spark.table("vault_raw.hub_binance_payin").count()
