@@ -21,11 +21,13 @@ def table_name(layer: str, name: str, env: str = "prod", default: str = "dev") -
 def in_sort_order(df: DataFrame, sort_by: str) -> DataFrame:
     """Range-partition and sort by a column, so files can be skipped by it.
 
-    A hash of the row follows in the order: it lets a range boundary fall
-    within a value that very many rows share.
+    A hash of the row follows in the order, and for copies of a whole row the
+    partition each comes from: that lets a range boundary fall within a value
+    that very many rows share.
     """
-    tie = F.xxhash64(*df.columns)
-    return df.repartitionByRange(F.col(sort_by), tie).sortWithinPartitions(sort_by)
+    placed = df.withColumn("_origin", F.spark_partition_id())
+    ranged = placed.repartitionByRange(F.col(sort_by), F.xxhash64(*df.columns), F.col("_origin"))
+    return ranged.sortWithinPartitions(sort_by).drop("_origin")
 
 
 def write_layer(

@@ -164,12 +164,14 @@ def test_tables_are_written_by_layer(spark, small, tmp_path):
     assert table_reader(spark)("binance_payins").count() == read("binance_payins").count()
 
 
-def test_sort_order_splits_a_value_many_rows_share(spark):
-    df = spark.range(4000).selectExpr("if(id % 3 > 0, 7, id) as at", "id").repartition(4)
+@pytest.mark.parametrize("other", ["id", "'a copy'"])
+def test_sort_order_splits_a_value_many_rows_share(spark, other):
+    df = spark.range(0, 4000, 1, 16).selectExpr("if(id % 3 > 0, 7, id) as at", f"{other} as other")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         laid = sink.in_sort_order(df, "at").withColumn("_p", F.spark_partition_id())
         parts = laid.groupBy("_p").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).orderBy("_p").collect()
+        assert laid.count() == 4000
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert all(a.hi <= b.lo for a, b in zip(parts, parts[1:], strict=False))
