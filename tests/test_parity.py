@@ -40,5 +40,5 @@ def test_rows_match_where_groups_are_cut(spark, medium, name):
 
 
 def test_entry_point_imports_without_a_session():
-    code = "import __spark_entry__ as e; assert e.queries().keys() == e.oracle_sql().keys()"
+    code = "import __spark_entry__ as e; assert e.queries().keys() >= e.oracle_sql().keys()"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
