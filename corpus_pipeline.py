@@ -7,13 +7,23 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import simhash, winnowing
+from tallybook.llm import decision_list, sampling, simhash, toxicity, winnowing
 from tallybook.llm.common import table
 from tallybook.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the fixed rules or the learned list reject go."""
+    return decision_list.kept_documents(docs, decision_list.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return toxicity.clean_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays."""
     return simhash.one_of_each(docs)
@@ -24,12 +34,20 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return winnowing.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as the ids of a sampled segmentation."""
+    return sampling.encode(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality),
+    ("toxicity", not_toxic),
     ("simhash_near_dedup", near_duplicates),
     ("benchmark_decontamination", decontamination),
+    ("sentencepiece_sampling", encoding),
 ]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # the stages learn, hash and sample in ways SQL does not have
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.session import cut_lineage
@@ -10,6 +10,9 @@ from tallybook.session import cut_lineage
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
+BLANKS = " \t\n\x0b\f\r"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 # Rows of a table that may be broadcast: at most this many, of a few numbers each.
 BROADCAST_ROWS = 500_000
 
@@ -23,6 +26,26 @@ def let(value: str, name: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def quoted(pattern: str) -> str:
+    """A pattern as it stands inside an SQL literal."""
+    return pattern.replace("\\", "\\\\")
+
+
+def grams_of(words: str, length: int) -> str:
+    """SQL for the hashes of all grams of ``length`` words; empty if there are fewer words."""
+    parts = ", ".join(f"get(h, i + {j})" for j in range(length))
+    grams = f"if(size(h) < {length}, array(), transform(sequence(0, size(h) - {length}), i -> xxhash64({parts})))"
+    return let(f"transform({words}, w -> xxhash64(w))", "h", grams)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Rows written to the shared folder, so that a lost executor does not recompute them."""
     return cut_lineage(df)
@@ -31,11 +54,3 @@ def settled(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a settled table of short rows for broadcasting if it is counted to be small."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def same_row(left: str, right: str, *names: str) -> Column:
-    """Equality of keys, with NULL equal to NULL."""
-    matched = F.lit(True)
-    for name in names:
-        matched = matched & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return matched

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tallybook.llm.common import broadcast_if_small, let, same_row, settled
+from tallybook.llm.common import broadcast_if_small, fresh, settled
 from tallybook.llm.components import components
 from tallybook.llm.tries import linked_groups
 
@@ -179,8 +179,7 @@ def one_of_each(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bi
     rows = near_duplicates(documents, shingle_words, max_bits)
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "mark")
     chosen = rows.groupBy("group").agg(F.min(order).alias("chosen")).select("chosen.doc_id", "chosen.mark")
-    marked = documents.withColumn("_mark", F.xxhash64("text"))
-    kept = marked.alias("d").join(
-        chosen.distinct().alias("c"), F.expr("d.doc_id <=> c.doc_id and d._mark = c.mark"), "left_semi"
-    )
-    return kept.dropDuplicates(["doc_id", "_mark"]).drop("_mark")
+    mark = fresh(documents, "mark")
+    marked = documents.withColumn(mark, F.xxhash64("text"))
+    kept = marked.alias("d").join(chosen.alias("c"), F.expr(f"d.doc_id <=> c.doc_id and d.{mark} = c.mark"), "left_semi")
+    return kept.dropDuplicates(["doc_id", mark]).drop(mark)

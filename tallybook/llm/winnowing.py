@@ -15,11 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import broadcast_if_small, let, settled
+from tallybook.llm.common import LOWER, UPPER, broadcast_if_small, grams_of, let, quoted, settled
 
 WINDOW = 10
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def gram_length(window: int) -> int:
@@ -30,14 +29,7 @@ def gram_length(window: int) -> int:
 def words_of(text: str) -> str:
     """Lower-case words; only A-Z change case.  NULL has none."""
     lowered = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
-    return f"array_remove(split({lowered}, '{_quoted(BREAK)}'), '')"
-
-
-def grams_of(words: str, length: int) -> str:
-    """Hashes of all grams of ``length`` words; empty if there are fewer words."""
-    parts = ", ".join(f"get(h, i + {j})" for j in range(length))
-    grams = f"if(size(h) < {length}, array(), transform(sequence(0, size(h) - {length}), i -> xxhash64({parts})))"
-    return let(f"transform({words}, w -> xxhash64(w))", "h", grams)
+    return f"array_remove(split({lowered}, '{quoted(BREAK)}'), '')"
 
 
 def minima_of(grams: str, span: int) -> str:
@@ -64,10 +56,6 @@ def runs_of(words: str, window: int) -> str:
     return let(grams_of(words, length), "g", runs)
 
 
-def _quoted(pattern: str) -> str:
-    return pattern.replace("\\", "\\\\")
-
-
 def _item_windows(items: DataFrame, window: int) -> DataFrame:
     """Distinct windows of the items with the items that hold them."""
     whole = items.select("item_id", F.expr(words_of("text")).alias("words")).where("size(words) > 0")
@@ -143,8 +131,7 @@ def contamination(documents: DataFrame, items: DataFrame, window: int = WINDOW)
 
 def decontaminated(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that hold no window of an item, with all their columns."""
-    mark = F.xxhash64("text")
-    found = hits(documents.select("doc_id", "text", mark.alias("_mark")), items, window, ("doc_id", "_mark"))
-    found = settled(found.select("doc_id", "_mark").distinct())
-    matched = documents["doc_id"].eqNullSafe(found["doc_id"]) & (mark == found["_mark"])
-    return documents.join(broadcast_if_small(found), matched, "left_anti")
+    marked = documents.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    found = settled(hits(marked, items, window, ("doc_id", "mark")).select("doc_id", "mark").distinct())
+    matched = F.expr("d.doc_id <=> h.doc_id and xxhash64(d.text) = h.mark")
+    return documents.alias("d").join(broadcast_if_small(found).alias("h"), matched, "left_anti")
