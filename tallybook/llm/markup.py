@@ -46,7 +46,7 @@ def _step(tag: str, attrs: str) -> str:
     if named.get("id"):
         step += "#" + "-".join(re.sub(r"\d+", "0", named["id"]).split())
     for name in sorted(set(named.get("class", "").split())):
-        step += "." + re.sub(r"\d+", "0", name)
+        step += "." + re.sub(r"\d{2,}", "0", name)
     if named.get("role"):
         step += "[" + named["role"].strip().lower() + "]"
     if "hidden" in named or named.get("aria-hidden") == "true":

@@ -84,6 +84,11 @@ def _is_prose(block: Block) -> bool:
     return block.text.count(" ") + 1 >= PROSE_WORDS
 
 
+def _is_container(path: str) -> bool:
+    """Whether an element may hold an article, other than a paragraph or a heading."""
+    return _tag(path.rsplit(">", 1)[-1]) not in PROSE_TAGS
+
+
 def _prefixes(path: str) -> list[str]:
     steps = path.split(">")
     return [">".join(steps[: k + 1]) for k in range(len(steps))]
@@ -97,7 +102,7 @@ def _tokens(page: list[Block]) -> tuple[Counter, Counter, Counter]:
         main = _is_prose(block) and not _boilerplate(block.path.split(">"), None)
         for prefix in _prefixes(block.path):
             elements[prefix] += 1
-            if main:
+            if main and _is_container(prefix):
                 prose[prefix] += len(block.text)
     return elements, texts, prose
 
@@ -172,7 +177,7 @@ def _own_root(page: list[Block]) -> str | None:
     prose: Counter = Counter()
     for block in page:
         if _is_prose(block):
-            for prefix in _prefixes(block.path):
+            for prefix in filter(_is_container, _prefixes(block.path)):
                 prose[prefix] += len(block.text)
     if not prose:
         return None

@@ -26,7 +26,7 @@ SHARD = 8_192  # labelled rows of a shard
 EPOCHS = 3
 BITS = 20
 UP_TO, SKIPS = 2, 1
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.1
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 
