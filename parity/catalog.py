@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,10 @@ from tallybook.operators import balance, checks, dedup, fifo, numbering, positio
 from tallybook.operators.ordered import GROUP_ROWS, arrange, parts_needed
 from tallybook.plans import business, bybit, kraken
 from tallybook.plans.models import HUB_KEYS, MODELS
+from tallybook.session import ensure_checkpoint_dir
 from tallybook.sources.schemas import SCHEMAS
+from tallybook.sources.sink import write_layer
+from tallybook.sources.tables import conform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,7 +122,7 @@ def _positions(t: Tables, group_rows: int) -> DataFrame:
 
 
 def _signed_position(group_rows: int) -> Callable[[Tables], DataFrame]:
-    return lambda t: _positions(t, group_rows).select("fk_bybit_trade", "symbol", "trade_at", "quantity", "net_before")
+    return lambda t: _positions(t, group_rows).select("fk_bybit_trade", "symbol", "trade_at", "quantity", "held_before")
 
 
 def _split_legs(t: Tables) -> DataFrame:
@@ -146,7 +150,8 @@ def _fx_at_minute(t: Tables) -> DataFrame:
 
 def _fx_shuffled(t: Tables) -> DataFrame:
     """The same without a broadcast, as for a rate table of any size."""
-    rated = rates.fx_at_minute(t["sat_kraken_position"], _kraken_rates(t), "fill_at", max_broadcast_rows=0)
+    shuffled = _kraken_rates(t).hint("merge")
+    rated = rates.fx_at_minute(t["sat_kraken_position"], shuffled, "fill_at")
     return rated.select("fk_kraken_position", "fill_at", "fx_rate")
 
 
@@ -179,6 +184,7 @@ def _split_amount(t: Tables) -> DataFrame:
 def _scalar_functions(t: Tables) -> DataFrame:
     at, transfer = "transaction_utc_at", "type = 'TRANSFER'"
     longer = "concat(amount, '9876543219')"
+    longest = "concat(amount, '123456')"  # eight digits behind the point
     iso = f"date_format({at}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
     five = "cast(5 as decimal(18,8))"
     expressions = {
@@ -191,6 +197,10 @@ def _scalar_functions(t: Tables) -> DataFrame:
         "with_exponent": decimals.money("concat(amount, 'e-3')"),
         "cut_number": decimals.cut(f"cast({longer} as decimal(38,12))", 9, 4),
         "malformed": decimals.money("concat(amount, 'x')", on_error="null"),
+        "junk_behind_eight": decimals.money(f"concat({longest}, 'BTC')", on_error="null"),
+        "junk_behind_nine": decimals.money(f"concat({longest}, '9 1')", on_error="null"),
+        "junk_behind_twelve": decimals.money(f"concat({longest}, '9876', if({transfer}, '', '.9'))", on_error="null"),
+        "tiny": decimals.money(f"concat({longest}, '9876543219e-1')"),
         "quotient": decimals.quotient(decimals.money("amount"), "1.1234"),
         "epoch": times.epoch_seconds(at),
         "to_second": times.second(at),
@@ -198,6 +208,7 @@ def _scalar_functions(t: Tables) -> DataFrame:
         "parsed_millis": times.from_iso(iso),
         "parsed_or_null": times.from_iso_or_null(f"if({transfer}, {iso}, 'n/a')"),
         "berlin_time": times.berlin(at),
+        "berlin_by_the_season": times.berlin(f"{at} + make_dt_interval(cast(substring(transaction_id, -2) as int) * 4)"),
         "at_most_five": f"least({decimals.money('amount')}, {five})",
         "at_least_five": f"greatest({decimals.money('amount')}, {five})",
         "snake": text.snake("concat(type, ' x')"),
@@ -207,6 +218,43 @@ def _scalar_functions(t: Tables) -> DataFrame:
     return t["binance_transactions_futures"].selectExpr(*[f"{sql} as {name}" for name, sql in expressions.items()])
 
 
+def _retyped(model: str, export: str, change: Callable[[str], str | None]) -> Query:
+    """A model over an export whose columns come in other types; ``change`` names a column's type."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tables = Tables(spark, folder)
+        given = tables[export]
+        other = given.select(*[F.col(c).cast(change(t) or t).alias(c) for c, t in given.dtypes])
+        tables._known[export] = conform(other, export)
+        return comparable(tables[model])
+
+    return run
+
+
+def _as_text(dtype: str) -> str | None:
+    return "string" if dtype == "bigint" or dtype.startswith("decimal") else None
+
+
+def _whole_numbers(dtype: str) -> str | None:
+    return "decimal(20,0)" if dtype == "bigint" else None
+
+
+def _account_balance_in_parts(t: Tables) -> DataFrame:
+    return business.calc_binance_accountbalance(t["sat_binance_transaction"], "run", group_rows=SMALL_GROUP)
+
+
+def _written(spark: SparkSession, folder: str) -> DataFrame:
+    """A model written as a table of another environment, as it is read back."""
+    tables = Tables(spark, folder)
+    namespace = f"parity_{uuid4().hex}"
+    spark.sql(f"create namespace {namespace} location '{ensure_checkpoint_dir(spark)}/{namespace}'")
+    model = MODELS["hub_binance_trade"]
+    rows = model.build(*[tables[t] for t in model.reads], "parity run")
+    name = write_layer(rows, model.layer, "hub_binance_trade", model.sort_by, "test", namespace, model.unique_key)
+    loaded = F.expr("load_dts is not null and load_dts <= current_timestamp() as loaded")
+    return spark.table(name).select("pk_binance_trade", "bk_binance_trade", "record_source", loaded)
+
+
 def _keys_normalised(t: Tables) -> DataFrame:
     """Trades with an order, when both sides of each key are spelled alike."""
     trades, orders = t["bybit_trades"], t["bybit_orders"]
@@ -260,6 +308,13 @@ QUERIES |= {
     "running_balance": _query(_running_balance(GROUP_ROWS)),
     "running_balance_in_parts": _query(_running_balance(SMALL_GROUP)),
     "transaction_balance_in_parts": _query(_transaction_balance_in_parts),
+    "account_balance_in_parts": _query(_account_balance_in_parts),
+    "ohlc_from_text": _retyped("sat_kraken_ohlc", "kraken_ohlc_eur_usd", _as_text),
+    "kline_from_text": _retyped("sat_bybit_kline", "bybit_klines_1m_usdt_eur", _as_text),
+    "position_from_text": _retyped("sat_kraken_position", "kraken_positions", _as_text),
+    "trade_from_text": _retyped("sat_bybit_trade", "bybit_trades", _as_text),
+    "booking_from_decimal": _retyped("sat_kraken_transaction", "kraken_transactions", _whole_numbers),
+    "written_table": _written,
     "keys_normalised": _query(_keys_normalised),
     "positions_normalised": _query(_positions_normalised),
     "hub_key_report": _query(_hub_key_report),

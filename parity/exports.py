@@ -34,7 +34,6 @@ EXPORTS = {
             case when o_custkey % 2 = 0 then 'Bank Transfer' else 'Card' end payment_method,
             case when o_orderstatus = 'P' then 'Failed' else 'Successful' end status
         from orders
-        where o_orderkey % 5 = 0
     """,
     "binance_orders_spot": """
         select
@@ -112,34 +111,47 @@ EXPORTS = {
     """,
     "bybit_orders": """
         select
-            'o' || cast(event_id as string) orderId,
+            'o' || cast(order_no as string) orderId,
             'SYM' || cast(user_id % 3 as string) || 'USDT' symbol,
             case when event_type in ('click', 'view') then 'Buy' else 'Sell' end side,
             'Limit' orderType,
             case when d = 1 then 'Filled' else 'New' end orderStatus,
             {MS}(ts) + 60000 * d createdTime,
-            cast(1 + event_id % 7 as string) qty,
-            cast(cast(value as decimal(18,2)) as string) price,
-            cast(cast(value as decimal(18,2)) * (1 + event_id % 7) as string) cumExecValue,
-            cast(cast(value as decimal(18,2)) * 0.001 as string) cumExecFee
-        from (select *, {TWICE} d from events) copies
-        where event_id % 3 = 0 and (d = 0 or event_id % 2 = 0)
+            cast(units as string) qty,
+            cast(worth as string) price,
+            cast(worth * units as string) cumExecValue,
+            cast(worth * 0.001 as string) cumExecFee
+        from (
+            select *, {TWICE} d
+            from (
+                select event_id - event_id % 3 order_no, min_by(user_id, event_id) user_id,
+                    min_by(event_type, event_id) event_type, min(ts) ts, cast(sum(1 + event_id % 7) as bigint) units,
+                    max(cast(value as decimal(18,2))) worth
+                from events
+                group by event_id - event_id % 3
+            ) grouped
+        ) copies
+        where d = 0 or order_no % 2 = 0
     """,
     "bybit_pnl": """
         select
-            'o' || cast(event_id as string) orderId,
+            'o' || cast(order_no as string) orderId,
             'SYM' || cast(user_id % 3 as string) || 'USDT' symbol,
             'Sell' side,
             'Market' orderType,
-            cast(1 + event_id % 7 as string) qty,
-            cast(cast(value as decimal(18,2)) as string) avgEntryPrice,
-            cast(cast(value as decimal(18,2)) * 2 as string) cumEntryValue,
-            cast(cast(value as decimal(18,2)) + 1 as string) avgExitPrice,
-            cast(cast(value as decimal(18,2)) * 2 + 2 as string) cumExitValue,
-            cast(cast(value as decimal(18,2)) as string) orderPrice,
+            cast(units as string) qty,
+            cast(worth as string) avgEntryPrice,
+            cast(worth * 2 as string) cumEntryValue,
+            cast(worth + 1 as string) avgExitPrice,
+            cast(worth * 2 + 2 as string) cumExitValue,
+            cast(worth as string) orderPrice,
             cast(2 as string) closedPnl
-        from events
-        where event_id % 3 = 0 and event_type = 'purchase'
+        from (
+            select event_id - event_id % 3 order_no, min_by(user_id, event_id) user_id, cast(sum(1 + event_id % 7) as bigint) units,
+                max(cast(value as decimal(18,2))) worth
+            from events
+            group by event_id - event_id % 3
+        ) closed
     """,
     "bybit_klines_1m_usdt_eur": """
         select

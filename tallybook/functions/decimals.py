@@ -10,24 +10,61 @@ CASTS = {"raise": "cast", "null": "try_cast"}
 
 
 def cut(x: str, precision: int, scale: int, on_error: str = "raise") -> str:
-    """Number (or text with an exponent) to decimal, surplus digits dropped."""
+    """Number to decimal, surplus digits dropped."""
     cast = CASTS[on_error]
     wide = f"{cast}({x} as decimal(38,18))"
     unit = f"cast('1e-{scale}' as decimal({scale + 1},{scale}))"
     return f"{cast}({wide} - {wide} % {unit} as decimal({precision},{scale}))"
 
 
+NUMBER = "[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)"
+AROUND = "[\\\\x00-\\\\x20]*"  # what a cast strips
+EXPONENT = "[eE][+-]?[0-9]+"
+LARGEST_EXPONENT = 100  # beyond every decimal type
+
+
+def _whole(x: str, pattern: str) -> str:
+    return f"{x} rlike '^{AROUND}{pattern}{AROUND}$'"
+
+
+def _shortened(x: str, scale: int) -> str:
+    """Plain notation without the digits behind ``scale``."""
+    return f"if(instr({x}, '.') > 0, substring({x}, 1, instr({x}, '.') + {scale}), {x})"
+
+
+def _plain(x: str) -> str:
+    """Text with an exponent in plain notation: its point is moved in the text, so no digit is lost."""
+
+    def part(pattern: str) -> str:
+        return f"regexp_extract({x}, '{pattern}', 1)"
+
+    sign = part("^[^0-9.]*([-])")
+    mantissa = part("([0-9.]+)[eE]")
+    whole = f"substring_index({mantissa}, '.', 1)"
+    digits = f"replace({mantissa}, '.', '')"
+    written = part("[eE]([+-]?[0-9]+)")
+    beyond = f"if(startswith({written}, '-'), -{LARGEST_EXPONENT}, {LARGEST_EXPONENT})"
+    power = f"coalesce(try_cast({written} as int), {beyond})"
+    bounded = f"greatest(-{LARGEST_EXPONENT}, least({LARGEST_EXPONENT}, {power}))"
+    point = f"(length({whole}) + {bounded})"
+    ahead = f"if({point} > 0, substring(rpad({digits}, greatest({point}, length({digits})), '0'), 1, {point}), '0')"
+    behind = f"if({point} > 0, substring({digits}, {point} + 1), concat(repeat('0', -{point}), {digits}))"
+    return f"concat({sign}, {ahead}, '.', {behind})"
+
+
 def from_text(x: str, precision: int, scale: int, on_error: str = "raise") -> str:
     """Decimal from text, surplus digits dropped.
 
-    Plain notation is shortened as text, which is exact for any number of
-    digits and needs a single decimal conversion.  Only text with an exponent
-    takes the arithmetic route.  Malformed text raises, or gives NULL with
-    ``on_error='null'``.
+    The whole text must be a number, with or without an exponent; only then is
+    it shortened, as text, which is exact for any number of digits.  Malformed
+    text raises, or gives NULL with ``on_error='null'``.
     """
-    plain = f"if(instr({x}, '.') > 0, substring({x}, 1, instr({x}, '.') + {scale}), {x})"
-    short = f"{CASTS[on_error]}({plain} as decimal({precision},{scale}))"
-    return f"if(contains(lower({x}), 'e'), {cut(x, precision, scale, on_error)}, {short})"
+    cast, kind = CASTS[on_error], f"decimal({precision},{scale})"
+    return (
+        f"case when {_whole(x, NUMBER)} then {cast}({_shortened(x, scale)} as {kind}) "
+        f"when {_whole(x, NUMBER + EXPONENT)} then {cast}({_shortened(_plain(x), scale)} as {kind}) "
+        f"else {cast}(concat('not a number: ', {x}) as {kind}) end"
+    )
 
 
 def money(x: str, on_error: str = "raise") -> str:

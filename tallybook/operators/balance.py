@@ -31,7 +31,7 @@ def running_balance(
     if not parts:
         window = Window.partitionBy(*keys).orderBy(*ordering(order))
         window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.sum(amount).over(window).cast("decimal(38,8)"))
+        return df.withColumn(out, F.sum(amount).over(window).cast("decimal(37,8)").cast("decimal(38,8)"))
 
     # Rows that share a total collapse into one; that also takes the weight
     # out of a single time and amount repeated very often.

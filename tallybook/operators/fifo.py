@@ -51,13 +51,13 @@ NO_BOOK = "'none'"
 
 
 def on_axis(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: Parts | None = None) -> DataFrame:
-    """Place trades with ``net_before`` on the axis of the book they change.
+    """Place trades with ``held_before`` on the axis of the book they change.
 
     A trade that closes lies where its closed quantity ends, one that opens
     where its lot begins.  A flip gives a second row for its lot; exactly one
     row per trade has ``_reported``.
     """
-    carry = [c for c in df.columns if c not in ("net_before", "_part")]
+    carry = [c for c in df.columns if c not in ("held_before", "_part")]
     opened = {
         f"_{book}_ahead": (f"if(_opened_book = '{book}', _opened, 0)", RUNNING) for book in ("long", "short")
     }
@@ -70,7 +70,7 @@ def on_axis(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: Par
         return f"case _kind when {CLOSE} then {close} when {OPEN} then {opening} else {neither} end"
 
     # Closed so far = opened so far less what is still held.
-    closed_up_to = f"{ahead('_closed_book')} - (abs(net_before) - _closed)"
+    closed_up_to = f"{ahead('_closed_book')} - (abs(held_before) - _closed)"
     flip = "_closed > 0 and _opened > 0"
     kind = f"case when _closed > 0 and _leg = 0 then {CLOSE} when _opened > 0 then {OPEN} else {NEITHER} end"
     return (
@@ -113,7 +113,8 @@ def realise(axis: DataFrame, keys: Sequence[str], unique: str, parts: Parts | No
         taken = v.worth(v.price, "_qty")
         cost = subtract(f"_cost.{v.result}", f"coalesce(_cost_ahead.{v.result}, {zero})", v.scale)
         gain = f"if(_book = 'long', {subtract(taken, cost, v.scale)}, {subtract(cost, taken, v.scale)})"
-        return f"if({is_close}, {gain}, {zero}) as {v.result}"
+        # Trades without a symbol are a group to a window, but share no book.
+        return f"if({is_close} and {keys[0]} is not null, {gain}, {zero}) as {v.result}"
 
     return served.selectExpr("*", *[profit(v) for v in VALUATIONS])
 
@@ -129,7 +130,8 @@ def fifo_profit(
     """Add the realised profit, in both currencies, to each trade.
 
     ``trades`` needs signed ``quantity``, ``price`` and ``price_eur``.  Trades
-    of one symbol are ordered by ``at``, within a second by ``unique``.
+    of one symbol are ordered by ``at``, within a second by ``unique``; trades
+    without a symbol have a profit of 0.
 
     ``sizes_from`` may name a cheaper table with at least as many rows per
     symbol, used only to tell whether a symbol is too large for one task.

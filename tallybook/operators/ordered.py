@@ -92,8 +92,6 @@ def large_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROW
 
 def parts_needed(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> Parts | None:
     """How to cut the rows into parts; None if each group fits a task."""
-    if df.count() <= group_rows:
-        return None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     largest, total, groups = sizes.agg(F.max("_size"), F.sum("_size"), F.count(F.lit(1))).first()
     if largest is None or largest <= group_rows:

@@ -25,13 +25,13 @@ def position_before(
     order: Sequence[str],
     parts: Parts | None = None,
     quantity: str = "quantity",
-    out: str = "net_before",
+    out: str = "held_before",
 ) -> DataFrame:
     """Position held ahead of each trade."""
     return scan(df, keys, order, {out: (quantity, RUNNING)}, parts=parts)
 
 
-def with_legs(df: DataFrame, net: str = "net_before", quantity: str = "quantity") -> DataFrame:
+def with_legs(df: DataFrame, net: str = "held_before", quantity: str = "quantity") -> DataFrame:
     """Add the ``_closed`` and ``_opened`` quantity of each trade and the books.
 
     A trade against the position closes as much of it as there is; whatever is
@@ -49,11 +49,11 @@ def with_legs(df: DataFrame, net: str = "net_before", quantity: str = "quantity"
 
 
 def split_legs(df: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """One row per leg with ``leg_type`` and ``qty``; a flip gives two.
+    """One row per leg with ``leg`` and ``units``; a flip gives two.
 
     The rows are read once and unfolded, not once per kind of leg.
     """
     legs = """inline(array(
-        struct(concat(_closed_book, '_close') as leg_type, _closed as qty),
-        struct(concat(_opened_book, '_open') as leg_type, _opened as qty)))"""
-    return with_legs(df).selectExpr(*carry, legs).filter(F.col("qty") > 0)
+        struct(concat(_closed_book, '_close') as leg, _closed as units),
+        struct(concat(_opened_book, '_open') as leg, _opened as units)))"""
+    return with_legs(df).selectExpr(*carry, legs).filter(F.col("units") > 0)

@@ -7,37 +7,24 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import decimals, times
 
-# A rate table has one row per minute: this many rows are eleven years.  Each
-# takes a few dozen bytes, so the broadcast copy stays below half a gigabyte.
-BROADCAST_MINUTES = 6_000_000
-
-
-def if_small(df: DataFrame, max_rows: int = BROADCAST_MINUTES) -> DataFrame:
-    """Mark a table for broadcast after counting its rows.
-
-    A larger table is left to a shuffled join, where adaptive execution splits
-    minutes with very many trades.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def rates_by_minute(candles: DataFrame, at: str, close: str = "close_price") -> DataFrame:
     """The closing rate of each candle, cut to four digits."""
     return candles.selectExpr(f"{at} as _rate_at", f"{decimals.rate(close)} as fx_rate")
 
 
-def fx_at_minute(rows: DataFrame, rates: DataFrame, at: str, max_broadcast_rows: int = BROADCAST_MINUTES) -> DataFrame:
+def fx_at_minute(rows: DataFrame, rates: DataFrame, at: str) -> DataFrame:
     """Add ``fx_rate`` of the row's minute; rows of a minute without rate go.
 
-    ``rates`` comes from :func:`rates_by_minute`.
+    ``rates`` comes from :func:`rates_by_minute`.  Whether it is broadcast is
+    left to the session's threshold and to adaptive execution, which also
+    splits minutes with very many trades in a shuffled join.
     """
-    small = if_small(rates, max_broadcast_rows)
-    return rows.join(small, F.expr(f"{times.minute(at)} = _rate_at"), "inner").drop("_rate_at")
+    return rows.join(rates, F.expr(f"{times.minute(at)} = _rate_at"), "inner").drop("_rate_at")
 
 
 def without_rate(rows: DataFrame, rates: DataFrame, at: str) -> DataFrame:
     """The rows that :func:`fx_at_minute` drops."""
-    return rows.join(if_small(rates), F.expr(f"{times.minute(at)} = _rate_at"), "left_anti")
+    return rows.join(rates, F.expr(f"{times.minute(at)} = _rate_at"), "left_anti")
 
 
 def multiplied(amount: str, rate: str = "fx_rate") -> str:

@@ -10,7 +10,7 @@ from tallybook.operators.balance import running_balance
 from tallybook.operators.fifo import fifo_profit
 from tallybook.operators.ordered import GROUP_ROWS
 from tallybook.operators.position import signed_quantity
-from tallybook.operators.rates import BROADCAST_MINUTES, divided, fx_at_minute, multiplied, rates_by_minute
+from tallybook.operators.rates import divided, fx_at_minute, multiplied, rates_by_minute
 
 ACCOUNT = ["wallet", "coin"]
 
@@ -35,10 +35,10 @@ def calc_binance_transaction_accountbalance(
     return with_audit(balances.select("fk_binance_transaction", "accountbalance"), run_id)
 
 
-def bybit_base(trades: DataFrame, klines: DataFrame, max_broadcast_rows: int = BROADCAST_MINUTES) -> DataFrame:
+def bybit_base(trades: DataFrame, klines: DataFrame) -> DataFrame:
     """Trades with signed quantity and with price and fee in EUR."""
     candles = klines.filter("symbol = 'USDTEUR' and kline_interval = '1m'")
-    rated = fx_at_minute(trades, rates_by_minute(candles, "kline_start_at"), "trade_at", max_broadcast_rows)
+    rated = fx_at_minute(trades, rates_by_minute(candles, "kline_start_at"), "trade_at")
     return rated.selectExpr(
         "fk_bybit_trade",
         "symbol",
@@ -57,20 +57,19 @@ def calc_bybit_pnl_per_trade(
     trades: DataFrame,
     klines: DataFrame,
     group_rows: int = GROUP_ROWS,
-    max_broadcast_rows: int = BROADCAST_MINUTES,
     sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Realised profit per trade in USDT and EUR; fees are not subtracted."""
-    base = bybit_base(trades, klines, max_broadcast_rows)
+    base = bybit_base(trades, klines)
     return fifo_profit(base, group_rows=group_rows, sizes_from=trades if sizes_from is None else sizes_from)
 
 
 def calc_kraken_pnl_per_trade(
-    positions: DataFrame, ohlc: DataFrame, max_broadcast_rows: int = BROADCAST_MINUTES
+    positions: DataFrame, ohlc: DataFrame
 ) -> DataFrame:
     """Profit as reported by the exchange, converted at the closing minute."""
     candles = ohlc.filter("symbol = 'PF_EURUSD'")
-    rated = fx_at_minute(positions, rates_by_minute(candles, "ohlc_at"), "fill_at", max_broadcast_rows)
+    rated = fx_at_minute(positions, rates_by_minute(candles, "ohlc_at"), "fill_at")
     fee = "cast(coalesce(fee, 0) - coalesce(realized_funding, 0) as decimal(18,8))"
     profit = "cast(coalesce(realized_pnl, 0) as decimal(18,8))"
     # The names of update reasons.

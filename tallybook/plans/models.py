@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import wraps
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.functions.keys import new_run_id
+from tallybook.operators.checks import key_report
+from tallybook.operators.ordered import GROUP_ROWS
 from tallybook.plans import binance, business, bybit, kraken, marts
 from tallybook.session import prepare
 from tallybook.sources.sink import table_name, write_layer
@@ -23,16 +27,28 @@ class Model:
     build: Callable[..., DataFrame]
     sort_by: str | None
 
+    @property
+    def unique_key(self) -> bool:
+        """Whether the table is sorted by an MD5 key that de-duplication keeps unique."""
+        return (self.sort_by or "")[:3] in ("pk_", "fk_") and self.build.__name__ not in REPEATING
+
+
+# Models without de-duplication: a key may occur in very many rows.
+REPEATING = {
+    *("hub_binance_payin", "sat_binance_payin", "hub_bybit_pnl", "sat_bybit_pnl", "hub_kraken_ticker"),
+    *("sat_kraken_ticker", "link_bybit_pnl_bybit_order", "link_bybit_trade_bybit_order"),
+}
+
 
 def _model(layer: str, build: Callable[..., DataFrame], sort_by: str | None, *reads: str) -> tuple[str, Model]:
     return build.__name__, Model(layer, reads, build, sort_by)
 
 
 def _without_audit(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    def run(*args):
-        return build(*args[:-1])
+    @wraps(build)
+    def run(*args, **options):
+        return build(*args[:-1], **options)
 
-    run.__name__ = build.__name__
     return run
 
 
@@ -111,11 +127,14 @@ def build_tables(
     env: str = "prod",
     default: str = "dev",
     run_id: str | None = None,
+    normalise_keys: bool = False,
+    group_rows: int = GROUP_ROWS,
 ) -> list[str]:
     """Rebuild the named models (all by default) as tables.
 
     ``read`` returns an export by name.  Models read the tables of the models
-    ahead of them, which therefore have to exist.
+    ahead of them, which therefore have to exist.  ``normalise_keys`` and
+    ``group_rows`` go to the models that know them.
     """
     prepare(spark)
     run_id = run_id or new_run_id()
@@ -131,6 +150,15 @@ def build_tables(
     written = []
     for name, model in MODELS.items():
         if name in wanted:
-            rows = model.build(*[table(t) for t in model.reads], run_id)
-            written.append(write_layer(rows, model.layer, name, model.sort_by, env, default))
+            known = signature(model.build).parameters
+            given = {"normalise_keys": normalise_keys, "group_rows": group_rows}
+            options = {option: value for option, value in given.items() if option in known}
+            rows = model.build(*[table(t) for t in model.reads], run_id, **options)
+            written.append(write_layer(rows, model.layer, name, model.sort_by, env, default, model.unique_key))
     return written
+
+
+def check_tables(spark: SparkSession, env: str = "prod", default: str = "dev") -> DataFrame:
+    """Failures of the key checks on the written hubs: two rows a hub, each table read once."""
+    hubs = {name: (spark.table(table_name(MODELS[name].layer, name, env, default)), key) for name, key in HUB_KEYS.items()}
+    return key_report(hubs)

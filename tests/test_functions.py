@@ -25,6 +25,14 @@ def one(spark, expression, **values):
         ("1.26e-7", "0.00000012"),
         ("15E-9", "0.00000001"),
         ("0.99999999999999999999999999999", "0.99999999"),
+        ("9.9999999999999999999e-1", "0.99999999"),
+        ("-12345678901234567890.5e-12", "-12345678.90123456"),
+        (" 1.5 ", "1.5"),
+        (".5", "0.5"),
+        ("+5e0", "5"),
+        ("0e999", "0"),
+        ("123e-99999999999", "0"),
+        ("1.5e+3", "1500"),
     ],
 )
 def test_surplus_digits_are_dropped(spark, given_text, kept):
@@ -47,6 +55,28 @@ def test_text_is_cut_like_exact_arithmetic(spark, numbers):
         assert found[t] == Decimal(t).quantize(Decimal("1e-8"), rounding=ROUND_DOWN), t
 
 
+@settings(max_examples=4, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.integers(-(10**9), 10**9), st.integers(0, 14), st.sampled_from(["", "e-2", "x", "BTC", ".1", " 1", "e", "E+", "-"])
+        ),
+        min_size=20,
+        max_size=40,
+    )
+)
+def test_malformed_tails_give_null(spark, numbers):
+    texts = [f"{Decimal(n).scaleb(-s):f}" + tail for n, s, tail in numbers]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r.t: r.x for r in rows.selectExpr("t", f"{decimals.from_text('t', 38, 8, 'null')} as x").collect()}
+    for t in texts:
+        try:
+            expected = Decimal(t).quantize(Decimal("1e-8"), rounding=ROUND_DOWN)
+        except ArithmeticError:
+            expected = None
+        assert found[t] == expected, t
+
+
 def test_rate_is_cut_to_four_digits(spark):
     assert one(spark, decimals.rate("cast(t as decimal(18,8))"), t="0.90019999") == Decimal("0.9001")
 
@@ -56,7 +86,11 @@ def test_quotient_is_cut(spark):
     assert one(spark, decimals.quotient("t", "3"), t="-2") == Decimal("-0.66666666")
 
 
-@pytest.mark.parametrize("malformed", ["", "n/a", "1,234", "none"])
+@pytest.mark.parametrize(
+    "malformed",
+    ["", "n/a", "1,234", "none", "0.12345678BTC", "0.1234567BTC", "0.12345678.9.9", "1.23456789 1", "1e", "e5", "1e5x"]
+    + ["1.2.3e4", ".", "+", "1.123456789e1.5", "--1"],
+)
 def test_malformed_number_raises_or_is_null(spark, malformed):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
         one(spark, decimals.money("t"), t=malformed)

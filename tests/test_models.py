@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parity.catalog import Tables
 from tallybook.plans import binance, bybit, kraken
-from tallybook.plans.models import HUB_KEYS, MODELS, build_tables
+from tallybook.plans.models import HUB_KEYS, MODELS, build_tables, check_tables
 from tallybook.sources import sink
 from tallybook.sources.schemas import SCHEMAS
 from tallybook.sources.tables import conform, parquet_reader, table_reader
@@ -131,6 +131,10 @@ def test_exports_must_have_their_declared_types(spark):
     assert conform(df.withColumn("more", F.lit(1)), "binance_payins").columns == SCHEMAS["binance_payins"].names
     with pytest.raises(ValueError, match="amount is missing"):
         conform(df.drop("amount"), "binance_payins")
+    candles = export(spark, "kraken_ohlc_eur_usd").withColumn("time", F.lit("12")).withColumn("open", F.lit("1.5"))
+    assert conform(candles, "kraken_ohlc_eur_usd").schema.simpleString() == SCHEMAS["kraken_ohlc_eur_usd"].simpleString()
+    with pytest.raises(ValueError, match=r"decimal\(18,9\) is not decimal\(18,8\)"):
+        conform(candles.withColumn("open", F.lit("1.5").cast("decimal(18,9)")), "kraken_ohlc_eur_usd")
     with pytest.raises(ValueError, match="double is not string"):
         conform(df.withColumn("amount", F.lit(1.5)), "binance_payins")
     zoneless = df.withColumn("payin_local_at", F.col("payin_local_at").cast("timestamp_ntz"))
@@ -151,6 +155,11 @@ def test_tables_are_written_by_layer(spark, small, tmp_path):
     audited = spark.table("mart_core.fact_bybit_trade").select("record_source").distinct().collect()
     assert [r.record_source for r in audited] == ["it's \\run 1"]
 
+    report = check_tables(spark).collect()
+    assert len(report) == 24 and {r.model for r in report} == set(HUB_KEYS)
+    repeating = {r.model for r in report if r.failures}
+    assert "hub_binance_order" not in repeating and "hub_bybit_trade" not in repeating
+
     # A second run replaces the rows; other environments have one namespace.
     before = spark.table("vault_raw.hub_binance_payin").count()
     assert build_tables(spark, read, ["hub_binance_payin"]) == ["vault_raw.hub_binance_payin"]
@@ -164,6 +173,23 @@ def test_tables_are_written_by_layer(spark, small, tmp_path):
     assert table_reader(spark)("binance_payins").count() == read("binance_payins").count()
 
 
+def test_tables_sorted_by_a_unique_key_run_their_plan_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 5000, 1, 6).mapInArrow(count, "id bigint")
+    rows = rows.selectExpr("md5(cast(id as string)) as pk_x", "id").unionByName(spark.sql("select cast(null as string) pk_x, 0L id"))
+    sink.in_key_order(rows, "pk_x").write.parquet(str(tmp_path / "x"))
+    assert read.value == 5000
+    files = spark.read.parquet(str(tmp_path / "x")).groupBy(F.input_file_name()).agg(F.min("pk_x").alias("lo"), F.max("pk_x").alias("hi"))
+    spans = sorted((f.lo, f.hi) for f in files.collect())
+    assert len(spans) == 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 @pytest.mark.parametrize("other", ["id", "'a copy'"])
 def test_sort_order_splits_a_value_many_rows_share(spark, other):
     df = spark.range(0, 4000, 1, 16).selectExpr("if(id % 3 > 0, 7, id) as at", f"{other} as other")

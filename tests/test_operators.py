@@ -87,10 +87,17 @@ def test_one_huge_lot_serves_closes_in_many_parts(spark):
     assert Counter(found.values()) == {(D(1), D("0.5")): 500, (D(0), D(0)): 1}
 
 
+def test_trades_without_symbol_close_nothing(spark):
+    rows = [("a", None, 1, 2, 10), ("b", None, 2, -2, 12), ("c", "X", 1, 1, 10), ("d", "X", 2, -1, 12)] * 1
+    for group_rows in (100, 1):
+        found = realised(fifo_profit(trades(spark, rows), group_rows=group_rows))
+        assert found == {"a": (0, 0), "b": (0, 0), "c": (0, 0), "d": (2, 1)}
+
+
 def test_position_and_legs(spark):
     rows = [("a", "X", 1, 2, 10), ("b", "X", 2, -5, 11), ("c", "X", 3, 0, 9), ("d", "X", 4, 3, 9)]
     positioned = position_before(trades(spark, rows), ["symbol"], ["trade_at", "fk_bybit_trade"])
-    assert {r.fk_bybit_trade: r.net_before for r in positioned.collect()} == {"a": 0, "b": 2, "c": -3, "d": -3}
+    assert {r.fk_bybit_trade: r.held_before for r in positioned.collect()} == {"a": 0, "b": 2, "c": -3, "d": -3}
     legs = split_legs(positioned, ["fk_bybit_trade"])
     assert {tuple(r) for r in legs.collect()} == {
         ("a", "long_open", D(2)),
@@ -109,7 +116,7 @@ def test_signed_quantity(spark):
 def test_quantities_balance_over_each_symbol(spark, small):
     from parity.catalog import QUERIES
 
-    legs = QUERIES["split_legs"](spark, small).groupBy("symbol").pivot("leg_type").sum("qty")
+    legs = QUERIES["split_legs"](spark, small).groupBy("symbol").pivot("leg").sum("units")
     final = QUERIES["signed_position"](spark, small).groupBy("symbol").agg(F.sum("quantity").alias("net"))
     for r in legs.na.fill(0).join(final, "symbol").collect():
         assert (r.long_open - r.long_close) - (r.short_open - r.short_close) == r.net
@@ -136,8 +143,8 @@ def test_missing_candle_drops_the_trade_before_positions(spark):
         "cast(at as timestamp) as kline_start_at",
         "cast(0.90019999 as decimal(18,8)) as close_price",
     )
-    for limit in (10, 0):
-        rows = calc_bybit_pnl_per_trade(sat, klines, max_broadcast_rows=limit).collect()
+    for rates in (klines, klines.hint("merge")):
+        rows = calc_bybit_pnl_per_trade(sat, rates).collect()
         assert [(r.fk_bybit_trade, r.quantity, r.realized_pnl) for r in rows] == [("b", D(-1), D(0))]
         assert rows[0].price_eur == D("9.9011") and rows[0].fee_amount_eur == D("0.11107234")
 
