@@ -76,16 +76,17 @@ def paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
         if linked.isEmpty():
             break
         pointers.append(linked)
-        further = state.alias("a").join(state.alias("b"), F.expr("a.conv_id <=> b.conv_id and a.up = b.node"), "left")
-        state = settled(
-            further.select(
-                "a.conv_id",
-                "a.node",
-                F.col("b.up").alias("up"),
-                F.expr("a.total + coalesce(b.total, 0D)").alias("total"),
-                F.expr("a.depth + coalesce(b.depth, 0L)").alias("depth"),
-            )
+        # Only nodes below what they have reached go on; their number falls from round to round.
+        climbing = state.where("up is not null").alias("a")
+        further = climbing.join(state.alias("b"), F.expr("a.conv_id <=> b.conv_id and a.up = b.node"))
+        further = further.select(
+            "a.conv_id",
+            "a.node",
+            F.col("b.up").alias("up"),
+            F.expr("a.total + b.total").alias("total"),
+            F.expr("a.depth + b.depth").alias("depth"),
         )
+        state = settled(state.where("up is null").unionByName(further))
     ended = state.where("up is null").select("conv_id", "node", "total", "depth")
     ranked = leaves.alias("l").join(ended.alias("e"), F.expr("l.conv_id <=> e.conv_id and l.node = e.node"))
     best = Window.partitionBy("conv_id").orderBy(F.col("total").desc(), "node")
