@@ -119,9 +119,10 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Deci
     rows = rows.select("doc_id", "quality", statistics().alias("s")).select("doc_id", "quality", "s.*")
     held = F.pmod(F.xxhash64(F.lit("prune"), "doc_id"), F.lit(3)) == 0
     features = [F.expr(sql).cast("double").alias(name) for name, sql in FEATURES.items()]
-    rows = settled(
-        rows.where(f"not ({BASE_FAILED})").select((F.col("quality") == 0).alias("bad"), held.alias("held"), *features)
-    )
+    failed = F.expr(BASE_FAILED).alias("failed")
+    # Settled ahead of the filter, which would else be computed for every document below the join.
+    rows = settled(rows.select((F.col("quality") == 0).alias("bad"), held.alias("held"), failed, *features))
+    rows = rows.where("not failed")
     cuts = _cuts(rows)
     bins = [F.expr(f"size(filter({_array(cuts[f])}, t -> t < {f}))").alias(f) for f in FEATURES]
     return _cover(settled(rows.select("bad", "held", *bins)), cuts)
