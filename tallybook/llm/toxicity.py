@@ -22,7 +22,7 @@ from pyspark.sql.functions import pandas_udf
 from tallybook.llm.hashing import WordHashes, grams
 
 SAMPLE = 16_384  # about so many labelled rows are learned from, chosen by a hash of doc_id
-SHARD = 8_192  # labelled rows of a shard
+SHARD = 4_096  # labelled rows of a shard
 EPOCHS = 3
 BITS = 20
 UP_TO, SKIPS = 2, 1
@@ -109,7 +109,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     dealt = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # about `sample` ids
     dealt = dealt.select(F.pmod(order, F.lit(shards)).alias("shard"), "text", "toxic", "doc_id", order.alias("order"))
     dealt = dealt.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "epoch", "order", "doc_id", "text")
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "epoch", "order", "doc_id", "text")
     weights = dealt.select("shard", "text", "toxic").mapInArrow(_train, "shard bigint, index bigint, weight double")
     found = weights.groupBy("index").agg((F.sum("weight") / shards).alias("weight")).toPandas()
     found = found.sort_values("index")
