@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable
 from typing import NamedTuple
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select option xmp noframes".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select option xmp noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img".split()
@@ -30,6 +31,7 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 BLANKS = re.compile(r"\s+")
 
 
@@ -44,9 +46,9 @@ def _step(tag: str, attrs: str) -> str:
     named = {k.lower(): html.unescape((v or "").strip("\"'")) for k, v in ATTRIBUTE.findall(attrs)}
     step = tag
     if named.get("id"):
-        step += "#" + "-".join(re.sub(r"\d+", "0", named["id"]).split())
+        step += "#" + "-".join(re.sub(r"\d+", "0", CAMEL.sub("-", named["id"])).split())
     for name in sorted(set(named.get("class", "").split())):
-        step += "." + re.sub(r"\d{2,}", "0", name)
+        step += "." + re.sub(r"\d{2,}", "0", CAMEL.sub("-", name))
     if named.get("role"):
         step += "[" + named["role"].strip().lower() + "]"
     if "hidden" in named or named.get("aria-hidden") == "true":
@@ -54,10 +56,20 @@ def _step(tag: str, attrs: str) -> str:
     return step.replace(">", "-").lower()
 
 
-def blocks(page: str) -> list[Block]:
+def names(step: str) -> set[str]:
+    """The words of an element's id, classes and role."""
+    return set(re.split(r"[^a-z]+", step[len(tag_of(step)) :])) - {""}
+
+
+def tag_of(step: str) -> str:
+    return re.split(r"[#.\[]", step, maxsplit=1)[0]
+
+
+def blocks(page: str, apart: Callable[[set[str]], bool] = lambda names: False) -> list[Block]:
     """The text blocks of a page in order.
 
-    A block ends where a tag that is not inline begins or ends, also at <br>.
+    A block ends where a tag that is not inline begins or ends, also at <br>;
+    an inline element is a block of its own if ``apart`` says so of its names.
     Its white space is collapsed and its character references are decoded.
     Comments, scripts, styles and other raw elements are no text.
     """
@@ -88,18 +100,18 @@ def blocks(page: str) -> list[Block]:
             if tag not in INLINE:
                 flush()
         else:
-            _open(tag, token["attrs"], stack, flush)
+            _open(tag, token["attrs"], apart, stack, flush)
     parts.append(page[at:])
     flush()
     return found
 
 
-def _open(tag: str, attrs: str, stack: list[tuple[str, str]], flush) -> None:
+def _open(tag: str, attrs: str, apart: Callable[[set[str]], bool], stack: list[tuple[str, str]], flush) -> None:
     step = _step(tag, attrs)
-    if tag in INLINE and step == tag:
+    if tag in INLINE and not apart(names(step)):
         stack.append((tag, stack[-1][1] if stack else ""))
         return
-    flush()  # an inline element with a name may be a button, a notice or an advert
+    flush()
     if tag not in INLINE:
         ended = next((k for k, (x, _) in reversed([*enumerate(stack)]) if x not in INLINE), None)
         if ended is not None and tag in CLOSED_BY.get(stack[ended][0], ()):

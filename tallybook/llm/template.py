@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import broadcast_if_small, fresh, settled
-from tallybook.llm.markup import Block, blocks
+from tallybook.llm.markup import Block, blocks, names, tag_of
 
 MIN_PAGES = 3
 PROSE_WORDS = 5  # words of a block that counts as prose
@@ -38,40 +38,47 @@ BOILERPLATE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav "
     "navbar navigation breadcrumb breadcrumbs cookie cookies consent gdpr notice notices notification alert popup modal "
     "overlay subscribe subscription newsletter signup login register search comment comments disqus respond reply "
-    "replies discussion share sharing social related recommended recommendations footer header masthead toolbar widget "
+    "replies discussion share sharing social related recommended recommendations footer toolbar widget "
     "widgets pagination pager hidden contentinfo complementary skip".split()
 )
+BOILERPLATE_STEMS = tuple("comment advert cookie newsletter breadcrumb sidebar sponsor recommend subscri".split())
+HEAD_NAMES = frozenset(["header", "masthead"])
 CONTENT_TAGS = ("article", "main")
 CONTENT_NAMES = frozenset("article main content post entry story".split())
 PROSE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
-def _tag(step: str) -> str:
-    return re.split(r"[#.\[]", step, maxsplit=1)[0]
-
-
-def _names(step: str) -> set[str]:
-    return set(re.split(r"[^a-z]+", step[len(_tag(step)) :])) - {""}
-
-
 def _named_root(steps: list[str]) -> int | None:
     """Place of the step that names the article: an article, else a main part, else a class, id or role of that name."""
     for tag in CONTENT_TAGS:
         for k, step in enumerate(steps):
-            if _tag(step) == tag:
+            if tag_of(step) == tag:
                 return k
-    return next((k for k, step in enumerate(steps) if _names(step) & CONTENT_NAMES and _tag(step) not in ("html", "body")), None)
+    return next((k for k, step in enumerate(steps) if names(step) & CONTENT_NAMES and tag_of(step) not in ("html", "body")), None)
+
+
+def _tells(named: set[str]) -> bool:
+    """Whether names are those of a part that is no article."""
+    return any(name in BOILERPLATE_NAMES or name.startswith(BOILERPLATE_STEMS) for name in named)
 
 
 def _boilerplate(steps: list[str], root: int | None) -> bool:
+    """Whether a place is part of a menu, an advert or the like.
+
+    Headings keep their place in the head of an article.  Around the article
+    a whole name must match, as a frame may be named "with-sidebar".
+    """
+    inside = root is not None and tag_of(steps[-1]) in HEADINGS
     for k, step in enumerate(steps):
-        tag = _tag(step)
+        tag = tag_of(step)
         if tag in BOILERPLATE_TAGS:
             return True
-        if tag == "header" and not (root is not None and k > root and _tag(steps[-1]) in HEADINGS):
+        named = names(step) if root is None or k >= root else set(re.split(r"[#.\[\]]", step)[1:])
+        head = tag == "header" or bool(named & HEAD_NAMES)
+        if head and not (inside and k > root):
             return True
-        if tag not in ("html", "body", "header") and _names(step) & BOILERPLATE_NAMES:
+        if tag not in ("html", "body") and _tells(named):
             return True
     return False
 
@@ -86,7 +93,7 @@ def _is_prose(block: Block) -> bool:
 
 def _is_container(path: str) -> bool:
     """Whether an element may hold an article, other than a paragraph or a heading."""
-    return _tag(path.rsplit(">", 1)[-1]) not in PROSE_TAGS
+    return tag_of(path.rsplit(">", 1)[-1]) not in PROSE_TAGS
 
 
 def _prefixes(path: str) -> list[str]:
@@ -113,7 +120,7 @@ def _page_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
         for host, key, html in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            elements, texts, prose = _tokens(blocks(html or ""))
+            elements, texts, prose = _tokens(blocks(html or "", _tells))
             rows += [(host, key, True, path, 0, n, prose[path]) for path, n in elements.items()]
             rows += [(host, key, False, path, text, n, 0) for (path, text), n in texts.items()]
         columns = zip(*rows) if rows else [[] for _ in names]
@@ -149,16 +156,16 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def main_text(page: str | None, root: str | None = None, fixed: frozenset[int] = frozenset()) -> str:
     """The article of a page, block by block, given what is known of its host's template."""
-    found = blocks(page or "")
+    found = blocks(page or "", _tells)
     steps = [block.path.split(">") for block in found]
     roots = [_named_root(x) for x in steps]
     usable = [not _boilerplate(x, r) for x, r in zip(steps, roots)]
     for tag in (*CONTENT_TAGS, None):
-        at = [r if r is not None and (tag is None or _tag(x[r]) == tag) else None for x, r in zip(steps, roots)]
+        at = [r if r is not None and (tag is None or tag_of(x[r]) == tag) else None for x, r in zip(steps, roots)]
         chosen = [
             block.text
             for block, x, r, ok in zip(found, steps, at, usable)
-            if r is not None and ok and not (_text_token(block) in fixed and not PROSE_TAGS & {_tag(s) for s in x[r:]})
+            if r is not None and ok and not (_text_token(block) in fixed and not PROSE_TAGS & {tag_of(s) for s in x[r:]})
         ]
         if chosen:
             return "\n".join(chosen)

@@ -12,7 +12,7 @@ from tallybook.llm.template import main_text
 
 
 def texts(page: str) -> list[str]:
-    return [b.text for b in blocks(page)]
+    return [b.text for b in blocks(page, lambda names: "ad" in names)]
 
 
 @pytest.mark.parametrize(
@@ -24,6 +24,8 @@ def texts(page: str) -> list[str]:
         ("<p><b>one<br><p>two", ["one", "two"]),
         ("<p>a <b>b</b>c&amp;d &eacute; &#x1F642;</p>", ["a bc&d é 🙂"]),
         ("<script>var x='</p>';</script><style>p{}</style>t<!-- <p>no</p> -->u", ["tu"]),
+        ("<p>a <a class='x' href='/'>b</a> <span id=y>c</span>d</p>", ["a b cd"]),
+        ("<p>a<span class='top-ad'>b</span>c</p>", ["a", "b", "c"]),
         ("a < b and c > d", ["a < b and c > d"]),
         ("<p title='a > b'>x</p>", ["x"]),
         ("<ul><li>a<li>b<ul><li>c</ul></ul>", ["a", "b", "c"]),
@@ -53,6 +55,13 @@ def test_article_without_its_surroundings():
     assert main_text(PAGE.format(n=7)) == "Heading 7\nFirst paragraph number 7 with some words.\npoint 7\nSecond & last."
 
 
+def test_frames_and_heads_of_an_article():
+    page = """<body class="has-sidebar"><div class="page with-sidebar"><div class="sidebar"><article><p>Aside</p></article></div>
+    <article class="post"><div class="post-header"><h1>Title</h1><p>Posted today</p></div><p>Text with <em class="q">words</em>.</p>
+    <ol class="commentList"><li>Well said!</li></ol><span class="adBox">Buy</span><p class="share-links">Share this</p><table><tr><td>1</td></tr></table></article></div>"""
+    assert main_text(page) == "Title\nText with words.\n1"
+
+
 BARE = """<html><body><div class="top"><a href="/">Home page of this web site</a></div>
 <div class="c1"><div class="c2"><h2>Story {n}</h2><p>It was day {n} and many things went on in the city, of which this story tells.</p>
 <p>Nobody knew {n} of them, or so it is said by all.</p></div></div>
