@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # The JVM interprets a method above this size, however often it runs.
 JIT_LIMIT_BYTES = 8000
 
+PLANNING = Lock()
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Make the settings the models rely on.
@@ -56,12 +59,17 @@ def cut_lineage_in_place(df: DataFrame) -> DataFrame:
     """The same, but Spark remembers how the rows are partitioned and sorted.
 
     An adaptive plan does not tell, so this one is fixed in advance.  Later
-    windows and aggregations over the same columns then need no shuffle.
+    windows and aggregations over the same columns then need no shuffle.  The
+    session's setting is changed while the plan is made, by one thread at a
+    time, and is back before the job starts.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     conf = df.sparkSession.conf
-    adaptive = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return cut_lineage(df)
-    finally:
-        conf.set("spark.sql.adaptive.enabled", adaptive)
+    with PLANNING:
+        adaptive = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            df._jdf.queryExecution().executedPlan()  # made once, then kept
+        finally:
+            conf.set("spark.sql.adaptive.enabled", adaptive)
+    return df.checkpoint()
