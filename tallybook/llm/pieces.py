@@ -24,7 +24,10 @@ MARK = "▁"
 NO_PIECE = "\0"  # stands for a mark in a text; in no piece
 ZIPF = 2.7
 PRE_TOKEN = re.compile(r" ?[^ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]")
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
+
+# The pieces that are under way at a place of a text: where each began, and its node in the trie of pieces.
+Open = list[tuple[int, dict]]
 
 
 @dataclass(frozen=True)
@@ -36,9 +39,15 @@ class Vocabulary:
     byte_scores: tuple[float, ...]
     spelled: tuple[bytes, ...]  # of each id
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.pieces))
+    def trie(self) -> dict:
+        """Pieces by their characters; what a node spells, if anything, is at the key ``""``."""
+        root: dict = {}
+        for name, piece in self.pieces.items():
+            node = root
+            for character in name:
+                node = node.setdefault(character, {})
+            node[""] = piece
+        return root
 
 
 def default_path() -> str:
@@ -127,6 +136,23 @@ def numbered(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(numbers), np.array(occurrences, np.int64), np.array(lengths, np.int64)
 
 
+def advance(under_way: Open, root: dict, at: int, character: str) -> tuple[Open, list[tuple[int, tuple[int, float]]]]:
+    """Take one more character: the pieces still under way, and those that end with it (start, piece)."""
+    going, ended = [], []
+    for start, node in under_way:
+        further = node.get(character)
+        if further is not None:
+            going.append((start, further))
+            if "" in further:
+                ended.append((start, further[""]))
+    further = root.get(character)
+    if further is not None:
+        going.append((at, further))
+        if "" in further:
+            ended.append((at, further[""]))
+    return going, ended
+
+
 def shared_prefix(left: str, right: str) -> int:
     n = min(len(left), len(right))
     for k in range(n):

@@ -11,6 +11,7 @@ not depend on partitions, batches or retries.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from tallybook.llm.hashing import mixed
-from tallybook.llm.pieces import Vocabulary, byte_edge, chunks, decode, load, numbered, shared_prefix, written
+from tallybook.llm.pieces import Open, Vocabulary, advance, byte_edge, chunks, decode, load, numbered, shared_prefix, written
 
 SEED = 42
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)  # splitmix64's step (fixed value)
@@ -36,48 +37,50 @@ class Lattice:
     """
 
     def __init__(self, pre_tokens: list[str], vocabulary: Vocabulary):
-        pieces, longest = vocabulary.pieces, vocabulary.longest
+        pieces, root = vocabulary.pieces, vocabulary.trie()
         self.terminal = np.zeros(len(pre_tokens), np.int64)
         self.bytes: list[list[int]] = []
-        source, spelling, reach = [0], [0], [1.0]
+        source, spelling, reach = array("q", [0]), array("q", [0]), array("d", [1.0])
         path, forward, before, nodes = [0], [0.0], "", 1
+        under_way: list[Open] = [[]]
         exp, log = math.exp, math.log
         for k in sorted(range(len(pre_tokens)), key=pre_tokens.__getitem__):
             raw = pre_tokens[k]
             word = written(raw)
             shared = shared_prefix(before, raw)
-            del path[shared + 1 :], forward[shared + 1 :]
-            for stop in range(shared + 1, len(word) + 1):
-                starts, ids, scores = [], [], []
-                for start in range(max(0, stop - longest), stop):
-                    piece = pieces.get(word[start:stop])
-                    if piece is not None:
-                        starts.append(path[start])
-                        ids.append(piece[0])
-                        scores.append(forward[start] + piece[1])
-                if word[stop - 1] not in pieces:
-                    spelled, cost = byte_edge(raw, stop - 1, vocabulary)
-                    starts.append(path[stop - 1])
-                    ids.append(-1 - len(self.bytes))
-                    scores.append(forward[stop - 1] + cost)
+            del path[shared + 1 :], forward[shared + 1 :], under_way[shared + 1 :]
+            for at in range(shared, len(word)):
+                going, ended = advance(under_way[at], root, at, word[at])
+                under_way.append(going)
+                scores = []
+                for start, piece in ended:
+                    source.append(path[start])
+                    spelling.append(piece[0])
+                    scores.append(forward[start] + piece[1])
+                if word[at] not in pieces:
+                    spelled, cost = byte_edge(raw, at, vocabulary)
+                    source.append(path[at])
+                    spelling.append(-1 - len(self.bytes))
+                    scores.append(forward[at] + cost)
                     self.bytes.append(spelled)
-                top = max(scores)
-                shares = [exp(x - top) for x in scores]
-                total = sum(shares)
-                summed = 0.0
-                for share in shares:
-                    summed += share
-                    reach.append(nodes + summed / total)
-                reach[-1] = nodes + 1.0
-                source += starts
-                spelling += ids
                 path.append(nodes)
-                forward.append(top + log(total))
+                if len(scores) == 1:
+                    forward.append(scores[0])
+                else:
+                    top = max(scores)
+                    shares = [exp(x - top) for x in scores]
+                    total = sum(shares)
+                    forward.append(top + log(total))
+                    summed = 0.0
+                    for share in shares[:-1]:
+                        summed += share
+                        reach.append(nodes + summed / total)
                 nodes += 1
+                reach.append(nodes)
             self.terminal[k] = path[-1]
             before = raw
-        self.source, self.spelling = np.array(source, np.int64), np.array(spelling, np.int64)
-        self.reach = np.array(reach)
+        self.source, self.spelling = np.frombuffer(source, np.int64), np.frombuffer(spelling, np.int64)
+        self.reach = np.frombuffer(reach)
 
     def sample(self, types: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all occurrences, one after the other, and how many each has.
@@ -154,8 +157,7 @@ def encode(documents: DataFrame, path: str | None = None, seed: int = SEED) -> D
                 doc_ids = batch.column(0).slice(start, stop - start)
                 ids, sizes = sampled_ids(texts, doc_ids.to_pylist(), vocabulary, seed)
                 ends = np.cumsum(sizes)
-                flat = ids.tolist()
-                lossless = [decode(flat[b - n : b], vocabulary) == x for x, b, n in zip(texts, ends, sizes)]
+                lossless = [decode(ids[b - n : b].tolist(), vocabulary) == x for x, b, n in zip(texts, ends, sizes)]
                 offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
                 arrays = [doc_ids, lists, pa.array(sizes), pa.array(lossless, pa.bool_())]

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallybook.llm.pieces import Vocabulary, byte_edge, chunks, load, numbered, shared_prefix, written
+from tallybook.llm.pieces import Open, Vocabulary, advance, byte_edge, chunks, load, numbered, shared_prefix, written
 
 SCHEMA = "doc_id bigint, n_pre_tokens bigint, n_tokens bigint"
 
@@ -23,26 +23,23 @@ SCHEMA = "doc_id bigint, n_pre_tokens bigint, n_tokens bigint"
 def terminal_counts(pre_tokens: list[str], vocabulary: Vocabulary) -> np.ndarray:
     """Number of tokens of the likeliest segmentation of each pre-token; of equally likely ones the fewest."""
     counts = np.zeros(len(pre_tokens), np.int64)
-    pieces, longest = vocabulary.pieces, vocabulary.longest
+    pieces, root = vocabulary.pieces, vocabulary.trie()
     order = sorted(range(len(pre_tokens)), key=pre_tokens.__getitem__)
     best: list[tuple[float, int]] = [(0.0, 0)]  # by depth: log chance, minus the number of tokens
+    under_way: list[Open] = [[]]
     before = ""
     for k in order:
         raw = pre_tokens[k]
         word = written(raw)
         shared = shared_prefix(before, raw)
-        del best[shared + 1 :]
-        for stop in range(shared + 1, len(word) + 1):
-            options = []
-            for start in range(max(0, stop - longest), stop):
-                piece = pieces.get(word[start:stop])
-                if piece is not None:
-                    score, tokens = best[start]
-                    options.append((score + piece[1], tokens - 1))
-            if word[stop - 1] not in pieces:
-                ids, cost = byte_edge(raw, stop - 1, vocabulary)
-                score, tokens = best[stop - 1]
-                options.append((score + cost, tokens - len(ids)))
+        del best[shared + 1 :], under_way[shared + 1 :]
+        for at in range(shared, len(word)):
+            going, ended = advance(under_way[at], root, at, word[at])
+            under_way.append(going)
+            options = [(best[start][0] + piece[1], best[start][1] - 1) for start, piece in ended]
+            if word[at] not in pieces:
+                ids, cost = byte_edge(raw, at, vocabulary)
+                options.append((best[at][0] + cost, best[at][1] - len(ids)))
             best.append(max(options))
         counts[k] = -best[-1][1]
         before = raw
