@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,41 +129,80 @@ def write(pages: DataFrame, folder: str) -> None:
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of gzip archives, framed by their Content-Length.
+    """The records of gzip archives, framed by their Content-Length alone.
 
-    The text source cuts where a record seems to begin; a payload that holds
-    such a place comes in pieces, which are put together again until the stated
-    length is reached.  An archive is read by one task, from its start.
+    The text source streams an archive to one task, from its start, in pieces
+    that end in a line feed.  A separator of one byte is found wherever the
+    source's buffer ends (of a longer one, a partial match ahead of it hides it
+    there).  What is no record from end to end raises.
     """
-    parts = spark.read.option("lineSep", END + VERSION).text(folder)
-    parts = parts.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
-    return parts.mapInArrow(_framed, RECORD)
+    parts = spark.read.option("lineSep", "\n").text(folder)
+    piece = F.concat("value", F.lit("\n")).cast("binary")
+    return parts.select(F.col("_metadata.file_path").alias("file"), piece.alias("value")).mapInArrow(_framed, RECORD)
 
 
 def _framed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [(x.split()[0], pa.binary() if x.endswith("binary") else pa.string()) for x in RECORD.split(", ")]
     )
-    cut, version = (END + VERSION).encode(), VERSION.encode()
-    current, held = None, []
+    current, held, need = None, bytearray(), 0
     for batch in batches:
         found = []
-        for file, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for file, chunk in _chunks(batch):
             if file != current:
-                current, held = file, []
-                value = value.removeprefix(version)
-            if not held:
-                head, _, block = value.partition(END.encode())
-                headers = _headers(head)
-                length = int(headers.get("content-length", 0))
-                held, size = [block], len(block)
-            else:
-                held += [cut, value]
-                size += len(cut) + len(value)
-            if size >= length:
-                found.append(_parsed(headers, b"".join(held)[:length]))
-                held = []
+                _check_end(current, held)
+                current, held, need = file, bytearray(), 0
+            held += chunk
+            at = 0
+            while len(held) - at > need:
+                need, record = _next(current, held, at)
+                if record is None:
+                    break
+                found.append(record)
+                at, need = at + need, 0
+            del held[:at]
         yield pa.RecordBatch.from_pylist(found, schema)
+    _check_end(current, held)
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[str, memoryview]]:
+    """The bytes of a batch, file by file; values lie behind each other in Arrow's buffer."""
+    files, values = batch.column(0), batch.column(1)
+    if not len(values):
+        return
+    kind = pa.int64() if pa.types.is_large_binary(values.type) else pa.int32()
+    offsets = pa.Array.from_buffers(kind, len(values) + 1, [None, values.buffers()[1]], offset=values.offset).to_numpy()
+    data = memoryview(values.buffers()[2])
+    runs = pc.run_end_encode(files)
+    start = 0
+    for file, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+        yield file, data[offsets[start] : offsets[end]]
+        start = end
+
+
+def _next(file: str, held: bytearray, at: int) -> tuple[int, dict | None]:
+    """The record at a place and its bytes; no record, and the bytes that must be exceeded, if it is not all there."""
+    version, end = VERSION.encode(), END.encode()
+    if not version.startswith(held[at : at + len(version)]):
+        raise ValueError(f"{file}: no record where the last one ended")
+    head = held.find(end, at)
+    if head < 0:
+        return len(held) - at, None
+    headers = _headers(bytes(held[at + len(version) : head]))
+    if not headers.get("content-length", "").isdecimal():
+        raise ValueError(f"{file}: record {headers.get('warc-record-id')} without a Content-Length")
+    start = head + len(end)
+    stop = start + int(headers["content-length"])
+    if len(held) < stop + len(end):
+        return stop + len(end) - at - 1, None
+    if held[stop : stop + len(end)] != end:
+        raise ValueError(f"{file}: record {headers.get('warc-record-id')} does not end at its Content-Length")
+    return stop + len(end) - at, _parsed(headers, bytes(held[start:stop]))
+
+
+def _check_end(file: str | None, held: bytearray) -> None:
+    if held:
+        raise ValueError(f"{file}: ends inside a record")
 
 
 def _headers(head: bytes) -> dict[str, str]:

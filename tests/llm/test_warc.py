@@ -6,6 +6,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm import warc
 from tallybook.llm.queries import ORACLES, QUERIES
@@ -115,6 +116,52 @@ def test_missing_and_repeated_sides(spark):
     assert found == {"r1": ("q1", None), "r2": (None, None)}
 
 
+def test_no_record_is_lost_where_a_buffer_ends(spark, tmp_path):
+    n = 120_000
+    html = F.concat(F.repeat(F.lit("x"), (F.col("id") % 997).cast("int")), F.lit("\r\n"))
+    pages = spark.range(n).select(
+        F.col("id").alias("page_id"), F.format_string("http://a.example/%d", "id").alias("url"), F.concat(html, "id", F.lit("\r\n")).alias("html")
+    )
+    warc.write(pages, str(tmp_path / "many"))
+    records = warc.read(spark, str(tmp_path / "many"))
+    assert {r["type"]: r["count"] for r in records.groupBy("type").count().collect()} == {"request": n, "response": n, "metadata": n}
+    read = warc.payloads(warc.captures(records)).select("page_id", "payload_bytes", "payload_digest")
+    expected = pages.select("page_id", F.octet_length("html").cast("bigint"), F.sha1(F.col("html").cast("binary")))
+    assert read.exceptAll(expected).count() == 0 and read.count() == n
+
+
+RECORD = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:%d>\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n"
+
+
+def archived(folder, *records: bytes) -> str:
+    folder.mkdir()
+    # a member for each record, as crawlers write them
+    (folder / "a.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in records))
+    return str(folder)
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    records = [RECORD % (k, k, b"\n" * k) for k in range(5)]
+    folder = archived(tmp_path / "good", *records)
+    (tmp_path / "good" / "b.warc.gz").write_bytes(gzip.compress(RECORD % (9, 1, b"x")))
+    rows = warc.read(spark, folder).coalesce(1).collect()
+    assert sorted((r.record_id, r.head) for r in rows) == [(f"<urn:uuid:{k}>", "\n" * k) for k in range(5)] + [("<urn:uuid:9>", "x")]
+
+
+@pytest.mark.parametrize(
+    ("records", "said"),
+    [
+        ((RECORD % (1, 3, b"abcd"), RECORD % (2, 1, b"x")), "does not end at its Content-Length"),
+        ((RECORD % (1, 3, b"abc"), b"junk\r\n\r\n"), "no record where the last one ended"),
+        ((RECORD % (1, 3, b"abc"), (RECORD % (2, 9, b"a"))), "ends inside a record"),
+        ((b"WARC/1.1\r\nWARC-Type: resource\r\n\r\nabc\r\n\r\n",), "without a Content-Length"),
+    ],
+)
+def test_broken_archives_raise(spark, tmp_path, records, said):
+    with pytest.raises(Exception, match=said):
+        warc.read(spark, archived(tmp_path / "bad", *records)).collect()
+
+
 def test_no_pages(spark, pages, tmp_path):
     warc.write(pages.limit(0), str(tmp_path / "none"))
     assert warc.captures(warc.read(spark, str(tmp_path / "none"))).count() == 0
