@@ -38,6 +38,7 @@ BLANKS = re.compile(r"\s+")
 class Block(NamedTuple):
     path: str  # of the elements around it, from the root: tag, #id, .class and [role]
     text: str
+    begun: tuple[str, ...] = ()  # paths of the elements around it that hold no earlier block
 
 
 def _step(tag: str, attrs: str) -> str:
@@ -76,11 +77,15 @@ def blocks(page: str, apart: Callable[[set[str]], bool] = lambda names: False) -
     found: list[Block] = []
     stack: list[tuple[str, str]] = []  # open elements: tag, path (that of the parent if inline and without a name)
     parts: list[str] = []
+    done = 0  # so many of the open elements hold a block
 
     def flush() -> None:
+        nonlocal done
         text = BLANKS.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            found.append(Block(stack[-1][1] if stack else "", text))
+            begun = (stack[k][1] for k in range(done, len(stack)) if stack[k][1] != (stack[k - 1][1] if k else ""))
+            found.append(Block(stack[-1][1] if stack else "", text, tuple(begun)))
+            done = len(stack)
         parts.clear()
 
     at = 0
@@ -92,6 +97,7 @@ def blocks(page: str, apart: Callable[[set[str]], bool] = lambda names: False) -
             continue
         if token["close"]:
             _close(tag, stack, flush)
+            done = min(done, len(stack))
         elif tag in RAW:
             if not token["attrs"].endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -101,6 +107,7 @@ def blocks(page: str, apart: Callable[[set[str]], bool] = lambda names: False) -
                 flush()
         else:
             _open(tag, token["attrs"], apart, stack, flush)
+            done = min(done, len(stack) - 1)
     parts.append(page[at:])
     flush()
     return found

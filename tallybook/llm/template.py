@@ -1,12 +1,14 @@
 """Main text of web pages, by deducing the template that pages of a host share.
 
 Tokens of a page are its elements (paths of tags, ids and classes) and its text
-blocks.  Tokens with the same occurrence vector over the pages of a host (on
-the same pages, as often on each) form an equivalence class.  A class is valid
-if it has an element and at least ``MIN_PAGES`` pages; valid classes nest as
-their paths do, and are the host's template.  A text in a valid class is the
-template's own; the other places below its elements are slots.  The slots of
-the article, without those of menus, adverts and the like, are the main text.
+blocks.  Tokens with the same occurrence vector over the distinct pages of a
+host (on the same pages, as often on each) form an equivalence class.  A class
+is valid if it has an element, at least ``MIN_PAGES`` pages, and nests: its
+elements lie in slots of one other class.  The elements of valid classes are the
+slots of the host's template, a text of a valid class is the template's own.  A
+block of a page belongs to the deepest slot around it.  Tags and names tell
+which slots are the article, and which parts are menus, adverts and the like; if
+they do not, it is the lowest element around all prose that is not the template's.
 
 Vectors are compared by a hash that is summed up ahead of the shuffle, so a
 host with very many pages is no bottleneck.  What is kept of a host is one row.
@@ -28,7 +30,6 @@ from tallybook.llm.markup import Block, blocks, names, tag_of
 
 MIN_PAGES = 3
 PROSE_WORDS = 5  # words of a block that counts as prose
-PROSE_SHARE = 0.6  # of a host's prose the main element must hold, if none is named
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 TOKENS = "host string, page bigint, element boolean, path string, text bigint, n bigint, prose bigint"
 
@@ -87,6 +88,10 @@ def _text_token(block: Block) -> int:
     return xxhash.xxh64_intdigest(f"{block.path}\n{block.text}".encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _path_token(path: str) -> int:
+    return xxhash.xxh64_intdigest(path.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def _is_prose(block: Block) -> bool:
     return block.text.count(" ") + 1 >= PROSE_WORDS
 
@@ -102,15 +107,21 @@ def _prefixes(path: str) -> list[str]:
 
 
 def _tokens(page: list[Block]) -> tuple[Counter, Counter, Counter]:
-    """How often each element and each text block occurs, and the characters of prose in each element."""
+    """How often each element and each text block occurs, and the characters of prose in each."""
     elements, texts, prose = Counter(), Counter(), Counter()
+    skipped: dict[str, bool] = {}
     for block in page:
-        texts[block.path, _text_token(block)] += 1
-        main = _is_prose(block) and not _boilerplate(block.path.split(">"), None)
-        for prefix in _prefixes(block.path):
-            elements[prefix] += 1
-            if main and _is_container(prefix):
-                prose[prefix] += len(block.text)
+        token = block.path, _text_token(block)
+        texts[token] += 1
+        if block.path not in skipped:
+            skipped[block.path] = _boilerplate(block.path.split(">"), None)
+        main = _is_prose(block) and not skipped[block.path]
+        if main:
+            prose[token] += len(block.text)
+        for path in block.begun:
+            elements[path] += 1
+        for prefix in filter(_is_container, _prefixes(block.path)) if main else ():
+            prose[prefix] += len(block.text)
     return elements, texts, prose
 
 
@@ -121,8 +132,8 @@ def _page_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for host, key, html in zip(*(batch.column(k).to_pylist() for k in range(3))):
             elements, texts, prose = _tokens(blocks(html or "", _tells))
-            rows += [(host, key, True, path, 0, n, prose[path]) for path, n in elements.items()]
-            rows += [(host, key, False, path, text, n, 0) for (path, text), n in texts.items()]
+            rows += [(host, key, True, path, _path_token(path), n, prose[path]) for path, n in elements.items()]
+            rows += [(host, key, False, path, text, n, prose[path, text]) for (path, text), n in texts.items()]
         columns = zip(*rows) if rows else [[] for _ in names]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -132,10 +143,11 @@ def host(url: str = "url"):
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """One row per host with a template: host, root (path of the main element by prose, or NULL), fixed.
+    """One row per host with a template: host, root (path around all prose of its slots, or NULL), fixed, slots.
 
-    ``fixed`` has the text tokens of the template.  Pages without a host have
-    no template.  Equal pages count once.
+    ``fixed`` has the text tokens of the template, ``slots`` the tokens of its
+    elements' paths.  Pages without a host have no template.  Equal pages
+    count once.
     """
     keyed = pages.select(host().alias("host"), F.xxhash64("page_id", "url", "html").alias("page"), "html")
     tokens = keyed.where("host <> ''").mapInArrow(_page_tokens, TOKENS)
@@ -143,65 +155,96 @@ def templates(pages: DataFrame) -> DataFrame:
     tokens = tokens.groupBy("host", "element", "path", "text").agg(
         F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("prose").alias("prose"), vector
     )
-    tokens = settled(tokens.where(F.col("pages") >= MIN_PAGES))
-    classes = tokens.where("element").select("host", "pages", "n", "vector").distinct()
-    fixed = tokens.where("not element").join(classes, ["host", "pages", "n", "vector"], "left_semi")
-    fixed = fixed.groupBy("host").agg(F.sort_array(F.collect_set("text")).alias("fixed"))
-    whole = tokens.where("element").groupBy("host").agg(F.max("prose").alias("all"))
-    elements = tokens.where("element and prose > 0").join(whole, "host").where(F.col("prose") >= PROSE_SHARE * F.col("all"))
-    depth = F.struct(F.size(F.split("path", ">")), "prose", "path")
-    roots = elements.groupBy("host").agg(F.max_by("path", depth).alias("root"))
-    return settled(fixed.join(roots, "host", "full"))
-
-
-def main_text(page: str | None, root: str | None = None, fixed: frozenset[int] = frozenset()) -> str:
+    tokens = settled(tokens.where(F.col("pages") >= MIN_PAGES).withColumn("class", F.xxhash64("pages", "n", "vector")))
+    elements = tokens.where("element").select("host", "path", "text", "prose", "class")
+    valid = _nested(elements)
+    slots = elements.join(valid, ["host", "class"], "left_semi").groupBy("host").agg(F.sort_array(F.collect_set("text")).alias("slots"))
+    own = settled(tokens.where("not element").join(valid, ["host", "class"], "left_semi").select("host", "path", "text", "prose"))
+    fixed = own.groupBy("host").agg(F.sort_array(F.collect_set("text")).alias("fixed"))
+    # What is left of an element's prose without the template's own.
+    prefixes = F.expr("transform(sequence(1, size(split(path, '>'))), k -> substring_index(path, '>', k))")
+    taken = own.where("prose > 0").select("host", F.explode(prefixes).alias("path"), "prose")
+    taken = taken.groupBy("host", "path").agg(F.sum("prose").alias("taken"))
+    left = elements.where("prose > 0").join(taken, ["host", "path"], "left")
+    left = settled(left.select("host", "path", (F.col("prose") - F.coalesce("taken", F.lit(0))).alias("prose")).where("prose > 0"))
+    whole = left.groupBy("host").agg(F.max("prose").alias("all"))
+    roots = left.join(whole, "host").where(F.col("prose") == F.col("all"))
+    roots = roots.groupBy("host").agg(F.max_by("path", F.struct(F.size(F.split("path", ">")), "path")).alias("root"))
+    return settled(slots.join(fixed, "host", "left").join(roots, "host", "left").select("host", "root", "fixed", "slots"))
+
+
+def _nested(elements: DataFrame) -> DataFrame:
+    """Classes (host, class) whose elements lie in slots of one other class, or of none at the top."""
+    inner = elements.select("host", "class", F.regexp_extract("path", "^(.*)>", 1).alias("path"))
+    outer = elements.select("host", "path", F.col("class").alias("around"))
+    around = inner.join(outer, ["host", "path"], "left").where("around is null or around <> class")
+    around = around.groupBy("host", "class").agg(F.countDistinct(F.coalesce("around", F.lit(0))).alias("n"))
+    return settled(around.where("n = 1").select("host", "class"))
+
+
+def main_text(page: str | None, root: str | None = None, fixed: frozenset[int] = frozenset(), slots: frozenset[int] = frozenset()) -> str:
     """The article of a page, block by block, given what is known of its host's template."""
     found = blocks(page or "", _tells)
-    steps = [block.path.split(">") for block in found]
-    roots = [_named_root(x) for x in steps]
-    usable = [not _boilerplate(x, r) for x, r in zip(steps, roots)]
-    for tag in (*CONTENT_TAGS, None):
-        at = [r if r is not None and (tag is None or tag_of(x[r]) == tag) else None for x, r in zip(steps, roots)]
-        chosen = [
-            block.text
-            for block, x, r, ok in zip(found, steps, at, usable)
-            if r is not None and ok and not (_text_token(block) in fixed and not PROSE_TAGS & {tag_of(s) for s in x[r:]})
-        ]
-        if chosen:
-            return "\n".join(chosen)
-    rest = [block for block, ok in zip(found, usable) if ok and _text_token(block) not in fixed]
-    if root is None or not any(_below(block.path, root) for block in rest):
+    steps = {block.path: block.path.split(">") for block in found}
+    # By the slots of the template; by the page's own elements if no slot is named, or without a template.
+    for places in ({path: _slot(path, slots) for path in steps}, steps) if slots else (steps,):
+        roots = {path: _named_root(places[path]) for path in steps}
+        usable = {path: not _boilerplate(x, roots[path]) for path, x in steps.items()}
+        for tag in (*CONTENT_TAGS, None):
+            chosen = []
+            for block in found:
+                x, r = steps[block.path], roots[block.path]
+                if r is None or not usable[block.path] or (tag is not None and tag_of(x[r]) != tag):
+                    continue
+                if not (fixed and _text_token(block) in fixed and not PROSE_TAGS & {tag_of(s) for s in x[r:]}):
+                    chosen.append(block.text)
+            if chosen:
+                return "\n".join(chosen)
+    rest = [block for block in found if usable[block.path] and _text_token(block) not in fixed]
+    if root is None or not any(_is_prose(block) and _below(block.path, root) for block in rest):
         root = _own_root(rest)
     return "\n".join(block.text for block in rest if root is None or _below(block.path, root))
 
 
+def _slot(path: str, slots: frozenset[int]) -> list[str]:
+    """The steps of the deepest slot around a place; none outside the template."""
+    while path and _path_token(path) not in slots:
+        path = path.rpartition(">")[0]
+    return path.split(">") if path else []
+
+
+def _container(path: str) -> str:
+    """The lowest element around a place that may hold an article."""
+    while path and not _is_container(path):
+        path = path.rpartition(">")[0]
+    return path
+
+
 def _below(path: str, root: str) -> bool:
     return path == root or path.startswith(root + ">")
 
 
 def _own_root(page: list[Block]) -> str | None:
-    """The deepest element that holds most of a page's prose."""
-    prose: Counter = Counter()
-    for block in page:
-        if _is_prose(block):
-            for prefix in filter(_is_container, _prefixes(block.path)):
-                prose[prefix] += len(block.text)
-    if not prose:
-        return None
-    enough = PROSE_SHARE * max(prose.values())
-    return max((p for p, n in prose.items() if n >= enough), key=lambda p: (p.count(">"), prose[p], p))
+    """The lowest element around all prose of a page."""
+    holders = [_container(block.path).split(">") for block in page if _is_prose(block)]
+    shared: list[str] = []
+    for level in zip(*holders):
+        if len(set(level)) > 1:
+            break
+        shared.append(level[0])
+    return ">".join(shared) or None
 
 
 def _extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, frozenset[int]] = {}
+    known: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
     for batch in batches:
         texts = []
-        for name, html, root, fixed in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+        for name, html, root, fixed, slots in zip(*(batch.column(k).to_pylist() for k in range(2, 7))):
             if name not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[name] = frozenset(fixed or ())
-            texts.append(main_text(html, root, known[name]))
+                known[name] = frozenset(fixed or ()), frozenset(slots or ())
+            texts.append(main_text(html, root, *known[name]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
@@ -216,6 +259,6 @@ def extract(pages: DataFrame) -> DataFrame:
     hosts = broadcast_if_small(templates(pages), 20_000)
     name = fresh(pages, "host")
     rows = pages.select("page_id", "url", host().alias(name), "html").join(hosts.withColumnRenamed("host", name), name, "left")
-    return rows.select("page_id", "url", name, "html", "root", "fixed").mapInArrow(
+    return rows.select("page_id", "url", name, "html", "root", "fixed", "slots").mapInArrow(
         _extracted, "page_id bigint, url string, text string"
     )

@@ -89,6 +89,45 @@ def test_copies_of_a_page_keep_their_article(spark):
     assert {r.text for r in template.extract(pages).collect()} == {main_text(PAGE.format(n=1))}
 
 
+def test_classes_that_do_not_nest_are_no_slots(spark):
+    """Class 3 has elements in slots of classes 1 and 2; class 4 has an element inside its own."""
+    classes = {"html": 1, "html>body": 1, "html>body>a": 2, "html>body>a>x": 3, "html>body>x": 3, "html>body>a>y": 4, "html>body>a>y>z": 4}
+    rows = [("h", path, template._path_token(path), 1, number) for path, number in classes.items()]
+    elements = spark.createDataFrame(rows, "host string, path string, text bigint, prose bigint, class bigint")
+    assert {r["class"] for r in template._nested(elements).collect()} == {1, 2, 4}
+
+
+def test_elements_are_counted_by_their_tags():
+    page = blocks("<div><p>a<br>b</p><p>c <b>d</b></p></div><div>e</div>")
+    assert [b.begun for b in page] == [("div", "div>p"), (), ("div>p",), ("div",)]
+
+
+NAMED = """<body><div class="story"><div class="c7">{a}</div></div><div class="bar">All the stories of this site are our own.</div></body>"""
+
+
+def test_text_comes_from_the_slots(spark):
+    """An article that only one page names is no slot of the host; the slot named story is."""
+    rows = [(k, f"http://slots.example.org/{k}", NAMED.format(a=f"<p>Words number {k} of the story</p>")) for k in range(6)]
+    odd = NAMED.format(a="<p>Words of the odd page</p><article><p>Inner words of the page</p></article>")
+    found = {r.page_id: r.text for r in template.extract(pages_of(spark, [*rows, (9, "http://slots.example.org/9", odd)])).collect()}
+    assert found == {k: f"Words number {k} of the story" for k in range(6)} | {9: "Words of the odd page\nInner words of the page"}
+
+
+PARTS = """<html><body><div class="top">All the pages of this web site</div><div id="box"><div class="lead"><p>The lead {n} has some words here.</p></div>
+<div class="rest"><p>And the rest {n} of it has quite a few more words than that.</p><p>Yes {n}.</p></div></div></body></html>"""
+OTHER = """<html><body><div class="top">All the pages of this web site</div><div class="other"><p>Another layout {n} with words of its own.</p></div></body></html>"""
+
+
+def test_all_slots_with_prose_are_taken(spark):
+    lead = "The lead {0} has some words here.\nAnd the rest {0} of it has quite a few more words than that.\nYes {0}."
+    rows = [(k, f"http://parts.example.org/{k}", PARTS.format(n=k)) for k in range(9)]
+    assert {r.page_id: r.text for r in template.extract(pages_of(spark, rows)).collect()} == {k: lead.format(k) for k in range(9)}
+    rows += [(k, f"http://parts.example.org/{k}", OTHER.format(n=k)) for k in range(20, 24)]
+    found = {r.page_id: r.text for r in template.extract(pages_of(spark, rows)).collect()}
+    expected = {k: lead.format(k) for k in range(9)} | {k: f"Another layout {k} with words of its own." for k in range(20, 24)}
+    assert found == expected
+
+
 def test_query_against_a_plain_reading(spark, medium):
     """These pages have no more than a heading, paragraphs and line breaks in the article."""
     rows = QUERIES["op1_template"](spark, medium).collect()
