@@ -30,6 +30,7 @@ from tallybook.llm.markup import Block, blocks, names, tag_of
 
 MIN_PAGES = 3
 PROSE_WORDS = 5  # words of a block that counts as prose
+WRAPPERS = frozenset("form dialog menu".split())  # no boilerplate if around most of a page's prose
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 TOKENS = "host string, page bigint, element boolean, path string, text bigint, n bigint, prose bigint"
 
@@ -64,7 +65,7 @@ def _tells(named: set[str]) -> bool:
     return any(name in BOILERPLATE_NAMES or name.startswith(BOILERPLATE_STEMS) for name in named)
 
 
-def _boilerplate(steps: list[str], root: int | None) -> bool:
+def _boilerplate(steps: list[str], root: int | None, wrappers: frozenset[str] = frozenset()) -> bool:
     """Whether a place is part of a menu, an advert or the like.
 
     Headings keep their place in the head of an article.  Around the article
@@ -73,7 +74,7 @@ def _boilerplate(steps: list[str], root: int | None) -> bool:
     inside = root is not None and tag_of(steps[-1]) in HEADINGS
     for k, step in enumerate(steps):
         tag = tag_of(step)
-        if tag in BOILERPLATE_TAGS:
+        if tag in BOILERPLATE_TAGS and not (wrappers and ">".join(steps[: k + 1]) in wrappers):
             return True
         named = names(step) if root is None or k >= root else set(re.split(r"[#.\[\]]", step)[1:])
         head = tag == "header" or bool(named & HEAD_NAMES)
@@ -106,15 +107,27 @@ def _prefixes(path: str) -> list[str]:
     return [">".join(steps[: k + 1]) for k in range(len(steps))]
 
 
+def _wrappers(page: list[Block]) -> frozenset[str]:
+    """Forms and the like that hold most of the page's prose."""
+    whole, held = 0, Counter()
+    for block in page:
+        if _is_prose(block):
+            whole += len(block.text)
+            for prefix in _prefixes(block.path):
+                if tag_of(prefix.rsplit(">", 1)[-1]) in WRAPPERS:
+                    held[prefix] += len(block.text)
+    return frozenset(path for path, n in held.items() if 2 * n > whole)
+
+
 def _tokens(page: list[Block]) -> tuple[Counter, Counter, Counter]:
     """How often each element and each text block occurs, and the characters of prose in each."""
     elements, texts, prose = Counter(), Counter(), Counter()
-    skipped: dict[str, bool] = {}
+    wrappers, skipped = _wrappers(page), {}
     for block in page:
         token = block.path, _text_token(block)
         texts[token] += 1
         if block.path not in skipped:
-            skipped[block.path] = _boilerplate(block.path.split(">"), None)
+            skipped[block.path] = _boilerplate(block.path.split(">"), None, wrappers)
         main = _is_prose(block) and not skipped[block.path]
         if main:
             prose[token] += len(block.text)
@@ -142,15 +155,25 @@ def host(url: str = "url"):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
 
 
+def _distinct(pages: DataFrame) -> DataFrame:
+    """Hosts with their distinct htmls; only htmls that occur more than once are moved."""
+    keyed = pages.select(host().alias("host"), F.xxhash64("html").alias("page"), "html").where("host <> ''")
+    repeated = settled(keyed.groupBy("host", "page").count().where("count > 1").select("host", "page"))
+    if repeated.isEmpty():
+        return keyed
+    repeated = broadcast_if_small(repeated)
+    copies = keyed.join(repeated, ["host", "page"], "left_semi").groupBy("host", "page").agg(F.max("html").alias("html"))
+    return keyed.join(repeated, ["host", "page"], "left_anti").unionByName(copies)
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """One row per host with a template: host, root (path around all prose of its slots, or NULL), fixed, slots.
 
     ``fixed`` has the text tokens of the template, ``slots`` the tokens of its
-    elements' paths.  Pages without a host have no template.  Equal pages
-    count once.
+    elements' paths.  Pages without a host have no template.  Equal htmls of a
+    host count once.
     """
-    keyed = pages.select(host().alias("host"), F.xxhash64("page_id", "url", "html").alias("page"), "html")
-    tokens = keyed.where("host <> ''").mapInArrow(_page_tokens, TOKENS)
+    tokens = _distinct(pages).mapInArrow(_page_tokens, TOKENS)
     vector = F.bit_xor(F.xxhash64("page", "n")).alias("vector")
     tokens = tokens.groupBy("host", "element", "path", "text").agg(
         F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("prose").alias("prose"), vector
@@ -185,11 +208,12 @@ def _nested(elements: DataFrame) -> DataFrame:
 def main_text(page: str | None, root: str | None = None, fixed: frozenset[int] = frozenset(), slots: frozenset[int] = frozenset()) -> str:
     """The article of a page, block by block, given what is known of its host's template."""
     found = blocks(page or "", _tells)
+    wrappers = _wrappers(found)
     steps = {block.path: block.path.split(">") for block in found}
     # By the slots of the template; by the page's own elements if no slot is named, or without a template.
     for places in ({path: _slot(path, slots) for path in steps}, steps) if slots else (steps,):
         roots = {path: _named_root(places[path]) for path in steps}
-        usable = {path: not _boilerplate(x, roots[path]) for path, x in steps.items()}
+        usable = {path: not _boilerplate(x, roots[path], wrappers) for path, x in steps.items()}
         for tag in (*CONTENT_TAGS, None):
             chosen = []
             for block in found:
@@ -200,7 +224,13 @@ def main_text(page: str | None, root: str | None = None, fixed: frozenset[int] =
                     chosen.append(block.text)
             if chosen:
                 return "\n".join(chosen)
-    rest = [block for block in found if usable[block.path] and _text_token(block) not in fixed]
+    left = [block for block in found if usable[block.path]]
+    rest = [block for block in left if _text_token(block) not in fixed]
+    holders = {_container(block.path) for block in rest if _is_prose(block)}
+    if not holders:  # near copies may share all their prose
+        rest = left
+    elif fixed:  # or some paragraphs, which lie in a slot beside others
+        rest = [b for b in left if _text_token(b) not in fixed or (b.path != _container(b.path) and _container(b.path) in holders)]
     if root is None or not any(_is_prose(block) and _below(block.path, root) for block in rest):
         root = _own_root(rest)
     return "\n".join(block.text for block in rest if root is None or _below(block.path, root))

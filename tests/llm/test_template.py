@@ -128,6 +128,22 @@ def test_all_slots_with_prose_are_taken(spark):
     assert found == expected
 
 
+def test_copies_without_a_named_article(spark):
+    page = PARTS.format(n=1)
+    expected = "The lead 1 has some words here.\nAnd the rest 1 of it has quite a few more words than that.\nYes 1."
+    copies = [(k, f"http://same.example.org/{k}", page) for k in range(4)]
+    assert all(expected in r.text for r in template.extract(pages_of(spark, copies)).collect())
+    # Near copies: all prose is shared by pages that differ.
+    near = [(k, f"http://near.example.org/{k}", page.replace("Yes 1.", f"Yes {k}.")) for k in range(4)]
+    found = {r.page_id: r.text for r in template.extract(pages_of(spark, near)).collect()}
+    assert all(expected.replace("Yes 1.", f"Yes {k}.") in found[k] for k in range(4))
+
+
+def test_a_form_around_the_page(spark):
+    rows = [(k, f"http://form.example.org/{k}", PARTS.format(n=k).replace("<body>", "<body><form id=f>").replace("</body>", "</form></body>")) for k in range(5)]
+    assert all(r.text.startswith(f"The lead {r.page_id} ") and r.text.endswith(f"Yes {r.page_id}.") for r in template.extract(pages_of(spark, rows)).collect())
+
+
 def test_query_against_a_plain_reading(spark, medium):
     """These pages have no more than a heading, paragraphs and line breaks in the article."""
     rows = QUERIES["op1_template"](spark, medium).collect()
