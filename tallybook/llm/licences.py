@@ -5,14 +5,17 @@ regression over hashed word n-grams.  It is trained on variants of the licence
 notices below (words lost, words of the corpus around them) and, as the class
 ``unknown``, on a bounded sample of the corpus's own paragraphs and on notices
 of no family.  Its chances are calibrated by a temperature fitted to rows held
-back.  A paragraph is reported if its best family has a chance of
-``MIN_CHANCE`` and a template of that family shares ``SIMILARITY`` of the
-shingles of the shorter of the two.
+back.  A paragraph is a licence if all families together have a chance of
+``MIN_CHANCE``.  It is reported for its best family if that has the chance alone
+and a template of it shares ``SIMILARITY`` of the shingles of the shorter of the
+two, and for each family it names (``NAMES``): short notices have few shingles or
+none, and one may name several families.
 """
 
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -109,6 +112,42 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ),
 }
+# Short notices to train on besides.
+SHORT: dict[str, tuple[str, ...]] = {
+    "Apache": ("Apache License 2.0", "License: Apache 2.0", "Licensed under Apache License 2.0"),
+    "MIT": ("MIT License", "The MIT License (MIT)", "License: MIT", "Licensed under MIT"),
+    "BSD": ("BSD License", "BSD 3-Clause License", "License: BSD"),
+    "GPL": ("GNU General Public License v3.0", "License: GPL", "Licensed under the GPLv2"),
+    "LGPL": ("GNU Lesser General Public License v2.1", "License: LGPL", "Licensed under the LGPLv3"),
+    "AGPL": ("GNU Affero General Public License v3.0", "License: AGPL"),
+    "MPL": ("Mozilla Public License 2.0", "License: MPL 2.0"),
+    "ISC": ("ISC License", "License: ISC"),
+    "CC-BY": ("License: CC BY 4.0", "Creative Commons Attribution 4.0"),
+    "CC-BY-SA": ("License: CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    "CC-BY-NC": ("License: CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "CC0": ("License: CC0", "CC0 1.0 Universal"),
+    "Unlicense": ("License: Unlicense", "SPDX-License-Identifier: Unlicense"),
+}
+# What a notice calls its licence, as patterns over lower-case words with a space between.
+LICENCE = "licen[sc]e"
+NAMES: dict[str, re.Pattern] = {
+    family: re.compile(rf"\b(?:{pattern})\b")
+    for family, pattern in {
+        "Apache": rf"apache (?:software |public )?{LICENCE}|apache v?[12](?: \d)?|{LICENCE}d? (?:under )?(?:the )?apache",
+        "MIT": rf"mit {LICENCE}|{LICENCE}d? (?:under )?(?:the |either )?mit|spdx license identifier(?: \w+){{0,12}}? mit",
+        "BSD": rf"bsd (?:[0-4] clause )?(?:style )?{LICENCE}|bsd [0-4] clause|0bsd|{LICENCE}d? (?:under )?(?:the )?bsd",
+        "GPL": rf"gnu (?:general public {LICENCE}|gpl)|gpl(?:v?[123])?",
+        "LGPL": rf"gnu (?:lesser|library) (?:general )?public {LICENCE}|lgpl(?:v?[23])?",
+        "AGPL": rf"gnu affero (?:general )?public {LICENCE}|agpl(?:v?3)?",
+        "MPL": rf"mozilla public {LICENCE}|mpl (?:v ?)?[12]|mplv?[12]|{LICENCE}d? (?:under )?(?:the )?mpl",
+        "ISC": rf"isc {LICENCE}|{LICENCE}d? (?:under )?(?:the )?isc|spdx license identifier(?: \w+){{0,12}}? isc",
+        "CC-BY": r"cc by(?! sa\b| nc\b| nd\b)|creative commons attribution(?! share| non| no\b)",
+        "CC-BY-SA": r"cc by sa|creative commons attribution share ?alike",
+        "CC-BY-NC": r"cc by nc(?: sa| nd)?|creative commons attribution non ?commercial",
+        "CC0": r"cc0|creative commons zero",
+        "Unlicense": rf"the unlicen[sc]e|{LICENCE}d? (?:under )?(?:the )?unlicense|identifier unlicense",
+    }.items()
+}
 NO_FAMILY = (
     "All rights reserved.",
     "Licensed under the terms agreed with the vendor.",
@@ -148,7 +187,7 @@ def _examples(corpus: list[str]) -> list[tuple[str, int]]:
     draw = random.Random(0)
     words = [w for x in corpus[:200] for w in x.split()[:20]] or ["text"]
     rows: list[tuple[str, int]] = [(x, 0) for x in corpus if _likeness(x, _ALL_SHINGLES) < 0.3]
-    for k, notices in enumerate([NO_FAMILY, *NOTICES.values()]):
+    for k, notices in enumerate([NO_FAMILY, *([*some, *SHORT[family]] for family, some in NOTICES.items())]):
         for notice in notices:
             rows.append((notice, k))
             for _ in range(VARIANTS):
@@ -206,6 +245,12 @@ def _likeness(paragraph: str, templates: list[set]) -> float:
     return max((len(own & x) / min(len(own), len(x)) for x in templates), default=0.0) if own else 0.0
 
 
+def _named(paragraph: str) -> set[str]:
+    """The families that a paragraph names."""
+    words = " ".join(WORD.findall(paragraph.lower()))
+    return {family for family, pattern in NAMES.items() if pattern.search(words)}
+
+
 def train(documents: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Fit with a paragraph each of about ``sample`` documents, in one task."""
     rows = documents.where("text is not null")
@@ -234,7 +279,7 @@ def scan(documents: DataFrame, classifier: Classifier) -> DataFrame:
     """One row a document: doc_id, licences (sorted, joined by commas; empty if none), counts, chance.
 
     ``n_unconfirmed`` counts paragraphs classified as a licence that no
-    template confirms; ``chance`` is the best confirmed one's (NULL if none).
+    template or name confirms; ``chance`` is the best confirmed one's (NULL if none).
     NULL and empty texts have no paragraph; other columns are ignored.
     """
 
@@ -262,13 +307,16 @@ def _scanned(text: str, classifier: Classifier, weights, telling, hashes) -> tup
         found = grams(words, UP_TO, 0, BITS)
         found = np.unique(found[telling[found]])
         chances = _softmax((weights[found].sum(axis=0) + classifier.bias) / classifier.temperature)
-        top = int(chances.argmax())
-        if top == 0 or chances[top] < MIN_CHANCE:
+        if chances[0] > 1 - MIN_CHANCE:
             continue
-        if _likeness(line, TEMPLATES[CLASSES[top]]) >= SIMILARITY:
-            families.add(CLASSES[top])
+        top = int(chances.argmax())
+        here = _named(line)
+        if top and chances[top] >= MIN_CHANCE and _likeness(line, TEMPLATES[CLASSES[top]]) >= SIMILARITY:
+            here.add(CLASSES[top])
+        if here:
+            families |= here
             confirmed += 1
-            best = max(best or 0.0, float(chances[top]))
+            best = max(best or 0.0, *(float(chances[CLASSES.index(x)]) for x in here))
         else:
             doubtful += 1
     return ",".join(sorted(families)), paragraphs, confirmed, doubtful, best

@@ -40,6 +40,29 @@ def test_other_paragraphs_are_not_reported(spark, classifier):
     assert [r.licences for r in scanned(spark, classifier, texts)] == [""] * 4
 
 
+SHORT = {
+    "SPDX-License-Identifier: MIT": "MIT",
+    "SPDX-License-Identifier: ISC": "ISC",
+    "main.c SPDX-License-Identifier: MIT": "MIT",
+    "SPDX-License-Identifier: MIT OR Apache-2.0": "Apache,MIT",
+    "SPDX-License-Identifier: GPL-2.0-only": "GPL",
+    "MIT License": "MIT",
+    "The MIT License (MIT)": "MIT",
+    "License: GPL": "GPL",
+    "Licensed under Apache License 2.0": "Apache",
+    "GNU General Public License v3.0": "GPL",
+    "GNU Lesser General Public License v3.0": "LGPL",
+    "Dual licensed under the MIT license and the GPL.": "GPL,MIT",
+    "License: CC BY-SA 4.0": "CC-BY-SA",
+}
+
+
+def test_short_and_dual_notices(spark, classifier):
+    found = scanned(spark, classifier, [f"Some words ahead of it.\n{x}\nSome words behind it." for x in SHORT])
+    assert dict(zip(SHORT, (r.licences for r in found))) == SHORT
+    assert all(r.n_licence_paragraphs == 1 and r.chance for r in found)
+
+
 def test_query(spark, medium):
     rows = QUERIES["op5_licences"](spark, medium).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{medium}/documents.parquet").collect()}
