@@ -114,12 +114,12 @@ def test_text_comes_from_the_slots(spark):
 
 
 PARTS = """<html><body><div class="top">All the pages of this web site</div><div id="box"><div class="lead"><p>The lead {n} has some words here.</p></div>
-<div class="rest"><p>And the rest {n} of it has quite a few more words than that.</p><p>Yes {n}.</p></div></div></body></html>"""
+<div class="rest"><p>And the rest {n} of it has quite a few more words than that, as the story goes on for a good while and ends with a sentence of great length.</p><p>Yes {n}.</p></div></div></body></html>"""
 OTHER = """<html><body><div class="top">All the pages of this web site</div><div class="other"><p>Another layout {n} with words of its own.</p></div></body></html>"""
 
 
 def test_all_slots_with_prose_are_taken(spark):
-    lead = "The lead {0} has some words here.\nAnd the rest {0} of it has quite a few more words than that.\nYes {0}."
+    lead = "The lead {0} has some words here.\nAnd the rest {0} of it has quite a few more words than that, as the story goes on for a good while and ends with a sentence of great length.\nYes {0}."
     rows = [(k, f"http://parts.example.org/{k}", PARTS.format(n=k)) for k in range(9)]
     assert {r.page_id: r.text for r in template.extract(pages_of(spark, rows)).collect()} == {k: lead.format(k) for k in range(9)}
     rows += [(k, f"http://parts.example.org/{k}", OTHER.format(n=k)) for k in range(20, 24)]
@@ -130,7 +130,7 @@ def test_all_slots_with_prose_are_taken(spark):
 
 def test_copies_without_a_named_article(spark):
     page = PARTS.format(n=1)
-    expected = "The lead 1 has some words here.\nAnd the rest 1 of it has quite a few more words than that.\nYes 1."
+    expected = "The lead 1 has some words here.\nAnd the rest 1 of it has quite a few more words than that, as the story goes on for a good while and ends with a sentence of great length.\nYes 1."
     copies = [(k, f"http://same.example.org/{k}", page) for k in range(4)]
     assert all(expected in r.text for r in template.extract(pages_of(spark, copies)).collect())
     # Near copies: all prose is shared by pages that differ.
