@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from uuid import uuid4
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import (
+    additive,
     chat,
     decision_list,
+    hard_negatives,
     licences,
+    runs,
     sampling,
     simhash,
     template,
@@ -102,6 +106,47 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label").cast("bigint"))
+    rows = hard_negatives.taking_part(table(spark, folder, "embeddings"), moved)
+    return hard_negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
+def op12_additive(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return additive.scored(documents, additive.train(documents, table(spark, folder, "labels")))
+
+
+def looped(doc_id: int | None, words: list[str]) -> list[str]:
+    """Words of every tenth document, by a hash of its id, that go round in a loop from some word on."""
+    h, n = 1 if doc_id is None else crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    rows = runs.find_runs(table(spark, folder, "documents"), looped)
+    # The greatest length / period is found by cross multiplication; the first of equals stays.
+    best = """aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>),
+        (m, r) -> if(m is null or cast(r.length as decimal(19,0)) * m.period > cast(m.length as decimal(19,0)) * r.period, r, m))"""
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    rows = rows.selectExpr("*", f"{best} as best")
+    return rows.selectExpr(
+        "doc_id",
+        "cast(size(runs) as bigint) as n_runs",
+        "best.start as start",
+        "best.length as length",
+        "best.period as period",
+        "1000 * best.length div best.period as exponent_milli",
+        f"sha2({lines}, 256) as runs_sha256",
+        "sha2(collapsed, 256) as collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -115,6 +160,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_chat,
         op10_winnowing,
+        op11_hard_negatives,
+        op12_additive,
+        op13_periodic_runs,
     )
 }
 
@@ -177,5 +225,26 @@ held as (
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit using (row_id) left join held using (row_id)
+""",
+    "op11_hard_negatives": r"""
+with r as (
+  select row_number() over () as row_id, vec_id,
+    case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.row_id, a.vec_id as anchor_id, o.vec_id, o.label = a.label as same, list_inner_product(a.v, o.v)::bigint as score
+  from r as a, r as o
+  where a.vec_id % 100 = 0 and a.vec_id is distinct from o.vec_id),
+p as (
+  select *, row_number() over (partition by row_id order by score desc, vec_id nulls last) as place from s where same),
+n as (
+  select p.row_id, p.place, p.anchor_id, p.vec_id as positive_id, p.score as positive_score, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.row_id, p.place order by s.score desc, s.vec_id nulls last) as rank
+  from p join s on s.row_id = p.row_id and not s.same and p.place <= 5
+    and 80 * p.score <= 100 * s.score and s.score <= p.score)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from n where rank <= 5
 """,
 }
