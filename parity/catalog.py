@@ -137,6 +137,10 @@ def _fifo_match(group_rows: int) -> Callable[[Tables], DataFrame]:
     return build
 
 
+def _fifo_lots(group_rows: int) -> Callable[[Tables], DataFrame]:
+    return lambda t: fifo.fifo_lots(t.bybit_base(), group_rows=group_rows, sizes_from=t["bybit_trades"])
+
+
 def _fx_at_minute(t: Tables) -> DataFrame:
     rated = rates.fx_at_minute(t["sat_bybit_trade"], t.bybit_rates(), "trade_at")
     return rated.selectExpr(
@@ -305,6 +309,8 @@ QUERIES |= {
     "split_legs": _query(_split_legs),
     "fifo_match": _query(_fifo_match(GROUP_ROWS)),
     "fifo_match_in_parts": _query(_fifo_match(SMALL_GROUP)),
+    "fifo_lots": _query(_fifo_lots(GROUP_ROWS)),
+    "fifo_lots_in_parts": _query(_fifo_lots(SMALL_GROUP)),
     "running_balance": _query(_running_balance(GROUP_ROWS)),
     "running_balance_in_parts": _query(_running_balance(SMALL_GROUP)),
     "transaction_balance_in_parts": _query(_transaction_balance_in_parts),

@@ -119,6 +119,25 @@ def realise(axis: DataFrame, keys: Sequence[str], unique: str, parts: Parts | No
     return served.selectExpr("*", *[profit(v) for v in VALUATIONS])
 
 
+def _placed(
+    trades: DataFrame, symbol: str, order: Sequence[str], group_rows: int, sizes_from: DataFrame | None
+) -> tuple[DataFrame, list[str], Parts | None]:
+    """Trades on the axes of their books, the columns that make a book, and how the rows are cut."""
+    parts = parts_needed(trades if sizes_from is None else sizes_from, [symbol], group_rows)
+    # Range boundaries take a sample, for which the plan ahead would run once
+    # more: joins and windows are written out before.
+    if parts:
+        trades = cut_into_parts(cut_lineage(trades), [symbol], order, parts)
+    axis = on_axis(position_before(trades, [symbol], order, parts), [symbol], order, parts)
+
+    book = [symbol, "_book"]
+    if parts:
+        # A flip adds a row, so there are at most twice as many rows.
+        parts = parts.times(rows=2, keys=3)
+        axis = cut_into_parts(cut_lineage(axis), book, ["_place", "_kind", order[-1]], parts)
+    return axis, book, parts
+
+
 def fifo_profit(
     trades: DataFrame,
     symbol: str = "symbol",
@@ -136,18 +155,63 @@ def fifo_profit(
     ``sizes_from`` may name a cheaper table with at least as many rows per
     symbol, used only to tell whether a symbol is too large for one task.
     """
-    carry = trades.columns
-    order = [at, unique]
-    parts = parts_needed(trades if sizes_from is None else sizes_from, [symbol], group_rows)
-    # Range boundaries take a sample, for which the plan ahead would run once
-    # more: joins and windows are written out before.
-    if parts:
-        trades = cut_into_parts(cut_lineage(trades), [symbol], order, parts)
-    axis = on_axis(position_before(trades, [symbol], order, parts), [symbol], order, parts)
+    axis, book, parts = _placed(trades, symbol, [at, unique], group_rows, sizes_from)
+    return realise(axis, book, unique, parts).filter("_reported").select(*trades.columns, *PNL_COLUMNS)
 
-    book = [symbol, "_book"]
-    if parts:
-        # A flip adds a row, so there are at most twice as many rows.
-        parts = parts.times(rows=2, keys=3)
-        axis = cut_into_parts(cut_lineage(axis), book, ["_place", "_kind", unique], parts)
-    return realise(axis, book, unique, parts).filter("_reported").select(*carry, *PNL_COLUMNS)
+
+def fifo_lots(
+    trades: DataFrame,
+    symbol: str = "symbol",
+    at: str = "trade_at",
+    unique: str = "fk_bybit_trade",
+    group_rows: int = GROUP_ROWS,
+    sizes_from: DataFrame | None = None,
+) -> DataFrame:
+    """Which lot paid for which close: one row per close and lot that overlap.
+
+    Closes and lots both cut the axis of a book, and between two neighbouring
+    cuts there is one lot and one close.  So each row of the axis gives at most
+    one segment, from the cut ahead of it up to its own place: it belongs to the
+    last lot that starts ahead, and to the close itself or the next one to come.
+    There are at most as many segments as trades and flips, and no lot is paired
+    with the closes it might serve.
+
+    Columns: symbol, book, ``unique`` of the close as ``closed_by`` and of the
+    opening trade as ``opened_by``, their times, the units they share, both
+    prices in both currencies, and the profit of the segment in both.  The
+    profits of a close's segments add up to what :func:`fifo_profit` gives it.
+    Units still held have no row, nor have trades without a symbol.
+    """
+    axis, book, parts = _placed(trades, symbol, [at, unique], group_rows, sizes_from)
+    prices = ", ".join(v.price for v in VALUATIONS)
+
+    def trade(kind: int) -> str:
+        return f"if(_kind = {kind}, struct({unique} as trade, {at} as at, {prices}), null)"
+
+    used = axis.filter(f"_kind <> {NEITHER} and {symbol} is not null")
+    seen, coming = {"_from": "_place", "_lot": trade(OPEN)}, {"_next": trade(CLOSE)}
+    segments = scan(used, book, ["_place", "_kind", unique], seen=seen, coming=coming, parts=parts)
+    owned = segments.selectExpr(
+        f"{symbol} as symbol",
+        "_book as book",
+        "_lot",
+        f"coalesce({trade(CLOSE)}, _next) as _close",
+        f"cast(_place - _from as {QUANTITY}) as units",
+    ).filter("units > 0 and _lot is not null and _close is not null")
+
+    def gain(v: Valuation) -> str:
+        taken, cost = v.worth(f"_close.{v.price}", "units"), v.worth(f"_lot.{v.price}", "units")
+        return f"if(book = 'long', {subtract(taken, cost, v.scale)}, {subtract(cost, taken, v.scale)}) as {v.result}"
+
+    return owned.selectExpr(
+        "symbol",
+        "book",
+        "_close.trade as closed_by",
+        "_lot.trade as opened_by",
+        "_close.at as closed_at",
+        "_lot.at as opened_at",
+        "units",
+        *[f"_close.{v.price} as close_{v.price}" for v in VALUATIONS],
+        *[f"_lot.{v.price} as open_{v.price}" for v in VALUATIONS],
+        *[gain(v) for v in VALUATIONS],
+    )

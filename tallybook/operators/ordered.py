@@ -125,22 +125,28 @@ def scan(
     sums: dict[str, tuple[str, str]] | None = None,
     seen: dict[str, str] | None = None,
     parts: Parts | None = None,
+    coming: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Add what lies ahead of each row within its key.
+    """Add what lies ahead of each row within its key, or behind it.
 
     ``sums`` maps a new column to (expression, type): the sum over the rows
     ahead, 0 if there is none.  Give decimal types a precision of at most 37,
     as adding two of 38 digits costs scale.
 
     ``seen`` maps a new column to an expression: its last non-NULL value ahead.
+    ``coming`` does the same for the first non-NULL value behind; it costs a
+    sort in the other direction, but no shuffle.
 
-    ``order`` must be unique within the keys, for ``seen`` also ascending and
-    without NULLs.  With ``parts``, ``df`` comes from :func:`cut_into_parts` for
+    ``order`` must be unique within the keys, for ``seen`` and ``coming`` also
+    ascending and without NULLs.  With ``parts``, ``df`` comes from :func:`cut_into_parts` for
     the same keys and order.
     """
-    sums, seen = sums or {}, seen or {}
+    sums, seen, coming = sums or {}, seen or {}, coming or {}
     groups = [*keys, PART] if parts else list(keys)
     ahead = Window.partitionBy(*groups).orderBy(*ordering(order)).rowsBetween(Window.unboundedPreceding, -1)
+    # The rows behind are those ahead in the opposite order.  A frame that ends with the group would be run anew for each row.
+    backwards = [F.col(name).desc_nulls_last() for name in order]
+    behind = Window.partitionBy(*groups).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, -1)
 
     def total(x: Column, dtype: str) -> Column:
         return F.coalesce(x.cast(dtype), F.lit(0).cast(dtype))
@@ -151,23 +157,30 @@ def scan(
     local = df.withColumns(
         {n: total(F.sum(F.expr(x)).over(ahead), t) for n, (x, t) in sums.items()}
         | {n: last(F.expr(x), ahead) for n, x in seen.items()}
+        | {n: last(F.expr(x), behind) for n, x in coming.items()}
     )
     if not parts:
         return local
 
-    # One row per key and part: what the part adds for the parts behind it.
+    def place(x: str) -> Column:
+        return F.when(F.expr(x).isNotNull(), F.struct(*order))
+
+    # One row per key and part: what the part adds for the parts behind it, and ahead of it.
     ends = df.groupBy(*groups).agg(
         *[F.sum(F.expr(x)).alias(n) for n, (x, _) in sums.items()],
-        *[F.max_by(F.expr(x), F.when(F.expr(x).isNotNull(), F.struct(*order))).alias(n) for n, x in seen.items()],
+        *[F.max_by(F.expr(x), place(x)).alias(n) for n, x in seen.items()],
+        *[F.min_by(F.expr(x), place(x)).alias(n) for n, x in coming.items()],
     )
     earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.col(PART).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
         *groups,
         *[total(F.sum(n).over(earlier), t).alias(f"_carried_{n}") for n, (_, t) in sums.items()],
         *[last(F.col(n), earlier).alias(f"_carried_{n}") for n in seen],
+        *[last(F.col(n), later).alias(f"_carried_{n}") for n in coming],
     )
     joined = match(local, carried, groups, "left", parts.entries)
     return joined.withColumns(
         {n: (F.col(n) + F.col(f"_carried_{n}")).cast(t) for n, (_, t) in sums.items()}
-        | {n: F.coalesce(n, f"_carried_{n}") for n in seen}
-    ).drop(*[f"_carried_{n}" for n in [*sums, *seen]])
+        | {n: F.coalesce(n, f"_carried_{n}") for n in [*seen, *coming]}
+    ).drop(*[f"_carried_{n}" for n in [*sums, *seen, *coming]])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallybook.operators import checks
 from tallybook.operators.balance import running_balance
 from tallybook.operators.dedup import keep_one
-from tallybook.operators.fifo import fifo_profit
+from tallybook.operators.fifo import fifo_lots, fifo_profit
 from tallybook.operators.numbering import number_occurrences, occurrences
 from tallybook.operators.ordered import cut_into_parts, parts_needed, scan
 from tallybook.operators.position import position_before, signed_quantity, split_legs
@@ -94,6 +94,57 @@ def test_trades_without_symbol_close_nothing(spark):
         assert found == {"a": (0, 0), "b": (0, 0), "c": (0, 0), "d": (2, 1)}
 
 
+def by_queue_in_pairs(rows):
+    """(close, lot, units) of each pair, first in, first out."""
+    books, found = {}, Counter()
+    for key, symbol, _, q, _ in sorted(rows, key=lambda r: (r[2], r[0])):
+        lots, left = books.setdefault(symbol, deque()), D(q)
+        while left and lots and (lots[0][1] > 0) != (left > 0):
+            part = min(abs(left), abs(lots[0][1]))
+            side = 1 if lots[0][1] > 0 else -1
+            found[key, lots[0][0], part] += 1
+            lots[0][1] -= side * part
+            left += side * part
+            if not lots[0][1]:
+                lots.popleft()
+        if left:
+            lots.append([key, left])
+    return found
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_lots_match_a_queue_with_and_without_parts(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(500):
+        symbol = rng.choices(["HOT", "A"], [9, 1])[0]
+        quantity = D(rng.choice([-1, 1]) * rng.choice([0, 1, 2, 7, 400])) / rng.choice([1, 10, 10000])
+        rows.append((f"k{rng.randrange(10**9)}-{i}", symbol, rng.randrange(80), quantity, D(rng.randrange(1, 99)) / 8))
+    df = trades(spark, rows).repartition(3)
+    profits = {k: v for k, v in realised(fifo_profit(df)).items() if v != (0, 0)}
+    for group_rows in (1000, 40):
+        lots = fifo_lots(df, group_rows=group_rows).collect()
+        assert Counter((r.closed_by, r.opened_by, r.units) for r in lots) == by_queue_in_pairs(rows)
+        assert len(lots) <= 2 * len(rows)
+        summed = {}
+        for r in lots:
+            a, b = summed.get(r.closed_by, (0, 0))
+            summed[r.closed_by] = a + r.realized_pnl, b + r.realized_pnl_eur
+        assert {k: v for k, v in summed.items() if v != (0, 0)} == profits
+
+
+def test_lots_of_a_flip_of_one_huge_lot_and_without_symbol(spark):
+    rows = [("k0000", "X", 0, 300, 10)] + [(f"k{i:04d}", "X", i, -1, 11) for i in range(1, 300)]
+    rows += [("k0300", "X", 300, -4, 12), ("k0301", "X", 301, 1, 9), ("n0", None, 1, 2, 10), ("n1", None, 2, -2, 10)]
+    for group_rows in (1000, 30):
+        lots = {(r.book, r.closed_by, r.opened_by): r for r in fifo_lots(trades(spark, rows), group_rows=group_rows).collect()}
+        assert len(lots) == 301 and not any(r.symbol is None for r in lots.values())
+        assert all(r.units == 1 and r.realized_pnl == r.close_price - 10 for (book, *_), r in lots.items() if book == "long")
+        short = lots["short", "k0301", "k0300"]
+        assert (short.units, short.realized_pnl, short.realized_pnl_eur) == (1, 3, D("1.5"))
+        assert (short.opened_at, short.closed_at) == (300, 301)
+
+
 def test_position_and_legs(spark):
     rows = [("a", "X", 1, 2, 10), ("b", "X", 2, -5, 11), ("c", "X", 3, 0, 9), ("d", "X", 4, 3, 9)]
     positioned = position_before(trades(spark, rows), ["symbol"], ["trade_at", "fk_bybit_trade"])
@@ -226,9 +277,14 @@ def test_parts_are_consecutive_and_balanced(spark):
         assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
 
     sums, seen = {"ahead": ("place", "bigint")}, {"rare": "if(place % 1000 = 3, place, null)"}
-    split = scan(laid, ["key"], ["place"], sums, seen, parts).select("key", "place", "ahead", "rare")
-    whole = scan(df, ["key"], ["place"], sums, seen).select("key", "place", "ahead", "rare")
+    coming = {"next_rare": "if(place % 1000 = 3, place, null)"}
+    columns = ["key", "place", "ahead", "rare", "next_rare"]
+    split = scan(laid, ["key"], ["place"], sums, seen, parts, coming).select(*columns)
+    whole = scan(df, ["key"], ["place"], sums, seen, coming=coming).select(*columns)
     assert Counter(map(tuple, split.collect())) == Counter(map(tuple, whole.collect()))
+    marks = sorted(r.place for r in df.collect() if r.key == "hot" and r.place % 1000 == 3)
+    for r in split.filter("key = 'hot'").collect():
+        assert r.next_rare == min((m for m in marks if m > r.place), default=None)
 
 
 def test_checks(spark):
