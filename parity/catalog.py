@@ -13,11 +13,10 @@ from parity.exports import export_reader
 from tallybook.functions import decimals, keys, text, times
 from tallybook.operators import balance, checks, dedup, fifo, numbering, position, rates
 from tallybook.operators.ordered import GROUP_ROWS, arrange, parts_needed
-from tallybook.plans import business, bybit, kraken
-from tallybook.plans.models import HUB_KEYS, MODELS
+from tallybook.plans import business, bybit, kraken, marts
+from tallybook.plans.models import HUB_KEYS, MODELS, write_model
 from tallybook.session import ensure_checkpoint_dir
 from tallybook.sources.schemas import SCHEMAS
-from tallybook.sources.sink import write_layer
 from tallybook.sources.tables import conform
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,18 +246,37 @@ def _account_balance_in_parts(t: Tables) -> DataFrame:
     return business.calc_binance_accountbalance(t["sat_binance_transaction"], "run", group_rows=SMALL_GROUP)
 
 
+def _some_namespace(spark: SparkSession) -> str:
+    namespace = f"parity_{uuid4().hex}"
+    spark.sql(f"create namespace {namespace} location '{ensure_checkpoint_dir(spark)}/{namespace}'")
+    return namespace
+
+
 def _written(spark: SparkSession, folder: str) -> DataFrame:
     """A model written as a table of another environment, as it is read back."""
     tables = Tables(spark, folder)
-    namespace = f"parity_{uuid4().hex}"
-    spark.sql(f"create namespace {namespace} location '{ensure_checkpoint_dir(spark)}/{namespace}'")
     model = MODELS["hub_binance_trade"]
     rows = model.build(*[tables[t] for t in model.reads], "parity run")
-    name = write_layer(rows, model.layer, "hub_binance_trade", model.sort_by, "test", namespace, model.unique_key)
+    name = write_model(rows, "hub_binance_trade", "test", _some_namespace(spark))
     loaded = F.expr("load_dts is not null and load_dts <= current_timestamp() as loaded")
     return spark.table(name).select("pk_binance_trade", "bk_binance_trade", "record_source", loaded)
 
 
+def _written_by_time(spark: SparkSession, folder: str) -> DataFrame:
+    """A fact table in many files, by ranges of time, as it is read back."""
+    tables = Tables(spark, folder)
+    name = write_model(tables["fact_bybit_trade"], "fact_bybit_trade", "test", _some_namespace(spark), target_bytes=100_000)
+    return comparable(spark.table(name))
+
+
+def _written_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions with their balance, joined from two written tables that lie by the hash of their key."""
+    tables, namespace = Tables(spark, folder), _some_namespace(spark)
+    names = MODELS["fact_binance_transaction"].reads
+    written = [write_model(tables[name], name, "test", namespace, bucket_rows=2_000) for name in names]
+    return comparable(marts.fact_binance_transaction(*[spark.table(name) for name in written], "run"))
+
+
 def _keys_normalised(t: Tables) -> DataFrame:
     """Trades with an order, when both sides of each key are spelled alike."""
     trades, orders = t["bybit_trades"], t["bybit_orders"]
@@ -321,6 +339,8 @@ QUERIES |= {
     "trade_from_text": _retyped("sat_bybit_trade", "bybit_trades", _as_text),
     "booking_from_decimal": _retyped("sat_kraken_transaction", "kraken_transactions", _whole_numbers),
     "written_table": _written,
+    "written_by_time": _written_by_time,
+    "written_by_key": _written_by_key,
     "keys_normalised": _query(_keys_normalised),
     "positions_normalised": _query(_positions_normalised),
     "hub_key_report": _query(_hub_key_report),

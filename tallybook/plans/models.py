@@ -26,6 +26,7 @@ class Model:
     reads: tuple[str, ...]
     build: Callable[..., DataFrame]
     sort_by: str | None
+    bucketed: bool = False
 
     @property
     def unique_key(self) -> bool:
@@ -33,6 +34,9 @@ class Model:
         return (self.sort_by or "")[:3] in ("pk_", "fk_") and self.build.__name__ not in REPEATING
 
 
+# Tables that are joined to each other by the key they describe: kept by its hash, so that the join needs no shuffle.
+BUCKETED = {"sat_binance_transaction", "calc_binance_transaction_accountbalance"}
+
 # Models without de-duplication: a key may occur in very many rows.
 REPEATING = {
     *("hub_binance_payin", "sat_binance_payin", "hub_bybit_pnl", "sat_bybit_pnl", "hub_kraken_ticker"),
@@ -41,7 +45,7 @@ REPEATING = {
 
 
 def _model(layer: str, build: Callable[..., DataFrame], sort_by: str | None, *reads: str) -> tuple[str, Model]:
-    return build.__name__, Model(layer, reads, build, sort_by)
+    return build.__name__, Model(layer, reads, build, sort_by, build.__name__ in BUCKETED)
 
 
 def _without_audit(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -120,6 +124,13 @@ MODELS: dict[str, Model] = dict(
 HUB_KEYS = {name: model.sort_by for name, model in MODELS.items() if name.startswith("hub_")}
 
 
+def write_model(rows: DataFrame, name: str, env: str = "prod", default: str = "dev", **sizes: int) -> str:
+    """Replace the table of a model, laid out as the model wants it; ``sizes`` go to :func:`write_layer`."""
+    model = MODELS[name]
+    bucket_by = model.sort_by if model.bucketed else None
+    return write_layer(rows, model.layer, name, model.sort_by, env, default, model.unique_key, bucket_by, **sizes)
+
+
 def build_tables(
     spark: SparkSession,
     read: Reader,
@@ -154,7 +165,7 @@ def build_tables(
             given = {"normalise_keys": normalise_keys, "group_rows": group_rows}
             options = {option: value for option, value in given.items() if option in known}
             rows = model.build(*[table(t) for t in model.reads], run_id, **options)
-            written.append(write_layer(rows, model.layer, name, model.sort_by, env, default, model.unique_key))
+            written.append(write_model(rows, name, env, default))
     return written
 
 

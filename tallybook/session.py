@@ -73,3 +73,9 @@ def cut_lineage_in_place(df: DataFrame) -> DataFrame:
         finally:
             conf.set("spark.sql.adaptive.enabled", adaptive)
     return df.checkpoint()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of files that nothing refers to any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from parity.catalog import Tables
-from tallybook.plans import binance, bybit, kraken
-from tallybook.plans.models import HUB_KEYS, MODELS, build_tables, check_tables
+from tallybook.plans import binance, bybit, kraken, marts
+from tallybook.plans.models import HUB_KEYS, MODELS, build_tables, check_tables, write_model
 from tallybook.sources import sink
 from tallybook.sources.schemas import SCHEMAS
 from tallybook.sources.tables import conform, parquet_reader, table_reader
@@ -173,7 +173,8 @@ def test_tables_are_written_by_layer(spark, small, tmp_path):
     assert table_reader(spark)("binance_payins").count() == read("binance_payins").count()
 
 
-def test_tables_sorted_by_a_unique_key_run_their_plan_once(spark, tmp_path):
+def counting(spark, rows):
+    """Rows, and how many were read from them so far."""
     read = spark.sparkContext.accumulator(0)
 
     def count(batches):
@@ -181,27 +182,132 @@ def test_tables_sorted_by_a_unique_key_run_their_plan_once(spark, tmp_path):
             read.add(batch.num_rows)
             yield batch
 
-    rows = spark.range(0, 5000, 1, 6).mapInArrow(count, "id bigint")
-    rows = rows.selectExpr("md5(cast(id as string)) as pk_x", "id").unionByName(spark.sql("select cast(null as string) pk_x, 0L id"))
-    sink.in_key_order(rows, "pk_x").write.parquet(str(tmp_path / "x"))
-    assert read.value == 5000
-    files = spark.read.parquet(str(tmp_path / "x")).groupBy(F.input_file_name()).agg(F.min("pk_x").alias("lo"), F.max("pk_x").alias("hi"))
-    spans = sorted((f.lo, f.hi) for f in files.collect())
-    assert len(spans) == 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    return rows.mapInArrow(count, rows.schema), read
+
+
+def spans_of(spark, table, column):
+    files = spark.table(table).groupBy(F.input_file_name().alias("f")).agg(
+        F.min(column).alias("lo"), F.max(column).alias("hi"), F.count("*").alias("n")
+    )
+    return files.orderBy("lo", "hi").collect()
+
+
+@pytest.fixture
+def home(spark, tmp_path):
+    name = f"sink_{tmp_path.name}".replace("-", "_")
+    spark.sql(f"create namespace {name} location '{tmp_path}/{name}'")
+    return name
+
+
+def sizes_of(spark, table):
+    path = sink._location(spark, table)
+    return [r.length for r in spark.read.format("binaryFile").load(path).select("length").collect()]
+
+
+@pytest.mark.parametrize(("sort_by", "unique_key"), [("at", False), ("number", False), ("name", False), ("pk_x", True)])
+def test_sorted_tables_read_their_source_once(spark, home, sort_by, unique_key):
+    rows = spark.range(0, 20_000, 1, 6).selectExpr(
+        "timestamp_seconds(1700000000 + id * 7919 % 20000) as at",
+        "cast(id * 7919 % 20000 as decimal(18,4)) / 8 as number",
+        "concat('common-', lpad(id * 7919 % 20000, 6, '0')) as name",
+        "md5(cast(id as string)) as pk_x",
+    )
+    rows, read = counting(spark, rows)
+    table = sink.write_layer(rows, "raw", "t", sort_by, "test", home, unique_key, target_bytes=50_000)
+    assert read.value == 20_000
+    spans = spans_of(spark, table, sort_by)
+    assert len(spans) > 8 and sum(s.n for s in spans) == 20_000
+    assert all(a.hi < b.lo for a, b in zip(spans, spans[1:], strict=False))
+    assert spark.table(table).exceptAll(rows).isEmpty()
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_files_are_near_the_target_size(spark, home, files):
+    """Bytes that do not shrink, so that staged and final sizes agree."""
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("id * 7919 % 40000 as at", "unhex(concat(sha2(cast(id as string), 512), sha2(cast(-id as string), 512), repeat(sha2(cast(id + 0.5 as string), 512), 3))) as body")
+    rows = rows.selectExpr("at", "body", *[f"unhex(sha2(concat(at, '-{k}'), 512)) as b{k}" for k in range(6)])
+    total = sum(sizes_of(spark, sink.write_layer(rows, "raw", "whole", "at", "test", home)))
+    table = sink.write_layer(rows, "raw", "t", "at", "test", home, target_bytes=total // files)
+    sizes = sizes_of(spark, table)
+    assert len(sizes) == pytest.approx(files, rel=0.1)
+    assert all(total / files / 2 <= size <= 2 * total / files for size in sizes)
 
 
 @pytest.mark.parametrize("other", ["id", "'a copy'"])
 def test_sort_order_splits_a_value_many_rows_share(spark, other):
     df = spark.range(0, 4000, 1, 16).selectExpr("if(id % 3 > 0, 7, id) as at", f"{other} as other")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    laid = sink.in_sort_order(df, "at", 8).withColumn("_p", F.spark_partition_id())
+    parts = laid.groupBy("_p").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").alias("n")).orderBy("_p").collect()
+    assert sum(p.n for p in parts) == 4000
+    assert all(a.hi <= b.lo for a, b in zip(parts, parts[1:], strict=False))
+    assert sum(p.lo <= 7 <= p.hi for p in parts) >= 5 and max(p.n for p in parts) <= 2 * 500
+
+
+def test_more_files_than_ranges(spark, monkeypatch):
+    monkeypatch.setattr(sink, "MAX_POINTS", 10)
+    laid = sink.in_sort_order(spark.range(20_000), "id", 40).withColumn("_p", F.spark_partition_id())
+    parts = laid.groupBy("_p").agg(F.min("id").alias("lo"), F.count("*").alias("n")).orderBy("_p").collect()
+    assert len(parts) == 40 and max(p.n for p in parts) <= 2 * 500
+
+
+@pytest.mark.parametrize("values", ["cast(null as timestamp)", "if(id % 2 = 0, null, timestamp_seconds(id))", "double('nan')", "if(id % 4 = 0, null, id / 3)", "repeat('é', cast(id % 9 as int))", "array(id)", "id > 30", "''"])
+def test_odd_sort_columns(spark, values):
+    df = spark.range(200).selectExpr(f"{values} as x", "id")
+    laid = sink.in_sort_order(df, "x", 5)
+    assert sorted(r.id for r in laid.collect()) == list(range(200))
+    assert sink.in_sort_order(df.limit(0), "x", 3).count() == 0
+
+
+def test_a_failing_write_leaves_the_old_table(spark, home):
+    good = spark.range(100).selectExpr("id", "md5(cast(id as string)) as pk_x")
+    bad = spark.range(100).selectExpr("if(id = 77, raise_error('broken'), id) as id", "md5(cast(id as string)) as pk_x")
+    for sort_by, unique, bucket in (("id", False, None), ("pk_x", True, None), (None, False, None), ("pk_x", True, "pk_x")):
+        name = f"t_{sort_by}_{bucket}".lower()
+        table = sink.write_layer(good, "raw", name, sort_by, "test", home, unique, bucket)
+        files = set(spark.table(table).inputFiles())
+        with pytest.raises(Exception, match="broken"):
+            sink.write_layer(bad, "raw", name, sort_by, "test", home, unique, bucket)
+        assert set(spark.table(table).inputFiles()) == files
+        assert sorted(r.id for r in spark.table(table).collect()) == list(range(100))
+    assert not [t.name for t in spark.catalog.listTables(home) if "__" in t.name]
+
+
+def test_a_write_that_fails_when_the_rows_are_laid_out(spark, home, monkeypatch):
+    """The rows are staged, then the second step breaks."""
+    table = sink.write_layer(spark.range(10), "raw", "t", "id", "test", home)
+    monkeypatch.setattr(sink, "in_sort_order", lambda df, by, files: df.selectExpr("if(id = 5, raise_error('late'), id) as id"))
+    with pytest.raises(Exception, match="late"):
+        sink.write_layer(spark.range(20), "raw", "t", "id", "test", home)
+    assert spark.table(table).count() == 10
+
+
+def test_replacing_swaps_files_and_keeps_no_old_ones(spark, home, tmp_path):
+    for rows in (spark.range(10), spark.range(20), spark.range(5).withColumn("more", F.lit("x"))):
+        table = sink.write_layer(rows, "raw", "t", "id", "test", home)
+        assert spark.table(table).exceptAll(rows).isEmpty() and spark.table(table).count() == rows.count()
+        assert spark.table(table).columns == rows.columns
+    assert len(list((tmp_path / home).iterdir())) == 1
+    spark.range(3).write.mode("overwrite").saveAsTable(f"{home}.managed")
+    sink.replace_table(spark.range(4), f"{home}.managed")
+    assert spark.table(f"{home}.managed").count() == 4
+
+
+def test_tables_by_hash_of_a_key_join_without_a_shuffle(spark, small):
+    from tests.test_plans import plan
+
+    tables, home = Tables(spark, small), "colocated"
+    for name in ("sat_binance_transaction", "calc_binance_transaction_accountbalance"):
+        write_model(tables[name], name, "test", home, bucket_rows=500)
+    read = [spark.table(f"{home}.{name}") for name in MODELS["fact_binance_transaction"].reads]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        laid = sink.in_sort_order(df, "at").withColumn("_p", F.spark_partition_id())
-        parts = laid.groupBy("_p").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).orderBy("_p").collect()
-        assert laid.count() == 4000
+        joined = marts.fact_binance_transaction(*read, "run")
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text and "SelectedBucketsCount" in text
+        assert joined.count() == tables["sat_binance_transaction"].count()
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert all(a.hi <= b.lo for a, b in zip(parts, parts[1:], strict=False))
-    assert sum(p.lo <= 7 <= p.hi for p in parts) > 1
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_every_hub_has_a_checked_key():
