@@ -108,3 +108,49 @@ def test_edge_cases(edge_documents, no_documents, vocabulary):
     counted = token_counts.count_tokens(edge_documents).collect()
     assert sorted((r.doc_id or -1, r.n_pre_tokens) for r in counted) == sorted((k, len(pieces.PRE_TOKEN.findall(x))) for k, x in texts)
     assert sampling.encode(no_documents).count() == token_counts.count_tokens(no_documents).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(TEXT, max_size=5))
+def test_long_words_alone_give_what_the_shared_trie_gives(vocabulary, texts):
+    keys = list(range(len(texts)))
+    ids, sizes = sampling.sampled_ids(texts, keys, vocabulary, 42)
+    distinct, _, _ = pieces.numbered(texts)
+    counts = token_counts.terminal_counts(distinct, vocabulary)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pieces, "LONG", 2)
+        alone, alone_sizes = sampling.sampled_ids(texts, keys, vocabulary, 42)
+        assert alone.tolist() == ids.tolist() and alone_sizes.tolist() == sizes.tolist()
+        assert token_counts.terminal_counts(distinct, vocabulary).tolist() == counts.tolist()
+
+
+def peak_mb(call) -> float:
+    import tracemalloc
+
+    tracemalloc.start()
+    call()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_memory_of_one_very_long_word(vocabulary):
+    """About 40 bytes a character at most, so 20 million of them fit a gigabyte; counting needs next to nothing."""
+    word = "Zm9vYmFyMDEyMzQ1Njc4" * 10_000
+    sampler, counter = sampling.Sampler(vocabulary, 42), token_counts.Counter(vocabulary)
+    sampler.ids([word[:200]], [1])  # the tries
+    assert peak_mb(lambda: sampler.ids([word], [1])) < 40e-6 * len(word) + 4
+    assert peak_mb(lambda: counter.counts([word])) < 8e-6 * len(word) + 2
+    ids, sizes = sampler.ids(["a " + word + " b", word], [1, 2])
+    assert decode(ids[: sizes[0]], vocabulary) == "a " + word + " b" and decode(ids[sizes[0] :], vocabulary) == word
+
+
+def test_steps_walk_the_trie(vocabulary):
+    steps = pieces.Steps(vocabulary)
+    for name, (piece, chance) in list(vocabulary.pieces.items())[::97]:
+        state = steps.start(np.array([ord(name[0])]))
+        for character in name[1:]:
+            state = steps.go(state, np.array([ord(character)]))
+        assert steps.piece[state[0]] == piece and steps.score[state[0]] == chance
+    assert steps.start(np.array([0x10FFFF]))[0] == -1
+    assert steps.go(steps.start(np.array([ord("t")])), np.array([0x10FFFF]))[0] == -1
