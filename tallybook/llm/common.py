@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.session import cut_lineage
@@ -13,8 +13,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Rows of a table that may be broadcast: at most this many, of a few numbers each.
-BROADCAST_ROWS = 500_000
+# A table that may be broadcast has at most so many rows, of a few numbers each, and so many bytes in arrays.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,6 +51,13 @@ def settled(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a settled table of short rows for broadcasting if it is counted to be small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, held: Column | None = None) -> DataFrame:
+    """Mark a settled table for broadcasting if it is counted to be small.
+
+    ``held`` gives the bytes of what a row holds besides a few numbers; their
+    sum is bounded as well.
+    """
+    if held is None:
+        return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    counted, size = df.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
+    return F.broadcast(df) if counted <= rows and size <= BROADCAST_BYTES else df

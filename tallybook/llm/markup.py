@@ -36,9 +36,29 @@ BLANKS = re.compile(r"\s+")
 
 
 class Block(NamedTuple):
-    path: str  # of the elements around it, from the root: tag, #id, .class and [role]
+    element: int  # the element around it
     text: str
-    begun: tuple[str, ...] = ()  # paths of the elements around it that hold no earlier block
+    begun: tuple[int, ...] = ()  # the elements around it that hold no earlier block
+
+
+class Page(NamedTuple):
+    """Blocks of text, and the elements around them, those of one path as one.
+
+    An element is a place in ``steps`` (tag, #id, .class and [role]) and
+    ``parents``; the parent comes first, and element 0 is the whole page.
+    """
+
+    parents: list[int]
+    steps: list[str]
+    blocks: list[Block]
+
+    def path(self, element: int) -> str:
+        """The steps from the root, as text."""
+        steps = []
+        while element:
+            steps.append(self.steps[element])
+            element = self.parents[element]
+        return ">".join(reversed(steps))
 
 
 def _step(tag: str, attrs: str) -> str:
@@ -66,7 +86,7 @@ def tag_of(step: str) -> str:
     return re.split(r"[#.\[]", step, maxsplit=1)[0]
 
 
-def blocks(page: str, apart: Callable[[set[str]], bool] = lambda names: False) -> list[Block]:
+def parsed(page: str, apart: Callable[[set[str]], bool] = lambda names: False) -> Page:
     """The text blocks of a page in order.
 
     A block ends where a tag that is not inline begins or ends, also at <br>;
@@ -74,65 +94,91 @@ def blocks(page: str, apart: Callable[[set[str]], bool] = lambda names: False) -
     Its white space is collapsed and its character references are decoded.
     Comments, scripts, styles and other raw elements are no text.
     """
-    found: list[Block] = []
-    stack: list[tuple[str, str]] = []  # open elements: tag, path (that of the parent if inline and without a name)
-    parts: list[str] = []
-    done = 0  # so many of the open elements hold a block
-
-    def flush() -> None:
-        nonlocal done
-        text = BLANKS.sub(" ", html.unescape("".join(parts))).strip()
-        if text:
-            begun = (stack[k][1] for k in range(done, len(stack)) if stack[k][1] != (stack[k - 1][1] if k else ""))
-            found.append(Block(stack[-1][1] if stack else "", text, tuple(begun)))
-            done = len(stack)
-        parts.clear()
-
+    reader = _Reader(apart)
     at = 0
     while token := TOKEN.search(page, at):
-        parts.append(page[at : token.start()])
+        reader.parts.append(page[at : token.start()])
         at = token.end()
         tag = (token["tag"] or "").lower()
         if not tag:
             continue
         if token["close"]:
-            _close(tag, stack, flush)
-            done = min(done, len(stack))
+            reader.close(tag)
         elif tag in RAW:
             if not token["attrs"].endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
         elif tag in VOID:
             if tag not in INLINE:
-                flush()
+                reader.flush()
         else:
-            _open(tag, token["attrs"], apart, stack, flush)
-            done = min(done, len(stack) - 1)
-    parts.append(page[at:])
-    flush()
-    return found
-
-
-def _open(tag: str, attrs: str, apart: Callable[[set[str]], bool], stack: list[tuple[str, str]], flush) -> None:
-    step = _step(tag, attrs)
-    if tag in INLINE and not apart(names(step)):
-        stack.append((tag, stack[-1][1] if stack else ""))
-        return
-    flush()
-    if tag not in INLINE:
-        ended = next((k for k, (x, _) in reversed([*enumerate(stack)]) if x not in INLINE), None)
-        if ended is not None and tag in CLOSED_BY.get(stack[ended][0], ()):
-            del stack[ended:]
-    stack.append((tag, f"{stack[-1][1]}>{step}" if stack and stack[-1][1] else step))
-
-
-def _close(tag: str, stack: list[tuple[str, str]], flush) -> None:
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k][0] == tag:
-            above = stack[k - 1][1] if k else ""
-            if tag not in INLINE or stack[k][1] != above:
-                flush()
-            del stack[k:]
+            reader.open(tag, token["attrs"])
+    reader.parts.append(page[at:])
+    reader.flush()
+    return reader.page
+
+
+class _Open(NamedTuple):
+    tag: str
+    element: int  # that of the one around it if inline and without a name
+    block: int  # place of the innermost open element that is not inline, up to this one; -1 if there is none
+
+
+class _Reader:
+    """Open elements while a page is read; each tag costs the same however deep it stands."""
+
+    def __init__(self, apart: Callable[[set[str]], bool]):
+        self.page, self.parts = Page([-1], [""], []), []
+        self._apart = apart
+        self._stack: list[_Open] = []
+        self._places: dict[str, list[int]] = {}  # of the open elements by tag
+        self._known: dict[tuple[int, str], int] = {}
+        self._done = 0  # so many of the open elements hold a block
+
+    def flush(self) -> None:
+        text = BLANKS.sub(" ", html.unescape("".join(self.parts))).strip()
+        self.parts.clear()
+        if text:
+            stack = self._stack
+            begun = [x.element for k, x in enumerate(stack[self._done :], self._done) if x.element != (stack[k - 1].element if k else 0)]
+            self.page.blocks.append(Block(stack[-1].element if stack else 0, text, tuple(begun)))
+            self._done = len(stack)
+
+    def open(self, tag: str, attrs: str) -> None:
+        step, inline, around = _step(tag, attrs), tag in INLINE, self._stack[-1] if self._stack else _Open("", 0, -1)
+        if inline and not self._apart(names(step)):
+            self._push(tag, around.element, around.block)
+            return
+        self.flush()
+        if not inline:
+            if around.block >= 0 and tag in CLOSED_BY.get(self._stack[around.block].tag, ()):
+                self._cut(around.block)
+                around = self._stack[-1] if self._stack else _Open("", 0, -1)
+        key = around.element, step
+        if key not in self._known:
+            self._known[key] = len(self.page.steps)
+            self.page.parents.append(around.element)
+            self.page.steps.append(step)
+        self._push(tag, self._known[key], around.block if inline else len(self._stack))
+        self._done = min(self._done, len(self._stack) - 1)
+
+    def close(self, tag: str) -> None:
+        places = self._places.get(tag)
+        if not places:
             return
-        if tag in INLINE and stack[k][0] not in INLINE:
+        k, inline = places[-1], tag in INLINE
+        if inline and self._stack[-1].block > k:
             return  # an inline element does not end the block it stands around
+        if not inline or self._stack[k].element != (self._stack[k - 1].element if k else 0):
+            self.flush()
+        self._cut(k)
+
+    def _push(self, tag: str, element: int, block: int) -> None:
+        self._places.setdefault(tag, []).append(len(self._stack))
+        self._stack.append(_Open(tag, element, block))
+
+    def _cut(self, k: int) -> None:
+        for x in self._stack[k:]:
+            self._places[x.tag].pop()
+        del self._stack[k:]
+        self._done = min(self._done, k)

@@ -37,3 +37,8 @@ def counted(rows) -> dict:
     for row in rows:
         found[tuple(row)] = found.get(tuple(row), 0) + 1
     return found
+
+
+@pytest.fixture(scope="session")
+def large():
+    return "/root/testdata/sf0.1"

@@ -6,13 +6,13 @@ import re
 import pytest
 
 from tallybook.llm import template
-from tallybook.llm.markup import blocks
+from tallybook.llm.markup import parsed
 from tallybook.llm.queries import QUERIES
 from tallybook.llm.template import main_text
 
 
 def texts(page: str) -> list[str]:
-    return [b.text for b in blocks(page, lambda names: "ad" in names)]
+    return [b.text for b in parsed(page, lambda names: "ad" in names).blocks]
 
 
 @pytest.mark.parametrize(
@@ -75,7 +75,7 @@ def pages_of(spark, rows):
 def test_template_of_a_host_without_article(spark):
     pages = pages_of(spark, [(k, f"http://plain.example.org/{k}", BARE.format(n=k)) for k in range(8)])
     (row,) = template.templates(pages).collect()
-    assert row.host == "plain.example.org" and row.root.endswith("div.c1>div.c2") and len(row.fixed) == 2
+    assert row.host == "plain.example.org" and len(row.fixed) == 2
     found = {r.page_id: r.text for r in template.extract(pages).collect()}
     assert found == {
         k: f"Story {k}\nIt was day {k} and many things went on in the city, of which this story tells.\nNobody knew {k} of them, or so it is said by all."
@@ -92,14 +92,14 @@ def test_copies_of_a_page_keep_their_article(spark):
 def test_classes_that_do_not_nest_are_no_slots(spark):
     """Class 3 has elements in slots of classes 1 and 2; class 4 has an element inside its own."""
     classes = {"html": 1, "html>body": 1, "html>body>a": 2, "html>body>a>x": 3, "html>body>x": 3, "html>body>a>y": 4, "html>body>a>y>z": 4}
-    rows = [("h", path, template._path_token(path), 1, number) for path, number in classes.items()]
-    elements = spark.createDataFrame(rows, "host string, path string, text bigint, prose bigint, class bigint")
+    rows = [("h", hash(path), hash(path.rpartition(">")[0]), 1, number) for path, number in classes.items()]
+    elements = spark.createDataFrame(rows, "host string, token bigint, parent bigint, prose bigint, class bigint")
     assert {r["class"] for r in template._nested(elements).collect()} == {1, 2, 4}
 
 
 def test_elements_are_counted_by_their_tags():
-    page = blocks("<div><p>a<br>b</p><p>c <b>d</b></p></div><div>e</div>")
-    assert [b.begun for b in page] == [("div", "div>p"), (), ("div>p",), ("div",)]
+    page = parsed("<div><p>a<br>b</p><p>c <b>d</b></p></div><div>e</div>")
+    assert [tuple(map(page.path, b.begun)) for b in page.blocks] == [("div", "div>p"), (), ("div>p",), ("div",)]
 
 
 NAMED = """<body><div class="story"><div class="c7">{a}</div></div><div class="bar">All the stories of this site are our own.</div></body>"""
@@ -155,6 +155,56 @@ def test_query_against_a_plain_reading(spark, medium):
         assert r.text == "\n".join(x for x in parts if x) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
 
 
+RENAMED = {"article": "c3", "nav": "c1", "footer": "c4"}
+
+
+def renamed(page: str) -> str:
+    """The page with neutral elements for those whose names tell what they are."""
+    for tag, name in RENAMED.items():
+        page = page.replace(f"<{tag}>", f'<div class="{name}">').replace(f"</{tag}>", "</div>")
+    return page.replace('<div class="ad">', '<div class="c2">')
+
+
+def test_pages_without_telling_names(spark, large):
+    """The article comes from the slots; without a template the names would be needed."""
+    pages = spark.read.parquet(f"{large}/pages.parquet").select("page_id", "url", "html")
+    named = {r.page_id: r.text for r in template.extract(pages).collect()}
+    rows = [(r.page_id, r.url, renamed(r.html)) for r in pages.collect()]
+    neutral = spark.createDataFrame(rows, pages.schema).repartition(8)
+    found = {r.page_id: r.text for r in template.extract(neutral).collect()}
+    assert len(found) == len(named) == 2500
+    right = sum(found[k] == named[k] for k in named)
+    assert right >= 0.95 * len(named), right
+    alone = sum(main_text(html) == named[k] for k, _, html in rows)
+    assert alone < 0.05 * len(named)
+
+
+def test_the_host_tells_where_a_short_article_is(spark):
+    """On one page the text beside the article is longer than the article."""
+    long = "This is a sentence of the article with number {n}, and there are more of its kind. " * 6
+    frame = '<body><div class="a"><p>{article}</p></div><div class="b">Buy thing {n} today, it is cheap and it lasts for ever</div></body>'
+    rows = [(k, f"http://short.example.org/{k}", frame.format(article=long.format(n=k), n=k)) for k in range(8)]
+    rows.append((9, "http://short.example.org/9", frame.format(article="Only a few words here.", n=9)))
+    found = {r.page_id: r.text for r in template.extract(pages_of(spark, rows)).collect()}
+    assert found[9] == "Only a few words here." and found[3] == long.format(n=3).strip()
+    assert main_text(rows[-1][2]) != found[9]
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<div>x", "<b>", "<div><p>a b c d e f", "<b><p></p>", "</i></section>", "<ul><li>"])
+def test_deeply_nested_and_stray_tags(unit):
+    import time
+    import tracemalloc
+
+    page = "<i>" + unit * (50_000 // unit.count("<")) + "the end of all of this"
+    started = time.perf_counter()
+    text = main_text(page)
+    assert time.perf_counter() - started < 6 and text.endswith("the end of all of this")
+    tracemalloc.start()
+    main_text(page)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
 def test_edge_cases(spark):
     rows = [(None, None, None), (1, "http://a.example/", ""), (1, "http://a.example/", ""), (2, "no url", "<p>x</p>"), (3, None, PAGE.format(n=3))]
     rows += [(4, "http://a.example/", "<p>" + "long text " * 200_000), (5, "http://a.example/", "<<<>>>&&&")]
