@@ -32,24 +32,24 @@ def _shortened(x: str, scale: int) -> str:
     return f"if(instr({x}, '.') > 0, substring({x}, 1, instr({x}, '.') + {scale}), {x})"
 
 
-def _plain(x: str) -> str:
-    """Text with an exponent in plain notation: its point is moved in the text, so no digit is lost."""
+def _plain(x: str, scale: int) -> str:
+    """Text with an exponent in plain notation, without the digits behind ``scale``.
+
+    Its point is moved in the text, so no digit is lost: the digits stand
+    between zeros enough for any exponent, and the point is set among them.
+    """
 
     def part(pattern: str) -> str:
         return f"regexp_extract({x}, '{pattern}', 1)"
 
+    whole, behind = part("([0-9]*)[.]?[0-9]*[eE]"), part("[.]([0-9]*)[eE]")
+    beyond = f"if({x} rlike '[eE]-', -{LARGEST_EXPONENT}, {LARGEST_EXPONENT})"
+    power = f"coalesce(try_cast({part('[eE]([+-]?[0-9]+)')} as int), {beyond})"
+    zeros = f"repeat('0', {LARGEST_EXPONENT})"
+    digits = f"concat({zeros}, {whole}, {behind}, {zeros})"
+    point = f"({LARGEST_EXPONENT} + length({whole}) + greatest(-{LARGEST_EXPONENT}, least({LARGEST_EXPONENT}, {power})))"
     sign = part("^[^0-9.]*([-])")
-    mantissa = part("([0-9.]+)[eE]")
-    whole = f"substring_index({mantissa}, '.', 1)"
-    digits = f"replace({mantissa}, '.', '')"
-    written = part("[eE]([+-]?[0-9]+)")
-    beyond = f"if(startswith({written}, '-'), -{LARGEST_EXPONENT}, {LARGEST_EXPONENT})"
-    power = f"coalesce(try_cast({written} as int), {beyond})"
-    bounded = f"greatest(-{LARGEST_EXPONENT}, least({LARGEST_EXPONENT}, {power}))"
-    point = f"(length({whole}) + {bounded})"
-    ahead = f"if({point} > 0, substring(rpad({digits}, greatest({point}, length({digits})), '0'), 1, {point}), '0')"
-    behind = f"if({point} > 0, substring({digits}, {point} + 1), concat(repeat('0', -{point}), {digits}))"
-    return f"concat({sign}, {ahead}, '.', {behind})"
+    return f"concat({sign}, substring({digits}, 1, {point}), '.', substring({digits}, {point} + 1, {scale}))"
 
 
 def from_text(x: str, precision: int, scale: int, on_error: str = "raise") -> str:
@@ -62,7 +62,7 @@ def from_text(x: str, precision: int, scale: int, on_error: str = "raise") -> st
     cast, kind = CASTS[on_error], f"decimal({precision},{scale})"
     return (
         f"case when {_whole(x, NUMBER)} then {cast}({_shortened(x, scale)} as {kind}) "
-        f"when {_whole(x, NUMBER + EXPONENT)} then {cast}({_shortened(_plain(x), scale)} as {kind}) "
+        f"when {_whole(x, NUMBER + EXPONENT)} then {cast}({_plain(x, scale)} as {kind}) "
         f"else {cast}(concat('not a number: ', {x}) as {kind}) end"
     )
 
