@@ -19,9 +19,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import settled
+from tallybook.llm.common import let, settled
 
 START, END = "<|im_start|>", "<|im_end|>"
+ESCAPED = r"<(\\*)\\\|"
 LOSS_ROLE = "assistant"
 
 
@@ -30,7 +31,7 @@ def escaped(text: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    return F.regexp_replace(text, r"<(\\*)\\\|", "<$1|")
+    return F.regexp_replace(text, ESCAPED, "<$1|")
 
 
 def _role(role: Column) -> Column:
@@ -141,6 +142,33 @@ def parsed(text: Column) -> Column:
     )
 
 
-def loss_text(text: Column, spans: Column) -> Column:
-    """All that the loss counts, unescaped and joined."""
-    return F.array_join(F.transform(spans, lambda s: unescaped(F.substr(text, s["start"].cast("int"), s["length"].cast("int")))), "")
+def _ahead(lengths: str) -> str:
+    """SQL for the sums ahead of each number of an array, by sums within and over blocks of about the root of its size.
+
+    An array grows by copying it, so a plain running sum would be quadratic.
+    """
+    blocks = f"transform(sequence(0, size({lengths}) - 1, step), at -> slice({lengths}, at + 1, step))"
+    running = "aggregate(block, array(0L), (sums, x) -> concat(sums, array(element_at(sums, -1) + x)))"
+    over = "aggregate(within, array(0L), (sums, block) -> concat(sums, array(element_at(sums, -1) + element_at(block, -1))))"
+    moved = "transform(slice(block, 1, size(block) - 1), x -> x + before)"
+    summed = let(over, "totals", f"flatten(zip_with(within, slice(totals, 1, size(within)), (block, before) -> {moved}))")
+    summed = let(f"transform({blocks}, block -> {running})", "within", summed)
+    return let(f"cast(ceil(sqrt(size({lengths}))) as int)", "step", f"if(size({lengths}) = 0, cast(array() as array<bigint>), {summed})")
+
+
+def loss_text(text: str, spans: str) -> Column:
+    """All that the loss counts, unescaped and joined.
+
+    The text is cut into its turns once, and the lengths ahead of a turn tell
+    where its text stands, so no span walks the text from its beginning.  The
+    spans must be the texts of the turns the loss counts, else this raises.
+    """
+    turns = f"filter(split({text}, r'<\\|im_end\\|>\\n'), x -> x <> '')"
+    counted = f"filter(zip_with(turns, starts, (t, s) -> struct(t, s)), x -> startswith(x.t, '{START}{LOSS_ROLE}\\n'))"
+    places = "transform(counted, x -> struct(x.s + instr(x.t, '\\n') + 1 as start, cast(length(x.t) - instr(x.t, '\\n') as bigint) as length))"
+    plain = f"regexp_replace(substr(x.t, instr(x.t, '\\n') + 1), r'{ESCAPED}', '<$1|')"
+    body = f"if({places} = {spans}, array_join(transform(counted, x -> {plain}), ''), raise_error('a span is not the text of a turn'))"
+    body = let(counted, "counted", body)
+    body = let(_ahead("lengths"), "starts", body)
+    body = let(f"transform(turns, x -> length(x) + {len(END) + 1}L)", "lengths", body)
+    return F.expr(let(turns, "turns", body))

@@ -80,8 +80,7 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(PLANTED).alias("text"),
     )
     rows = chat.formatted(chat.threaded(turns.unionByName(planted)))
-    rows = rows.withColumn("turns", chat.parsed(F.col("formatted")))
-    rows = rows.withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans")))
+    rows = rows.withColumn("turns", chat.parsed(F.col("formatted"))).withColumn("loss", chat.loss_text("formatted", "loss_spans"))
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return rows.select(
         "conv_id",
