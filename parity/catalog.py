@@ -158,6 +158,18 @@ def _fx_shuffled(t: Tables) -> DataFrame:
     return rated.select("fk_kraken_position", "fill_at", "fx_rate")
 
 
+def _fx_from_grid(t: Tables) -> DataFrame:
+    """The same from a grid of minutes."""
+    found = rates.rated(t["sat_kraken_position"], _kraken_rates(t), "fill_at", rates.GRID_BYTES)
+    return found.select("fk_kraken_position", "fill_at", "fx_rate")
+
+
+def _profit_from_grid(t: Tables) -> DataFrame:
+    base = business.bybit_base(t["sat_bybit_trade"], t["sat_bybit_kline"], rates.GRID_BYTES)
+    matched = fifo.fifo_profit(base, sizes_from=t["bybit_trades"])
+    return matched.select("fk_bybit_trade", "symbol", "quantity", *fifo.PNL_COLUMNS)
+
+
 def _kraken_rates(t: Tables) -> DataFrame:
     return rates.rates_by_minute(t["sat_kraken_ohlc"], "ohlc_at")
 
@@ -321,6 +333,8 @@ QUERIES |= {
     "scalar_functions": _query(_scalar_functions),
     "fx_at_minute": _query(_fx_at_minute),
     "fx_at_minute_shuffled": _query(_fx_shuffled),
+    "fx_from_grid": _query(_fx_from_grid),
+    "fifo_match_from_grid": _query(_profit_from_grid),
     "without_rate": _query(_without_rate),
     "signed_position": _query(_signed_position(GROUP_ROWS)),
     "signed_position_in_parts": _query(_signed_position(SMALL_GROUP)),

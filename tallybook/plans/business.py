@@ -10,7 +10,7 @@ from tallybook.operators.balance import running_balance
 from tallybook.operators.fifo import fifo_profit
 from tallybook.operators.ordered import GROUP_ROWS
 from tallybook.operators.position import signed_quantity
-from tallybook.operators.rates import divided, fx_at_minute, multiplied, rates_by_minute
+from tallybook.operators.rates import divided, multiplied, rated, rates_by_minute
 
 ACCOUNT = ["wallet", "coin"]
 
@@ -35,11 +35,11 @@ def calc_binance_transaction_accountbalance(
     return with_audit(balances.select("fk_binance_transaction", "accountbalance"), run_id)
 
 
-def bybit_base(trades: DataFrame, klines: DataFrame) -> DataFrame:
+def bybit_base(trades: DataFrame, klines: DataFrame, grid_bytes: int | None = None) -> DataFrame:
     """Trades with signed quantity and with price and fee in EUR."""
     candles = klines.filter("symbol = 'USDTEUR' and kline_interval = '1m'")
-    rated = fx_at_minute(trades, rates_by_minute(candles, "kline_start_at"), "trade_at")
-    return rated.selectExpr(
+    priced = rated(trades, rates_by_minute(candles, "kline_start_at"), "trade_at", grid_bytes)
+    return priced.selectExpr(
         "fk_bybit_trade",
         "symbol",
         "trade_at",
@@ -58,24 +58,28 @@ def calc_bybit_pnl_per_trade(
     klines: DataFrame,
     group_rows: int = GROUP_ROWS,
     sizes_from: DataFrame | None = None,
+    grid_bytes: int | None = None,
 ) -> DataFrame:
-    """Realised profit per trade in USDT and EUR; fees are not subtracted."""
-    base = bybit_base(trades, klines)
+    """Realised profit per trade in USDT and EUR; fees are not subtracted.
+
+    With ``grid_bytes`` rates are looked up in a grid of the candles' minutes, if it is no larger.
+    """
+    base = bybit_base(trades, klines, grid_bytes)
     return fifo_profit(base, group_rows=group_rows, sizes_from=trades if sizes_from is None else sizes_from)
 
 
 def calc_kraken_pnl_per_trade(
-    positions: DataFrame, ohlc: DataFrame
+    positions: DataFrame, ohlc: DataFrame, grid_bytes: int | None = None
 ) -> DataFrame:
     """Profit as reported by the exchange, converted at the closing minute."""
     candles = ohlc.filter("symbol = 'PF_EURUSD'")
-    rated = fx_at_minute(positions, rates_by_minute(candles, "ohlc_at"), "fill_at")
+    priced = rated(positions, rates_by_minute(candles, "ohlc_at"), "fill_at", grid_bytes)
     fee = "cast(coalesce(fee, 0) - coalesce(realized_funding, 0) as decimal(18,8))"
     profit = "cast(coalesce(realized_pnl, 0) as decimal(18,8))"
     # The names of update reasons.
     reasons = "when 'fundingRealisation' then 'Funding' when 'trade' then 'Trade' else update_reason"
     moved = "when 1 then 'Buy' when -1 then 'Sell' else 'Funding'"
-    return rated.selectExpr(
+    return priced.selectExpr(
         "fk_kraken_position as fk_kraken_trade",
         "contract as symbol",
         "fill_at as trade_at",

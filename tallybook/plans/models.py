@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallybook.functions.keys import new_run_id
 from tallybook.operators.checks import key_report
 from tallybook.operators.ordered import GROUP_ROWS
+from tallybook.operators.rates import GRID_BYTES
 from tallybook.plans import binance, business, bybit, kraken, marts
 from tallybook.session import prepare
 from tallybook.sources.sink import table_name, write_layer
@@ -140,12 +141,13 @@ def build_tables(
     run_id: str | None = None,
     normalise_keys: bool = False,
     group_rows: int = GROUP_ROWS,
+    grid_bytes: int | None = GRID_BYTES,
 ) -> list[str]:
     """Rebuild the named models (all by default) as tables.
 
     ``read`` returns an export by name.  Models read the tables of the models
-    ahead of them, which therefore have to exist.  ``normalise_keys`` and
-    ``group_rows`` go to the models that know them.
+    ahead of them, which therefore have to exist.  ``normalise_keys``,
+    ``group_rows`` and ``grid_bytes`` go to the models that know them.
     """
     prepare(spark)
     run_id = run_id or new_run_id()
@@ -162,7 +164,7 @@ def build_tables(
     for name, model in MODELS.items():
         if name in wanted:
             known = signature(model.build).parameters
-            given = {"normalise_keys": normalise_keys, "group_rows": group_rows}
+            given = {"normalise_keys": normalise_keys, "group_rows": group_rows, "grid_bytes": grid_bytes}
             options = {option: value for option, value in given.items() if option in known}
             rows = model.build(*[table(t) for t in model.reads], run_id, **options)
             written.append(write_model(rows, name, env, default))

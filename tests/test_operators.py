@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallybook.operators import checks
+from tallybook.operators import checks, rates
 from tallybook.operators.balance import running_balance
 from tallybook.operators.dedup import keep_one
 from tallybook.operators.fifo import fifo_lots, fifo_profit
@@ -194,12 +194,55 @@ def test_missing_candle_drops_the_trade_before_positions(spark):
         "cast(at as timestamp) as kline_start_at",
         "cast(0.90019999 as decimal(18,8)) as close_price",
     )
-    for rates in (klines, klines.hint("merge")):
-        rows = calc_bybit_pnl_per_trade(sat, rates).collect()
+    for candles, grid_bytes in ((klines, None), (klines.hint("merge"), None), (klines, rates.GRID_BYTES)):
+        rows = calc_bybit_pnl_per_trade(sat, candles, grid_bytes=grid_bytes).collect()
         assert [(r.fk_bybit_trade, r.quantity, r.realized_pnl) for r in rows] == [("b", D(-1), D(0))]
         assert rows[0].price_eur == D("9.9011") and rows[0].fee_amount_eur == D("0.11107234")
 
 
+def candles_of(spark, minutes):
+    """A rate a minute (from 2024-01-01 on), and rows in minutes with and without one."""
+    rates = spark.createDataFrame([(m, str(1 + m / 10_000)) for m in minutes], "m bigint, x string").selectExpr(
+        "timestamp '2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(m as int)) as _rate_at", "cast(x as decimal(9,4)) as fx_rate"
+    )
+    rows = spark.range(0, 4400, 7).selectExpr(
+        "id", "timestamp '2023-12-31 22:00:00' + make_dt_interval(0, 0, cast(id as int), id % 60 + 0.5) as at"
+    )
+    return rates, rows.unionByName(spark.sql("select -1L as id, cast(null as timestamp) as at"))
+
+
+def test_rates_from_a_grid_are_those_of_the_join(spark):
+    from tests.test_plans import plan
+
+    odd, rows = candles_of(spark, [m for m in range(3000) if m % 13 and not 700 < m < 900])
+    off_grid = odd.unionByName(spark.sql("select timestamp '2024-01-01 00:13:30' as _rate_at, cast(9 as decimal(9,4)) as fx_rate"))
+    grid = rates.minute_grid(off_grid)
+    assert grid.selectExpr("size(_rates) as n").distinct().collect() == [(1440,)]
+    joined = Counter(map(tuple, rates.fx_at_minute(rows, off_grid, "at").collect()))
+    looked_up = rates.fx_from_grid(rows, grid, "at")
+    assert Counter(map(tuple, looked_up.collect())) == joined and 0 < sum(joined.values()) < rows.count()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(rates.rated(rows, off_grid, "at", rates.GRID_BYTES))
+        assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+        assert "SortMergeJoin" in plan(rates.rated(rows, off_grid, "at"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_no_grid_beyond_its_bytes_or_with_two_rates_a_minute(spark):
+    odd, rows = candles_of(spark, range(0, 4000, 3))
+    a_day = rates.DAY_MINUTES * rates.RATE_BYTES
+    assert rates.minute_grid(odd, 2 * a_day) is None and rates.minute_grid(odd, 3 * a_day) is not None
+    twice = odd.unionByName(odd.limit(5).selectExpr("_rate_at", "cast(7 as decimal(9,4)) as fx_rate"))
+    assert rates.minute_grid(twice) is None
+    expected = Counter(map(tuple, rates.fx_at_minute(rows, twice, "at").collect()))
+    assert Counter(map(tuple, rates.rated(rows, twice, "at", rates.GRID_BYTES).collect())) == expected
+    empty = rates.minute_grid(odd.limit(0))
+    assert empty is not None and rates.fx_from_grid(rows, empty, "at").count() == 0
+
+
 def test_balance_ties_share_one_total(spark):
     rows = [("w", "c", 1, "5"), ("w", "c", 1, "5"), ("w", "c", 1, "7"), ("w", "c", 0, "-1"), ("w", None, 1, "2")]
     df = spark.createDataFrame(rows, "wallet string, coin string, at int, x string")
