@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm import decision_list, sampling, simhash, toxicity, winnowing
 from tallybook.llm.common import table
-from tallybook.session import ensure_checkpoint_dir
+from tallybook.session import ensure_checkpoint_dir, remove_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go; a shared word or two is no passage."""
     return winnowing.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -50,12 +50,20 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None  # the stages learn, hash and sample in ways SQL does not have
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written to the shared folder and read again."""
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over ``documents``; each is written and read again.
+
+    In a ``folder`` the caller names all stages' outputs stay; else they go to
+    the shared folder, and each but the last is removed once the next is written.
+    """
     docs = table(spark, sf_dir, "documents")
-    folder = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid4().hex}"
+    own = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid4().hex}"
+    before = None
     for number, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}-{name}"
+        path = f"{folder or own}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before and not folder:
+            remove_folder(spark, before)
+        before = path
     return docs

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tallybook.llm.common import LOWER, UPPER, broadcast_if_small, grams_of, let, quoted, settled
 
 WINDOW = 10
+LEAST_WORDS = 8  # of a window that condemns a document
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -129,9 +130,14 @@ def contamination(documents: DataFrame, items: DataFrame, window: int = WINDOW)
     )
 
 
-def decontaminated(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that hold no window of an item, with all their columns."""
+def decontaminated(documents: DataFrame, items: DataFrame, window: int = WINDOW, least: int = LEAST_WORDS) -> DataFrame:
+    """The documents that hold no window of an item of ``least`` words or more, with all their columns.
+
+    An item of fewer words is one window, and a word or two, such as a short
+    answer, stand in very many documents that have nothing of the benchmark.
+    """
     marked = documents.select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    found = settled(hits(marked, items, window, ("doc_id", "mark")).select("doc_id", "mark").distinct())
+    found = hits(marked, items, window, ("doc_id", "mark")).where(F.col("window") >= least)
+    found = settled(found.select("doc_id", "mark").distinct())
     matched = F.expr("d.doc_id <=> h.doc_id and xxhash64(d.text) = h.mark")
     return documents.alias("d").join(broadcast_if_small(found).alias("h"), matched, "left_anti")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import subprocess
 import sys
+from pathlib import Path
 
 import corpus_pipeline
 from tallybook.llm import decision_list, pieces, simhash, toxicity
@@ -35,6 +36,14 @@ def test_stages_against_brute_force(spark, small):
     assert found == {k: rows[k].text for k in kept}
 
 
+def test_outputs_stay_where_the_caller_names_a_folder(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", lambda _, docs, __: docs), ("b", lambda _, docs, __: docs.limit(5)), ("c", lambda _, docs, __: docs)])
+    assert corpus_pipeline.run(spark, small, str(tmp_path)).count() == 5
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["0-a", "1-b", "2-c"]
+    (path,) = {x.rsplit("/", 2)[0] for x in corpus_pipeline.run(spark, small).inputFiles()}
+    assert [x.name for x in Path(path.removeprefix("file:").replace("///", "/")).iterdir()] == ["2-c"]
+
+
 def test_stages_keep_the_columns(spark, small, edge_documents, no_documents):
     assert [name for name, _ in corpus_pipeline.STAGES][2] == "simhash_near_dedup" and len(corpus_pipeline.STAGES) == 5
     for docs in (edge_documents, no_documents):

@@ -61,10 +61,20 @@ def test_edge_cases(spark, edge_documents, no_documents):
     assert {tuple(r["items"]) for r in rows} == {(), (1,)}
     assert contamination(no_documents, items).count() == 0
     assert contamination(edge_documents, items.limit(0)).where("n_hit > 0").count() == 0
-    kept = decontaminated(edge_documents, items)
+    kept = decontaminated(edge_documents, items, least=2)
     assert kept.columns == edge_documents.columns and kept.count() == 7
 
 
+def test_short_items_condemn_no_document(spark):
+    words = [f"w{k}" for k in range(30)]
+    documents = spark.createDataFrame([(0, " ".join(words)), (1, "yes"), (2, " ".join(words[:9])), (3, " ".join(words[3:13])), (4, None)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "yes"), (2, "w1 w2"), (3, " ".join(words[20:27]))], "item_id bigint, text string")
+    assert contamination(documents, items).where("n_hit > 0").count() == 3
+    assert decontaminated(documents, items).count() == 5
+    longer = items.unionByName(spark.createDataFrame([(4, " ".join(words[1:9])), (5, " ".join(words[:25]))], "item_id bigint, text string"))
+    assert {r.doc_id for r in decontaminated(documents, longer).collect()} == {1, 4}
+
+
 def test_native(spark, edge_documents):
     items = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
     plan = contamination(edge_documents, items)._jdf.queryExecution().toString()
