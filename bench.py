@@ -18,7 +18,7 @@ from parity.catalog import QUERIES
 from tallybook.plans.models import MODELS
 
 OPERATORS = ["natural_key", "keep_one", "split_amount", "fx_at_minute", "signed_position", "split_legs", "fifo_match"]
-OPERATORS += ["running_balance", "hub_key_report"]
+OPERATORS += ["fifo_lots", "running_balance", "hub_key_report"]
 # What is meant for large groups, with groups cut into parts, and a table written and read back.
 OPERATORS += [name for name in QUERIES if name.endswith("_in_parts")] + ["written_table"]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from functools import wraps
 from inspect import signature
@@ -15,7 +16,7 @@ from tallybook.operators.ordered import GROUP_ROWS
 from tallybook.operators.rates import GRID_BYTES
 from tallybook.plans import binance, business, bybit, kraken, marts
 from tallybook.session import prepare
-from tallybook.sources.sink import table_name, write_layer
+from tallybook.sources.sink import namespace, table_name, write_layer
 from tallybook.sources.tables import Reader
 
 
@@ -142,12 +143,17 @@ def build_tables(
     normalise_keys: bool = False,
     group_rows: int = GROUP_ROWS,
     grid_bytes: int | None = GRID_BYTES,
+    threads: int = 1,
 ) -> list[str]:
     """Rebuild the named models (all by default) as tables.
 
     ``read`` returns an export by name.  Models read the tables of the models
     ahead of them, which therefore have to exist.  ``normalise_keys``,
     ``group_rows`` and ``grid_bytes`` go to the models that know them.
+
+    With ``threads`` so many models are built side by side; each waits for
+    those it reads.  After a failure no further model is begun, and it raises
+    once those under way have ended.
     """
     prepare(spark)
     run_id = run_id or new_run_id()
@@ -160,15 +166,34 @@ def build_tables(
             return spark.table(table_name(MODELS[name].layer, name, env, default))
         return read(name)
 
-    written = []
-    for name, model in MODELS.items():
-        if name in wanted:
-            known = signature(model.build).parameters
-            given = {"normalise_keys": normalise_keys, "group_rows": group_rows, "grid_bytes": grid_bytes}
-            options = {option: value for option, value in given.items() if option in known}
-            rows = model.build(*[table(t) for t in model.reads], run_id, **options)
-            written.append(write_model(rows, name, env, default))
-    return written
+    def build(name: str) -> str:
+        model = MODELS[name]
+        known = signature(model.build).parameters
+        given = {"normalise_keys": normalise_keys, "group_rows": group_rows, "grid_bytes": grid_bytes}
+        options = {option: value for option, value in given.items() if option in known}
+        rows = model.build(*[table(t) for t in model.reads], run_id, **options)
+        return write_model(rows, name, env, default)
+
+    names = [name for name in MODELS if name in wanted]
+    if threads <= 1:
+        return [build(name) for name in names]
+    for layer in {MODELS[name].layer for name in names}:  # not by several threads at once
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace(layer, env, default)}")
+    return _side_by_side(names, build, threads)
+
+
+def _side_by_side(names: list[str], build: Callable[[str], str], threads: int) -> list[str]:
+    """Build models as soon as those they read are there."""
+    waiting, running, done = list(names), {}, {}
+    with ThreadPoolExecutor(threads) as pool:
+        while waiting or running:
+            for name in [n for n in waiting if not any(r in waiting or r in running.values() for r in MODELS[n].reads)]:
+                if len(running) < threads:
+                    waiting.remove(name)
+                    running[pool.submit(build, name)] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                done[running.pop(future)] = future.result()
+    return [done[name] for name in names]
 
 
 def check_tables(spark: SparkSession, env: str = "prod", default: str = "dev") -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parity.catalog import Tables
-from tallybook.plans import binance, bybit, kraken, marts
+from tallybook.plans import binance, bybit, kraken, marts, models
 from tallybook.plans.models import HUB_KEYS, MODELS, build_tables, check_tables, write_model
 from tallybook.sources import sink
 from tallybook.sources.schemas import SCHEMAS
@@ -173,6 +173,46 @@ def test_tables_are_written_by_layer(spark, small, tmp_path):
     assert table_reader(spark)("binance_payins").count() == read("binance_payins").count()
 
 
+def test_models_built_side_by_side(spark, small, tmp_path):
+    tables = Tables(spark, small)
+    names = [n for n in MODELS if "binance" in n and "order" not in n]
+    for name in {r for n in names for r in MODELS[n].reads if r not in MODELS}:
+        tables[name].write.parquet(f"{tmp_path}/{name}")
+    read = parquet_reader(spark, str(tmp_path))
+    written = build_tables(spark, read, names, env="test", default="threaded", threads=4)
+    assert written == [f"threaded.{n}" for n in names]
+    assert all(spark.table(f"threaded.{n}").count() == tables[n].count() for n in names)
+
+
+def test_a_model_waits_for_what_it_reads_and_a_failure_ends_the_run():
+    import threading
+    import time
+
+    lock, log = threading.Lock(), []
+
+    def build(name):
+        with lock:
+            log.append(("begin", name))
+        time.sleep(0.01)
+        with lock:
+            log.append(("end", name))
+        if name == broken:
+            raise ValueError(name)
+        return name
+
+    broken = None
+    assert models._side_by_side(list(MODELS), build, 5) == list(MODELS)
+    for name, model in MODELS.items():
+        for read in model.reads:
+            if read in MODELS:
+                assert log.index(("end", read)) < log.index(("begin", name))
+    log.clear()
+    broken = "sat_bybit_trade"
+    with pytest.raises(ValueError, match=broken):
+        models._side_by_side(list(MODELS), build, 3)
+    assert ("begin", "calc_bybit_pnl_per_trade") not in log and ("begin", "fact_bybit_trade") not in log
+
+
 def counting(spark, rows):
     """Rows, and how many were read from them so far."""
     read = spark.sparkContext.accumulator(0)
