@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.functions import decimals
-from tallybook.operators.ordered import GROUP_ROWS, cut_into_parts, match, ordering, parts_needed, scan
+from tallybook.functions.decimals import add
+from tallybook.operators.numbering import repeat_rows
+from tallybook.operators.ordered import GROUP_ROWS, PART, cut_into_parts, match, ordering, parts_needed
+
+SUM = "decimal(37,8)"
 
 
 def running_balance(
@@ -25,6 +28,10 @@ def running_balance(
     Rows with the same time and amount share one total, the one behind all of
     them.  ``sizes_from`` may name a cheaper table with at least as many rows
     per account, used only to tell whether an account is too large for one task.
+
+    Large accounts are cut into parts between any two rows, also between rows
+    that share a total.  No row is joined back to its total: rows are read once
+    besides the sizes, and copies of a row travel as one.
     """
     order = [at, f"{amount} desc"]
     parts = parts_needed(df if sizes_from is None else sizes_from, keys, group_rows)
@@ -33,15 +40,61 @@ def running_balance(
         window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(out, F.sum(amount).over(window).cast("decimal(37,8)").cast("decimal(38,8)"))
 
-    # Rows that share a total collapse into one; that also takes the weight
-    # out of a single time and amount repeated very often.
-    same = [*keys, at, amount]
-    steps = df.groupBy(*same).agg(
-        F.sum(amount).cast("decimal(37,8)").alias("_step"), F.count(amount).alias("_known")
+    # Copies of a row collapse into one with its weight; the rows go through one
+    # shuffle for that, and come back from it in as many copies.
+    copies = df.groupBy(*df.columns).agg(
+        F.sum(amount).cast(SUM).alias("_step"),
+        F.count(amount).alias("_known"),
+        F.count(F.lit(1)).alias("_times"),
+    )
+    rest = [c for c in df.columns if c not in (*keys, at, amount)]
+    tied = copies.withColumn("_tie", F.xxhash64(*rest) if rest else F.lit(0).cast("bigint"))
+    laid = cut_into_parts(tied, keys, [*order, "_tie"], parts)
+    most = laid.agg(F.max("_times")).first()[0]
+
+    peers = Window.partitionBy(*keys, PART).orderBy(*ordering(order))
+    peers = peers.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    within = laid.withColumns({"_sum": F.sum("_step").over(peers).cast(SUM), "_count": F.sum("_known").over(peers)})
+    joined = match(within, _carried(laid, keys, at, amount), [*keys, PART], "left", parts.entries)
+
+    def plus(found: str, carried: str, beyond: str) -> str:
+        at_the_end = f"{at} <=> _last.at and {amount} <=> _last.amount"
+        return add(add(f"coalesce({found}, 0)", f"coalesce({carried}, 0)", 8), f"if({at_the_end}, coalesce({beyond}, 0), 0)", 8)
+
+    known = f"_count + coalesce(_carried_count, 0) + if({at} <=> _last.at and {amount} <=> _last.amount, coalesce(_beyond_count, 0), 0)"
+    total = f"cast({plus('_sum', '_carried_sum', '_beyond_sum')} as decimal(38,8))"
+    totals = joined.selectExpr(*[f"`{c}`" for c in df.columns], f"if({known} > 0, {total}, null) as {out}", "_times")
+    return repeat_rows(totals, "_times", "_index", most=most).drop("_index")
+
+
+def _carried(laid: DataFrame, keys: Sequence[str], at: str, amount: str) -> DataFrame:
+    """One row per key and part: sums of the parts ahead, and what later parts add to the part's last peers.
+
+    Rows of one time and amount are peers and share a total.  Peers may go on
+    in the next parts; only a part's first and last peers may have others
+    elsewhere, so two small rows per part settle it.
+    """
+    groups = [*keys, PART]
+    peers = laid.groupBy(*groups, at, amount).agg(F.sum("_step").alias("_step"), F.sum("_known").alias("_known"))
+    place = F.struct(F.col(at).isNull(), F.col(at), F.col(amount).isNull(), -F.col(amount))
+    peer = F.struct(F.col(at).alias("at"), F.col(amount).alias("amount"), "_step", "_known")
+    ends = peers.groupBy(*groups).agg(
+        F.sum("_step").cast(SUM).alias("_sum"),
+        F.sum("_known").alias("_count"),
+        F.min_by(peer, place).alias("_first"),
+        F.max_by(peer, place).alias("_last"),
+    )
+    earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ends.withColumns(
+        {"_carried_sum": F.sum("_sum").over(earlier).cast(SUM), "_carried_count": F.sum("_count").over(earlier)}
+    )
+    edges = placed.withColumn("_edge", F.explode(F.array_distinct(F.array("_first", "_last"))))
+    later = Window.partitionBy(*keys, "_edge.at", "_edge.amount").orderBy(F.col(PART).desc())
+    later = later.rowsBetween(Window.unboundedPreceding, -1)
+    beyond = edges.withColumns(
+        {
+            "_beyond_sum": F.sum("_edge._step").over(later).cast(SUM),
+            "_beyond_count": F.sum("_edge._known").over(later),
+        }
     )
-    laid = cut_into_parts(steps, keys, order, parts)
-    sums = {"_ahead": ("_step", "decimal(37,8)"), "_known_ahead": ("_known", "bigint")}
-    ahead = scan(laid, keys, order, sums, parts=parts)
-    total = decimals.add("_ahead", "coalesce(_step, 0)", 8)
-    totals = ahead.selectExpr(*same, f"if(_known_ahead + _known > 0, {total}, null) as {out}")
-    return match(df, totals, same, "left")
+    return beyond.filter("_edge <=> _last").drop("_sum", "_count", "_first", "_edge")

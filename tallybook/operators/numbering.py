@@ -14,14 +14,20 @@ from tallybook.session import cut_lineage
 CHUNK_ROWS = 100_000
 
 
-def repeat_rows(df: DataFrame, times: str, index: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def repeat_rows(
+    df: DataFrame, times: str, index: str, chunk_rows: int = CHUNK_ROWS, most: int | None = None
+) -> DataFrame:
     """Emit each row ``times`` times, with ``index`` running from 1.
 
     A row to be repeated more than ``chunk_rows`` times is first cut into
-    chunks that are spread over the cluster.
+    chunks that are spread over the cluster.  That reads ``df`` twice; ``most``,
+    the largest number of times if known, may tell that there is no such row.
     """
     n = F.col(times)
-    few = df.filter(n <= chunk_rows).withColumn(index, F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), n))
+    if most is not None and most <= chunk_rows:
+        return df.withColumn(index, each).drop(times)
+    few = df.filter(n <= chunk_rows).withColumn(index, each)
     start = F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(chunk_rows).cast("bigint")))
     many = (
         df.filter(n > chunk_rows)

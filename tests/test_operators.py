@@ -266,6 +266,46 @@ def test_balance_of_unknown_amounts_only_is_unknown(spark):
         }
 
 
+@pytest.mark.parametrize("group_rows", [7, 50, 400])
+def test_balance_in_parts_equals_the_window(spark, group_rows):
+    """Peers that go on over several parts, copies of a row, NULL times and amounts, a NULL account."""
+    df = spark.range(1200).selectExpr(
+        "if(id % 3 = 0, null, concat('w', id % 2)) as wallet",
+        "if(id % 17 = 0, null, cast(if(id % 4 < 2, 5, id % 40) as int)) as at",
+        "if(id % 13 = 0, null, cast(if(id % 4 = 0, 7, id % 3 - 1) as decimal(18,8))) as change",
+        "if(id % 2 = 0, 'copy', cast(id as string)) as note",
+    )
+    expected = Counter(map(tuple, running_balance(df, ["wallet"], "at", "change").collect()))
+    found = running_balance(df, ["wallet"], "at", "change", group_rows=group_rows)
+    assert found.columns == [*df.columns, "accountbalance"]
+    assert Counter(map(tuple, found.collect())) == expected
+
+
+def test_balance_of_one_moment_cut_into_parts(spark):
+    """All rows are peers: each has the total, whichever part it is in."""
+    df = spark.range(500).selectExpr("'w' as wallet", "1 as at", "cast(2 as decimal(18,8)) as change", "id as note")
+    found = running_balance(df, ["wallet"], "at", "change", group_rows=20).collect()
+    assert len(found) == 500 and {r.accountbalance for r in found} == {D(1000)}
+
+
+def test_balance_in_parts_reads_its_input_twice_and_joins_no_rows(spark, tmp_path):
+    from tests.test_plans import plan
+
+    path = str(tmp_path / "rows")
+    rows = spark.range(300).selectExpr("id", "concat('w', id % 2) as wallet", "id % 9 as at", "cast(id as decimal(18,8)) as change")
+    rows.write.parquet(path)
+    read, plans = spark.read.parquet(path), []
+    original = type(read).checkpoint
+    try:
+        type(read).checkpoint = lambda df, *a: plans.append(plan(df)) or original(df, *a)
+        text = plan(running_balance(read, ["wallet"], "at", "change", group_rows=20))
+    finally:
+        type(read).checkpoint = original
+    # Once for the sizes of the accounts, once for the rows; then they are read where they were written.
+    assert [p.count("FileScan parquet") for p in plans] == [1]
+    assert "FileScan" not in text and "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 1
+
+
 def skewed(spark, n=2000):
     """A third of the rows are copies of one row, another third shares its key."""
     return spark.range(n).selectExpr(
