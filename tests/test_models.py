@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parity.catalog import Tables
+from tallybook.operators.checks import key_report
 from tallybook.plans import binance, bybit, kraken, marts, models
 from tallybook.plans.models import HUB_KEYS, MODELS, build_tables, check_tables, write_model
 from tallybook.sources import sink
@@ -350,5 +351,22 @@ def test_tables_by_hash_of_a_key_join_without_a_shuffle(spark, small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_keys_of_hubs_are_checked_where_they_lie(spark, small):
+    from tests.test_plans import plan
+
+    tables, home = Tables(spark, small), "checked"
+    hubs = [name for name in HUB_KEYS if MODELS[name].bucketed]
+    assert len(hubs) == 9
+    for name in ("hub_binance_trade", "hub_bybit_trade"):
+        rows, key = tables[name], HUB_KEYS[name]
+        spoiled = rows.unionByName(rows.limit(3)).unionByName(rows.limit(2).withColumn(key, F.lit(None).cast("string")))
+        table = spark.table(write_model(spoiled, name, "test", home, bucket_rows=100))
+        report = key_report({name: (table, key)})
+        text = plan(report)
+        assert "Exchange hashpartitioning" not in text and "SelectedBucketsCount" in text
+        assert {(r.check_name, r.failures) for r in report.collect()} == {("unique", 3), ("not_null", 2)}
+        assert len(table.inputFiles()) > 2
+
+
 def test_every_hub_has_a_checked_key():
     assert len(HUB_KEYS) == 12 and all(key.startswith("pk_") for key in HUB_KEYS.values())
