@@ -3,13 +3,13 @@
 Paragraphs (lines with a word) are classified by a sparse multinomial logistic
 regression over hashed word n-grams.  It is trained on variants of the licence
 notices below (words lost, words of the corpus around them) and, as the class
-``unknown``, on a bounded sample of the corpus's own paragraphs and on notices
-of no family.  Its chances are calibrated by a temperature fitted to rows held
-back.  A paragraph is a licence if all families together have a chance of
-``MIN_CHANCE``.  It is reported for its best family if that has the chance alone
-and a template of it shares ``SIMILARITY`` of the shingles of the shorter of the
-two, and for each family it names (``NAMES``): short notices have few shingles or
-none, and one may name several families.
+``unknown``, on a bounded sample of the corpus's own paragraphs, on notices of no
+family and on sentences that speak of a licence without being a notice.  Its
+chances are calibrated by a temperature fitted to notices it has not seen.  A
+paragraph is a licence if all families together have a chance of ``MIN_CHANCE``.
+It is reported for each family that has ``MIN_FAMILY`` itself and a template
+that agrees: it shares ``SIMILARITY`` of the shingles of the shorter of the two,
+or that share of the template's words stands in order close together.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import random
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,15 @@ from tallybook.llm.hashing import WORD, WordHashes, grams
 
 UNKNOWN = "unknown"
 SAMPLE = 3_000  # about so many documents give a paragraph to train on, chosen by a hash of the row
-VARIANTS = 30  # of each notice
+VARIANTS, SHORT_VARIANTS = 30, 4  # of each notice
+HELD_BACK = 5  # one notice in so many sets the temperature
+SPARE_WORDS = 4
 BITS, UP_TO, EPOCHS = 18, 3, 4
 ALPHA, BETA, L1, L2 = 0.2, 1.0, 0.3, 0.01
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 MIN_CHANCE = 0.5
+MIN_FAMILY = 0.2  # two families of one notice share its chance
 TEMPERATURES = (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0)
 SCHEMA = "doc_id bigint, licences string, n_paragraphs bigint, n_licence_paragraphs bigint, n_unconfirmed bigint, chance double"
 
@@ -112,42 +116,58 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ),
 }
-# Short notices to train on besides.
-SHORT: dict[str, tuple[str, ...]] = {
-    "Apache": ("Apache License 2.0", "License: Apache 2.0", "Licensed under Apache License 2.0"),
-    "MIT": ("MIT License", "The MIT License (MIT)", "License: MIT", "Licensed under MIT"),
-    "BSD": ("BSD License", "BSD 3-Clause License", "License: BSD"),
-    "GPL": ("GNU General Public License v3.0", "License: GPL", "Licensed under the GPLv2"),
-    "LGPL": ("GNU Lesser General Public License v2.1", "License: LGPL", "Licensed under the LGPLv3"),
-    "AGPL": ("GNU Affero General Public License v3.0", "License: AGPL"),
-    "MPL": ("Mozilla Public License 2.0", "License: MPL 2.0"),
-    "ISC": ("ISC License", "License: ISC"),
-    "CC-BY": ("License: CC BY 4.0", "Creative Commons Attribution 4.0"),
-    "CC-BY-SA": ("License: CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
-    "CC-BY-NC": ("License: CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
-    "CC0": ("License: CC0", "CC0 1.0 Universal"),
-    "Unlicense": ("License: Unlicense", "SPDX-License-Identifier: Unlicense"),
-}
-# What a notice calls its licence, as patterns over lower-case words with a space between.
-LICENCE = "licen[sc]e"
-NAMES: dict[str, re.Pattern] = {
-    family: re.compile(rf"\b(?:{pattern})\b")
-    for family, pattern in {
-        "Apache": rf"apache (?:software |public )?{LICENCE}|apache v?[12](?: \d)?|{LICENCE}d? (?:under )?(?:the )?apache",
-        "MIT": rf"mit {LICENCE}|{LICENCE}d? (?:under )?(?:the |either )?mit|spdx license identifier(?: \w+){{0,12}}? mit",
-        "BSD": rf"bsd (?:[0-4] clause )?(?:style )?{LICENCE}|bsd [0-4] clause|0bsd|{LICENCE}d? (?:under )?(?:the )?bsd",
-        "GPL": rf"gnu (?:general public {LICENCE}|gpl)|gpl(?:v?[123])?",
-        "LGPL": rf"gnu (?:lesser|library) (?:general )?public {LICENCE}|lgpl(?:v?[23])?",
-        "AGPL": rf"gnu affero (?:general )?public {LICENCE}|agpl(?:v?3)?",
-        "MPL": rf"mozilla public {LICENCE}|mpl (?:v ?)?[12]|mplv?[12]|{LICENCE}d? (?:under )?(?:the )?mpl",
-        "ISC": rf"isc {LICENCE}|{LICENCE}d? (?:under )?(?:the )?isc|spdx license identifier(?: \w+){{0,12}}? isc",
-        "CC-BY": r"cc by(?! sa\b| nc\b| nd\b)|creative commons attribution(?! share| non| no\b)",
-        "CC-BY-SA": r"cc by sa|creative commons attribution share ?alike",
-        "CC-BY-NC": r"cc by nc(?: sa| nd)?|creative commons attribution non ?commercial",
-        "CC0": r"cc0|creative commons zero",
-        "Unlicense": rf"the unlicen[sc]e|{LICENCE}d? (?:under )?(?:the )?unlicense|identifier unlicense",
-    }.items()
+# What notices call a licence, the shortest first (fixed values).
+NAMES: dict[str, tuple[str, ...]] = {
+    "Apache": ("Apache 2.0", "Apache License", "Apache License 2.0"),
+    "MIT": ("MIT", "MIT License"),
+    "BSD": ("BSD", "BSD License", "BSD 3-Clause License"),
+    "GPL": ("GPL", "GPLv2", "GPLv3", "GNU General Public License"),
+    "LGPL": ("LGPL", "LGPLv3", "GNU Lesser General Public License"),
+    "AGPL": ("AGPL", "AGPLv3", "GNU Affero General Public License"),
+    "MPL": ("MPL 2.0", "Mozilla Public License"),
+    "ISC": ("ISC", "ISC License"),
+    "CC-BY": ("CC BY 4.0", "Creative Commons Attribution 4.0"),
+    "CC-BY-SA": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0"),
+    "CC-BY-NC": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0"),
+    "CC0": ("CC0", "CC0 1.0 Universal"),
+    "Unlicense": ("Unlicense", "The Unlicense"),
 }
+# Short notices of one licence and of two, and sentences about a licence that are no notice (fixed values).
+NOTICE_OF_ONE = (
+    "License: {}",
+    "Licensed under {}",
+    "Licensed under the {}",
+    "Released under the {}",
+    "SPDX-License-Identifier: {}",
+)
+NOTICE_OF_TWO = (
+    "Dual licensed under the {} and the {}.",
+    "Licensed under either the {} or the {}, at your option.",
+    "SPDX-License-Identifier: {} OR {}",
+)
+NO_NOTICE = (
+    "She failed the {} exam twice.",
+    "The {} exam takes an hour.",
+    "I passed my driving test before the {} was written.",
+    "My {} expired in May.",
+    "I lost my {} on the way.",
+    "We talked about the {} at dinner.",
+    "He wrote an article about the {}.",
+    "A lecture on the {} is given at noon.",
+    "The history of the {} is long.",
+    "Why did they choose the {}?",
+    "Unlike the {}, it asks for more.",
+    "They moved away from the {} last year.",
+    "This is not licensed under the {}.",
+    "It was never released under the {}.",
+    "It is available, but never under the {}.",
+    "Not under the {}, as some believe.",
+    "It is no longer licensed under the {}.",
+    "Nothing here is released under the {}.",
+    "Under {} but not under the {}.",
+    "It is neither under the {} nor under the {}.",
+    "You may use it under the {}, but never under the {}.",
+)
 NO_FAMILY = (
     "All rights reserved.",
     "Licensed under the terms agreed with the vendor.",
@@ -181,38 +201,54 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _examples(corpus: list[str]) -> list[tuple[str, int]]:
-    """Paragraphs with their classes, in an order that does not depend on how the corpus came."""
+def _short_notices() -> list[tuple[str, tuple[int, ...]]]:
+    """Short notices and sentences that are none, with the classes they belong to."""
+    rows = []
+    for k, (_, names) in enumerate(NAMES.items(), 1):
+        rows += [(frame.format(x), (k,)) for x in names for frame in NOTICE_OF_ONE]
+        rows += [(x, (k,)) for x in names if " " in x]
+        rows += [(frame.format(x, x), (0,)) for x in names for frame in NO_NOTICE if frame.count("{}") == 1]
+        for other, (_, others) in enumerate(NAMES.items(), 1):
+            if other != k:
+                for a, b in product(dict.fromkeys((names[0], names[-1])), dict.fromkeys((others[0], others[-1]))):
+                    rows += [(frame.format(a, b), (k, other)) for frame in NOTICE_OF_TWO]
+                    rows += [(frame.format(a, b), (0,)) for frame in NO_NOTICE if frame.count("{}") == 2]
+    return rows
+
+
+def _examples(corpus: list[str]) -> list[tuple[str, int, int]]:
+    """Paragraphs, their classes and the notice each is a variant of; the order in which the corpus came does not matter."""
     corpus = sorted(corpus)
     draw = random.Random(0)
     words = [w for x in corpus[:200] for w in x.split()[:20]] or ["text"]
-    rows: list[tuple[str, int]] = [(x, 0) for x in corpus if _likeness(x, _ALL_SHINGLES) < 0.3]
-    for k, notices in enumerate([NO_FAMILY, *([*some, *SHORT[family]] for family, some in NOTICES.items())]):
-        for notice in notices:
-            rows.append((notice, k))
-            for _ in range(VARIANTS):
-                kept = [w for w in notice.split() if draw.random() > 0.08]
+    notices = [(x, (0,), VARIANTS, 0.08) for x in NO_FAMILY]
+    notices += [(x, (k,), VARIANTS, 0.08) for k, some in enumerate(NOTICES.values(), 1) for x in some]
+    # A short notice that lost a word may be another's, or none.
+    notices += [(x, classes, SHORT_VARIANTS // (2 * len(classes)), 0.0) for x, classes in _short_notices()]
+    rows = []
+    for origin, (notice, classes, variants, loss) in enumerate(notices):
+        for k in classes:
+            rows.append((notice, k, origin))
+            for _ in range(variants):
+                kept = [w for w in notice.split() if draw.random() >= loss]
                 ahead, behind = ([draw.choice(words) for _ in range(draw.choice((0, 0, 4, 12)))] for _ in range(2))
-                rows.append((" ".join(ahead + kept + behind), k))
+                rows.append((" ".join(ahead + kept + behind), k, origin))
+    rows += [(x, 0, len(notices) + n) for n, x in enumerate(corpus) if _likeness(x, _ALL_SHINGLES) < 0.3]
     draw.shuffle(rows)
     return rows
 
 
-def fit(corpus: list[str]) -> Classifier:
-    """Train on the notices and on paragraphs of the corpus (at most some thousands)."""
-    hashes = WordHashes()
-    rows = [(_features(x, hashes), k) for x, k in _examples(corpus)]
-    held, rows = rows[::8], [x for n, x in enumerate(rows) if n % 8]
+def _weights(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Grams and their weights by class, the bias last: FTRL-proximal, as sparse as ``L1`` makes it."""
     index = np.unique(np.concatenate([x for x, _ in rows]))
-    place = {int(x): n for n, x in enumerate(index)}
-    last = len(index)  # the bias
+    last = len(index)
     z, n = np.zeros((last + 1, len(CLASSES))), np.zeros((last + 1, len(CLASSES)))
 
     def weights(at) -> np.ndarray:
         step = -(z[at] - np.sign(z[at]) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
         return np.where(np.abs(z[at]) <= L1, 0.0, step)
 
-    located = [(np.array([place[int(g)] for g in x] + [last]), k) for x, k in rows]
+    located = [(np.append(np.searchsorted(index, x), last), k) for x, k in rows]
     for _ in range(EPOCHS):
         for at, k in located:
             w = weights(at)
@@ -220,12 +256,28 @@ def fit(corpus: list[str]) -> Classifier:
             error[k] -= 1
             z[at] += error - (np.sqrt(n[at] + error**2) - np.sqrt(n[at])) / ALPHA * w
             n[at] += error**2
-    full = weights(slice(None))
-    scores = np.array([full[[place[int(g)] for g in x if int(g) in place] + [last]].sum(axis=0) for x, _ in held])
-    truth = np.array([k for _, k in held])
+    return index, weights(slice(None))
+
+
+def _scores(index: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    return np.array([np.concatenate([weights[:-1][np.isin(index, x)], weights[-1:]]).sum(axis=0) for x in rows])
+
+
+def fit(corpus: list[str], held_back: int = HELD_BACK) -> Classifier:
+    """Train on the notices and on paragraphs of the corpus (at most some thousands).
+
+    The temperature is found with one in ``held_back`` notices left out with all
+    its variants, so on notices the weights do not know; then all are trained on.
+    """
+    hashes = WordHashes()
+    rows = [(_features(x, hashes), k, origin) for x, k, origin in _examples(corpus)]
+    unseen = [(x, k) for x, k, origin in rows if origin % held_back == 0]
+    scores = _scores(*_weights([(x, k) for x, k, origin in rows if origin % held_back]), [x for x, _ in unseen])
+    truth = np.array([k for _, k in unseen])
     loss = {t: -np.log(_softmax(scores / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in TEMPERATURES}
-    used = np.flatnonzero(np.abs(full[:last]).sum(axis=1))
-    return Classifier(index[used], full[used].astype(np.float32), full[last], min(TEMPERATURES, key=loss.get))
+    index, full = _weights([(x, k) for x, k, _ in rows])
+    used = np.flatnonzero(np.abs(full[:-1]).sum(axis=1))
+    return Classifier(index[used], full[used].astype(np.float32), full[-1], min(TEMPERATURES, key=loss.get))
 
 
 def _shingles(text: str) -> set[tuple[str, ...]]:
@@ -245,10 +297,48 @@ def _likeness(paragraph: str, templates: list[set]) -> float:
     return max((len(own & x) / min(len(own), len(x)) for x in templates), default=0.0) if own else 0.0
 
 
-def _named(paragraph: str) -> set[str]:
-    """The families that a paragraph names."""
-    words = " ".join(WORD.findall(paragraph.lower()))
-    return {family for family, pattern in NAMES.items() if pattern.search(words)}
+def _words(text: str) -> list[str]:
+    return WORD.findall(text.lower())
+
+
+# The words of each family's notices, long and short, to be found in their order.
+WORDINGS: dict[str, list[list[str]]] = {family: [_words(x) for x in notices] for family, notices in NOTICES.items()}
+for _text, _classes in _short_notices():
+    if len(_classes) == 1 and _classes[0]:
+        WORDINGS[CLASSES[_classes[0]]].append(_words(_text))
+
+
+def _in_order(words: list[str], wording: list[str]) -> bool:
+    """Whether ``SIMILARITY`` of a wording's words stand in their order in some stretch of about twice its length.
+
+    The longest common subsequence, a bit for each word of the wording.
+    """
+    size = len(wording)
+    bits: dict[str, int] = {}
+    for k, w in enumerate(wording):
+        bits[w] = bits.get(w, 0) | 1 << k
+    whole = (1 << size) - 1
+    for start in range(0, max(1, len(words) - size - SPARE_WORDS), size):
+        free = whole
+        for w in words[start : start + 2 * size + SPARE_WORDS]:
+            if found := bits.get(w):
+                here = free & found
+                free = ((free + here) | (free - here)) & whole
+        if size - free.bit_count() >= SIMILARITY * size:
+            return True
+    return False
+
+
+def _agrees(paragraph: str, family: str) -> bool:
+    """Whether a template of the family says the same: by its shingles, or by its words in order."""
+    if _likeness(paragraph, TEMPLATES[family]) >= SIMILARITY:
+        return True
+    words = _words(paragraph)
+    known = set(words)
+    return any(
+        sum(w in known for w in wording) >= SIMILARITY * len(wording) and _in_order(words, wording)
+        for wording in WORDINGS[family]
+    )
 
 
 def train(documents: DataFrame, sample: int = SAMPLE) -> Classifier:
@@ -279,7 +369,7 @@ def scan(documents: DataFrame, classifier: Classifier) -> DataFrame:
     """One row a document: doc_id, licences (sorted, joined by commas; empty if none), counts, chance.
 
     ``n_unconfirmed`` counts paragraphs classified as a licence that no
-    template or name confirms; ``chance`` is the best confirmed one's (NULL if none).
+    template confirms; ``chance`` is the best confirmed one's (NULL if none).
     NULL and empty texts have no paragraph; other columns are ignored.
     """
 
@@ -309,10 +399,8 @@ def _scanned(text: str, classifier: Classifier, weights, telling, hashes) -> tup
         chances = _softmax((weights[found].sum(axis=0) + classifier.bias) / classifier.temperature)
         if chances[0] > 1 - MIN_CHANCE:
             continue
-        top = int(chances.argmax())
-        here = _named(line)
-        if top and chances[top] >= MIN_CHANCE and _likeness(line, TEMPLATES[CLASSES[top]]) >= SIMILARITY:
-            here.add(CLASSES[top])
+        likely = [f for f, chance in zip(CLASSES[1:], chances[1:]) if chance >= MIN_FAMILY]
+        here = {family for family in likely if _agrees(line, family)}
         if here:
             families |= here
             confirmed += 1

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import math
+import random
+from itertools import product
+
 import pytest
 
 from tallybook.llm import licences
@@ -63,6 +67,87 @@ def test_short_and_dual_notices(spark, classifier):
     assert all(r.n_licence_paragraphs == 1 and r.chance for r in found)
 
 
+SPEECH = (
+    "I passed my MIT license exam to drive",
+    "under GPL but never under the MIT License",
+    "The committee discussed the Apache License for an hour.",
+    "This is not released under the GNU General Public License.",
+)
+
+
+def test_sentences_about_a_licence_are_no_notice(spark, classifier):
+    assert [r.licences for r in scanned(spark, classifier, SPEECH)] == [""] * len(SPEECH)
+
+
+def test_new_lossy_variants_of_notices_are_recalled(spark, classifier):
+    """Words lost at random, other than in any variant trained on."""
+    draw = random.Random(7)
+    rows = [(f, x) for f, some in licences.NOTICES.items() for x in some if len(x.split()) >= 8 for _ in range(10)]
+    texts = [" ".join(w for w in x.split() if draw.random() >= 0.08) for _, x in rows]
+    found = scanned(spark, classifier, texts)
+    assert sum(f in r.licences.split(",") for (f, _), r in zip(rows, found)) >= 0.9 * len(rows)
+
+
+def common_words(a, b):
+    """Length of the longest common subsequence, by the textbook's table."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, j in product(range(len(a)), range(len(b))):
+        table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_words_in_order_against_a_table():
+    draw = random.Random(3)
+    for _ in range(400):
+        words = draw.choices("abcd", k=draw.randrange(0, 30))
+        wording = draw.choices("abcd", k=draw.randrange(1, 9))
+        reach = 2 * len(wording) + licences.SPARE_WORDS
+        starts = range(0, max(1, len(words) - len(wording) - licences.SPARE_WORDS), len(wording))
+        best = max(common_words(words[k : k + reach], wording) for k in starts)
+        assert licences._in_order(words, wording) == (best >= licences.SIMILARITY * len(wording))
+    # Nothing that stands within the wording's length and the spare words is missed, wherever it is.
+    for ahead in range(40):
+        assert licences._in_order(["x"] * ahead + ["a", "y", "b", "y", "c"] + ["x"] * (ahead % 7), ["a", "b", "c"])
+
+
+def plainly_scanned(text, classifier):
+    """The same answer for one text, gram by gram."""
+    known = {int(g): w for g, w in zip(classifier.index, classifier.weight)}
+    families, paragraphs, confirmed, doubtful = set(), 0, 0, 0
+    for line in text.split("\n"):
+        if not licences.WORD.search(line):
+            continue
+        paragraphs += 1
+        scores = classifier.bias.astype(float).copy()
+        for g in {int(g) for g in licences.grams(licences.WordHashes().of(line), licences.UP_TO, 0, licences.BITS)}:
+            scores += known.get(g, 0)
+        chances = [math.exp(x / classifier.temperature) for x in scores]
+        chances = [x / sum(chances) for x in chances]
+        if chances[0] > 1 - licences.MIN_CHANCE:
+            continue
+        words, here = licences._words(line), set()
+        for family, chance in zip(licences.CLASSES[1:], chances[1:]):
+            for wording in licences.WORDINGS[family]:
+                reach = 2 * len(wording) + licences.SPARE_WORDS
+                starts = range(0, max(1, len(words) - len(wording) - licences.SPARE_WORDS), len(wording))
+                same = any(common_words(words[k : k + reach], wording) >= 0.8 * len(wording) for k in starts)
+                if chance >= licences.MIN_FAMILY and same:
+                    here.add(family)
+            if chance >= licences.MIN_FAMILY and licences._likeness(line, licences.TEMPLATES[family]) >= 0.8:
+                here.add(family)
+        families |= here
+        confirmed, doubtful = confirmed + bool(here), doubtful + (not here)
+    return ",".join(sorted(families)), paragraphs, confirmed, doubtful
+
+
+def test_scan_against_a_plain_version(spark, classifier, medium):
+    documents = spark.read.parquet(f"{medium}/documents.parquet").where("text rlike '(?i)licen[sc]e'").limit(60)
+    texts = [*SHORT, *SPEECH, "", "\n\n", "one\nLicense: GPL\n\nMIT License", *(r.text for r in documents.collect())]
+    found = scanned(spark, classifier, texts)
+    got = [(r.licences, r.n_paragraphs, r.n_licence_paragraphs, r.n_unconfirmed) for r in found]
+    assert got == [plainly_scanned(x, classifier) for x in texts]
+
+
 def test_query(spark, medium):
     rows = QUERIES["op5_licences"](spark, medium).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{medium}/documents.parquet").collect()}
