@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from tallybook.functions.decimals import subtract
 from tallybook.operators.ordered import GROUP_ROWS, Parts, cut_into_parts, parts_needed, scan
 from tallybook.operators.position import QUANTITY, RUNNING, position_before, with_legs
-from tallybook.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -124,17 +123,17 @@ def _placed(
 ) -> tuple[DataFrame, list[str], Parts | None]:
     """Trades on the axes of their books, the columns that make a book, and how the rows are cut."""
     parts = parts_needed(trades if sizes_from is None else sizes_from, [symbol], group_rows)
-    # Range boundaries take a sample, for which the plan ahead would run once
-    # more: joins and windows are written out before.
+    # The ledger is written out twice, once in either order.  The samples for the
+    # range boundaries run what lies behind the last shuffle once more, no more than that.
     if parts:
-        trades = cut_into_parts(cut_lineage(trades), [symbol], order, parts)
+        trades = cut_into_parts(trades, [symbol], order, parts)
     axis = on_axis(position_before(trades, [symbol], order, parts), [symbol], order, parts)
 
     book = [symbol, "_book"]
     if parts:
         # A flip adds a row, so there are at most twice as many rows.
         parts = parts.times(rows=2, keys=3)
-        axis = cut_into_parts(cut_lineage(axis), book, ["_place", "_kind", order[-1]], parts)
+        axis = cut_into_parts(axis, book, ["_place", "_kind", order[-1]], parts)
     return axis, book, parts
 
 

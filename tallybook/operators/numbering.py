@@ -65,20 +65,24 @@ def number_occurrences(
         return rows.withColumn(out, F.row_number().over(window).cast("bigint"))
 
     # A bare count reads no columns; a small table needs no look at its keys.
-    if df.count() <= group_rows:
+    rows = df.count()
+    if rows <= group_rows:
         return ranked(df)
     large = cut_lineage(large_groups(df, keys, group_rows))
-    rows_in_large, groups = large.agg(F.sum("_size"), F.count(F.lit(1))).first()
+    rows_in_large, largest, groups = large.agg(F.sum("_size"), F.max("_size"), F.count(F.lit(1))).first()
     if not groups:
         return ranked(df)
 
-    large = large.drop("_size")
+    large, all_large = large.drop("_size"), rows_in_large == rows
     # Identical rows are interchangeable: number one of them with its weight.
-    copied = match(df, large, keys, "left_semi", groups)
+    copied = df if all_large else match(df, large, keys, "left_semi", groups)
     distinct = copied.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_times"))
     parts = Parts.of(rows_in_large, groups, group_rows)
     laid = cut_into_parts(distinct, keys, ranking, parts)
+    most = largest if largest <= CHUNK_ROWS else laid.agg(F.max("_times")).first()[0]
     placed = scan(laid, keys, ranking, sums={"_ahead": ("_times", "bigint")}, parts=parts)
-    spread = repeat_rows(placed.select(*df.columns, "_ahead", "_times"), "_times", "_index")
+    spread = repeat_rows(placed.select(*df.columns, "_ahead", "_times"), "_times", "_index", most=most)
     numbered = spread.withColumn(out, F.col("_ahead") + F.col("_index")).select(*df.columns, out)
+    if all_large:
+        return numbered
     return ranked(match(df, large, keys, "left_anti", groups)).unionByName(numbered)

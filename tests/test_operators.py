@@ -289,18 +289,10 @@ def test_balance_of_one_moment_cut_into_parts(spark):
 
 
 def test_balance_in_parts_reads_its_input_twice_and_joins_no_rows(spark, tmp_path):
-    from tests.test_plans import plan
-
     path = str(tmp_path / "rows")
     rows = spark.range(300).selectExpr("id", "concat('w', id % 2) as wallet", "id % 9 as at", "cast(id as decimal(18,8)) as change")
     rows.write.parquet(path)
-    read, plans = spark.read.parquet(path), []
-    original = type(read).checkpoint
-    try:
-        type(read).checkpoint = lambda df, *a: plans.append(plan(df)) or original(df, *a)
-        text = plan(running_balance(read, ["wallet"], "at", "change", group_rows=20))
-    finally:
-        type(read).checkpoint = original
+    plans, text = written_plans(spark.read.parquet(path), lambda d: running_balance(d, ["wallet"], "at", "change", group_rows=20))
     # Once for the sizes of the accounts, once for the rows; then they are read where they were written.
     assert [p.count("FileScan parquet") for p in plans] == [1]
     assert "FileScan" not in text and "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 1
@@ -322,6 +314,39 @@ def test_numbering_survives_a_hot_key_and_many_copies(spark):
     assert sum(plain.values()) == df.count()
 
 
+def written_plans(df, build):
+    """The plans that were written out on the way, and the plan of the result."""
+    from tests.test_plans import plan
+
+    plans, kind = [], type(df)
+    original = kind.checkpoint
+    try:
+        kind.checkpoint = lambda rows, *a: plans.append(plan(rows)) or original(rows, *a)
+        return plans, plan(build(df))
+    finally:
+        kind.checkpoint = original
+
+
+def test_numbering_reads_rows_once_besides_the_sizes(spark, tmp_path):
+    """Cold keys are read apart, and only if there are any."""
+    reads = {}
+    for name, df in (("mixed", skewed(spark)), ("hot", skewed(spark).withColumn("key", F.lit("k")))):
+        df.write.parquet(str(tmp_path / name))
+        rows = spark.read.parquet(str(tmp_path / name))
+        plans, text = written_plans(rows, lambda d: number_occurrences(d, ["key"], ["amount"], group_rows=100))
+        reads[name] = [p.count("FileScan parquet") for p in [*plans, text]]
+        found = Counter(map(tuple, number_occurrences(rows, ["key"], ["amount"], group_rows=100).collect()))
+        assert found == Counter(map(tuple, number_occurrences(rows, ["key"], ["amount"]).collect()))
+    assert reads == {"mixed": [1, 1, 1], "hot": [1, 1, 0]}
+
+
+def test_the_ledger_is_written_once_in_either_order(spark):
+    rows = [(f"k{i:03d}", "X", i, (-1) ** (i % 3) * (i % 5), 10 + i % 7) for i in range(200)]
+    for build in (fifo_profit, fifo_lots):
+        plans, _ = written_plans(trades(spark, rows), lambda d: build(d, group_rows=30))
+        assert len(plans) == 2 and all(p.count("Exchange rangepartitioning") == 1 for p in plans)
+
+
 def test_numbering_treats_null_as_a_key(spark):
     rows = [(None, "1"), (None, "2"), ("a", "1")] * 4
     df = spark.createDataFrame(rows, "key string, amount string")
