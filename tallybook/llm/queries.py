@@ -93,16 +93,12 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
-    rows = winnowing.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
-    ids = F.expr("array_join(array_sort(transform(items, x -> cast(x as string))), ',')")
-    return rows.select(
-        "doc_id",
-        "n_words",
-        "n_hit",
-        F.size("items").cast("bigint").alias("n_items"),
-        F.sha2(ids, 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
-    )
+    told = {
+        "n_items": "cast(size(items) as bigint)",
+        "items_sha256": "sha2(array_join(array_sort(transform(items, x -> cast(x as string))), ','), 256)",
+    }
+    rows = winnowing.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), told=told)
+    return rows.select("doc_id", "n_words", "n_hit", *told, (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:

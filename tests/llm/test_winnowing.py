@@ -87,3 +87,23 @@ def test_items_share_a_window(spark):
     documents = spark.range(50).select(F.col("id").alias("doc_id"), F.lit(f"x {passage} y").alias("text"))
     rows = contamination(documents, items).collect()
     assert {(r.n_words, r.n_hit, len(r["items"])) for r in rows} == {(14, 12, 30)}
+
+
+def test_lists_of_items_do_not_travel_with_documents(spark):
+    """Each window is held by very many items; what is told of a list is computed once per distinct list."""
+    passage = [f"w{k}" for k in range(14)]
+    texts = [" ".join(passage[:11]), " ".join(passage[4:]), " ".join(passage)]
+    items = spark.createDataFrame([(k, texts[k % 3]) for k in range(3000)], "item_id bigint, text string")
+    documents = spark.createDataFrame([(k, [f"x {texts[0]} y", texts[1], "no", "", None][k % 5]) for k in range(60)], "doc_id bigint, text string")
+    told = {"n": "size(items)", "largest": "array_max(items)", "first": "get(items, 0)"}
+    rows = contamination(documents, items, told=told)
+    listed = {r.doc_id: sorted(r["items"]) for r in contamination(documents, items).collect()}
+    by_kind = [[k for k in range(3000) if k % 3 != 1], [k for k in range(3000) if k % 3 != 0], [], [], []]
+    assert listed == {k: by_kind[k % 5] for k in range(60)}
+    assert {r.doc_id: (r.n, r.largest, r["first"]) for r in rows.collect()} == {
+        k: (len(x), max(x, default=None), min(x, default=None)) for k, x in listed.items()
+    }
+    hits = winnowing.hits(documents, items)
+    assert hits.columns == ["doc_id", "first", "window", "item_set"]
+    assert hits.select("item_set").distinct().count() == 2  # of the first two passages; no document holds the third
+    assert contamination(documents, items.limit(0), told=told).where("n = 0 and largest is null").count() == 60
