@@ -364,6 +364,16 @@ def test_occurrences_equal_the_ranked_keys(spark, chunk_rows):
     assert Counter(map(tuple, counted.collect())) == Counter(map(tuple, ranked.collect()))
 
 
+def test_occurrences_of_few_keys_are_spread_over_tasks(spark):
+    """Five keys with a thousand rows each are five counts, which one task would unfold."""
+    df = spark.range(5000).selectExpr("if(id % 5 = 0, null, id % 5) as key")
+    counted = occurrences(df, ["key"], chunk_rows=50, task_rows=500)
+    found = counted.withColumn("_task", F.spark_partition_id()).collect()
+    assert Counter((r.key, r.r) for r in found) == Counter((k, r) for k in (None, 1, 2, 3, 4) for r in range(1, 1001))
+    sizes = Counter(r._task for r in found)
+    assert len(sizes) >= 8 and max(sizes.values()) <= 1500
+
+
 def test_keep_one_is_total(spark):
     rows = [("a", 1, "x"), ("a", 1, "w"), ("a", 0, "v"), (None, 1, "u"), (None, 2, "t")]
     df = spark.createDataFrame(rows, "key string, at int, other string")
