@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parity.catalog import QUERIES
 from tallybook.operators.dedup import keep_one
-from tallybook.operators.ordered import PART, Parts, cut_into_parts, scan
+from tallybook.operators.ordered import GROUP_ROWS, PART, Parts, cut_into_parts, scan
 
 
 def plan(df):
@@ -60,6 +60,13 @@ def test_status_filter_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(status,FILLED)" in text
 
 
+def test_small_parts_grow_instead_of_becoming_too_many():
+    """At 2,000 rows a part, 200 million rows were 50,000 tasks, and millions of sampled rows at the driver."""
+    assert Parts.of(216_000_000, 12, 2_000).count == Parts.of(36_000_000, 12, 2_000).count == 1_000
+    assert Parts.of(100_000, 12, 2_000).count == 51
+    assert Parts.of(6_000_000_000, 12, GROUP_ROWS).count == Parts.of(6_000_000_000, 12, 2_000).count == 3_001
+
+
 def test_windows_over_parts_need_no_shuffle(spark):
     df = spark.range(1000).selectExpr("'hot' as key", "id as place")
     order = ["place"]
