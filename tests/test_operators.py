@@ -281,6 +281,28 @@ def test_balance_in_parts_equals_the_window(spark, group_rows):
     assert Counter(map(tuple, found.collect())) == expected
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("group_rows, written", [(400, 0), (20, 1)])
+def test_balance_by_the_calendar_equals_the_window_and_moves_rows_once(spark, tmp_path, kind, group_rows, written):
+    """Copies, peers, NULL times, amounts and accounts, an account of unknown amounts; in days, and in hours that are many."""
+    path = str(tmp_path / "rows")
+    spark.range(6000).selectExpr(
+        "case when id < 300 then null when id % 500 = 1 then 'unknown' else 'w' end as wallet",
+        f"if(id % 301 = 0, null, cast(timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id div 2 * 480) as {kind})) as at",
+        "if(id % 13 = 0 or id % 500 = 1, null, cast(id % 3 - 1 as decimal(18,8))) as change",
+        "if(id % 2 = 0, 'copy', cast(id as string)) as note",
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    expected = Counter(map(tuple, running_balance(df, ["wallet"], "at", "change").collect()))
+    plans, text = written_plans(df, lambda d: running_balance(d, ["wallet"], "at", "change", group_rows=group_rows))
+    found = running_balance(df, ["wallet"], "at", "change", group_rows=group_rows)
+    assert found.columns == [*df.columns, "accountbalance"]
+    assert Counter(map(tuple, found.collect())) == expected
+    # Only sums of spans are written on the way, if these are many; rows move once.
+    assert len(plans) == written and all("note" not in p for p in plans)
+    assert text.count("FileScan parquet") == 2 - written and text.count("REPARTITION_BY_COL") == 1
+
+
 def test_balance_of_one_moment_cut_into_parts(spark):
     """All rows are peers: each has the total, whichever part it is in."""
     df = spark.range(500).selectExpr("'w' as wallet", "1 as at", "cast(2 as decimal(18,8)) as change", "id as note")
