@@ -303,6 +303,16 @@ def test_balance_by_the_calendar_equals_the_window_and_moves_rows_once(spark, tm
     assert text.count("FileScan parquet") == 2 - written and text.count("REPARTITION_BY_COL") == 1
 
 
+def test_balance_of_few_rows_takes_few_tasks_however_many_rows_they_sum_up(spark, monkeypatch):
+    """Net changes of an hour each; the sizes come from 600 times as many rows, which asked for 600 parts."""
+    rows = spark.range(720_000).selectExpr("'w' as wallet", "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id div 600 * 60) as at")
+    net = rows.groupBy("wallet", "at").agg(F.count("*").cast("decimal(18,8)").alias("change"))
+    cut = []
+    monkeypatch.setattr("tallybook.operators.balance.cut_into_parts", lambda *a: cut.append(a))
+    found = running_balance(net, ["wallet"], "at", "change", group_rows=1_200, sizes_from=rows)
+    assert not cut and found.agg(F.max("accountbalance"), F.count("*")).first()[:] == (D(720_000), 1200)
+
+
 def test_balance_of_one_moment_cut_into_parts(spark):
     """All rows are peers: each has the total, whichever part it is in."""
     df = spark.range(500).selectExpr("'w' as wallet", "1 as at", "cast(2 as decimal(18,8)) as change", "id as note")
