@@ -303,6 +303,22 @@ def test_balance_by_the_calendar_equals_the_window_and_moves_rows_once(spark, tm
     assert text.count("FileScan parquet") == 2 - written and text.count("REPARTITION_BY_COL") == 1
 
 
+def test_spans_grow_as_small_parts_do(spark, tmp_path):
+    """A minute holds 12 rows, more than the 5 asked for, but parts of 5 rows would be 1,201 and hold 24 instead."""
+    path = str(tmp_path / "rows")
+    spark.range(6000).selectExpr(
+        "concat('w', id % 2) as wallet",
+        "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, id div 24, id % 24) as at",
+        "cast(id % 7 - 3 as decimal(18,8)) as change",
+        "id as note",
+    ).write.parquet(path)
+    df = spark.read.parquet(path)
+    expected = Counter(map(tuple, running_balance(df, ["wallet"], "at", "change").collect()))
+    plans, text = written_plans(df, lambda d: running_balance(d, ["wallet"], "at", "change", group_rows=5))
+    assert all("note" not in p for p in plans) and text.count("REPARTITION_BY_COL") == 1
+    assert Counter(map(tuple, running_balance(df, ["wallet"], "at", "change", group_rows=5).collect())) == expected
+
+
 def test_balance_of_few_rows_takes_few_tasks_however_many_rows_they_sum_up(spark, monkeypatch):
     """Net changes of an hour each; the sizes come from 600 times as many rows, which asked for 600 parts."""
     rows = spark.range(720_000).selectExpr("'w' as wallet", "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id div 600 * 60) as at")
