@@ -12,7 +12,7 @@ from tallybook.operators.balance import running_balance
 from tallybook.operators.dedup import keep_one
 from tallybook.operators.fifo import fifo_lots, fifo_profit
 from tallybook.operators.numbering import number_occurrences, occurrences
-from tallybook.operators.ordered import cut_into_parts, parts_needed, scan
+from tallybook.operators.ordered import Parts, cut_into_parts, parts_needed, scan
 from tallybook.operators.position import position_before, signed_quantity, split_legs
 from tallybook.plans.business import calc_bybit_pnl_per_trade
 
@@ -336,6 +336,36 @@ def test_balance_of_one_moment_cut_into_parts(spark):
     assert len(found) == 500 and {r.accountbalance for r in found} == {D(1000)}
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "date", "timestamp", "timestamp_ntz", "decimal(20,9)"])
+def test_balance_in_parts_moves_rows_once_and_deals_moments_of_many_rows(spark, kind):
+    """Half of the rows share time and amount, a fifth are copies of one row; NULL times, amounts and accounts."""
+    at = {
+        "string": "concat('\"é', place)",
+        "date": "date'2024-03-30' + place",
+        "timestamp": "timestamp'2024-03-31 01:59:59.123456' + make_dt_interval(0, 0, 0, place / 1000)",
+        "timestamp_ntz": "cast(timestamp'2024-10-27 01:59:59.123456' + make_dt_interval(0, 0, 0, place / 1000) as timestamp_ntz)",
+    }.get(kind, f"cast(place as {kind})")
+    df = spark.range(8000, numPartitions=8).selectExpr("id", "cast(if(id % 2 = 0, 7, id % 50) as int) as place").selectExpr(
+        "if(id % 9 = 1, null, 'w') as wallet",
+        f"if(id % 17 = 1, null, {at}) as at",
+        "if(id % 13 = 1, null, cast(if(id % 2 = 0, 3, id % 5 - 2) as decimal(18,8))) as change",
+        "if(id % 10 < 3, 0, id) as note",
+    )
+    order = ["at", "change desc"]
+    plans = written_plans(df, lambda d: cut_into_parts(d, ["wallet"], order, Parts(20, 2), unique=False))[0]
+    assert [p.count("Exchange") for p in plans] == [1]
+    laid = cut_into_parts(df, ["wallet"], order, Parts(20, 2), unique=False)
+    place = "struct(wallet is null, wallet, at is null, at, change is null, -change)"
+    sizes = laid.groupBy("_part").agg(F.count("*").alias("n"), F.expr(f"min({place})").alias("lo"), F.expr(f"max({place})").alias("hi"))
+    assert sizes.agg(F.sum("n")).first()[0] == 8000 and sizes.agg(F.max("n")).first()[0] < 3 * 400
+    assert sizes.selectExpr("hi > lead(lo) over (order by _part) as mixed").filter("mixed").isEmpty()
+
+    expected = Counter(map(tuple, running_balance(df, ["wallet"], "at", "change").collect()))
+    plans, _ = written_plans(df, lambda d: running_balance(d, ["wallet"], "at", "change", group_rows=400))
+    assert len(plans) == 1 and "note" in plans[0] and plans[0].count("Exchange") == 1
+    assert Counter(map(tuple, running_balance(df, ["wallet"], "at", "change", group_rows=400).collect())) == expected
+
+
 def test_balance_in_parts_reads_its_input_twice_and_joins_no_rows(spark, tmp_path):
     path = str(tmp_path / "rows")
     rows = spark.range(300).selectExpr("id", "concat('w', id % 2) as wallet", "id % 9 as at", "cast(id as decimal(18,8)) as change")
